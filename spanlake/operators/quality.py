@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spanlake import names as n
@@ -86,20 +86,19 @@ def latest_parity(
     snapshots: DataFrame, latest: DataFrame, key: str = n.PERSON
 ) -> DataFrame:
     """Difference between the kept rows and the distinct keys; NULL is one key."""
-    keys = snapshots.agg(
-        F.count_distinct(key).alias("_keys"), F.max(F.col(key).isNull().cast("int")).alias("_null")
-    )
-    kept = latest.agg(F.count(F.lit(1)).alias("_kept"))
-    missing = F.abs(F.col("_kept") - F.col("_keys") - F.coalesce("_null", F.lit(0)))
-    return _rule("latest rows differ from distinct keys", _side_by_side(kept, keys).select(missing))
+    null_key = F.coalesce(F.max(F.col(key).isNull().cast("int")), F.lit(0))
+    keys = snapshots.agg(F.count_distinct(key) + null_key)
+    return _difference("latest rows differ from distinct keys", latest, keys)
 
 
 def missing_months(dim: DataFrame, report: DataFrame) -> DataFrame:
-    """Difference between the months of the axis and the rows of the report."""
-    counts = _side_by_side(
-        dim.agg(F.count(F.lit(1)).alias("_months")), report.agg(F.count(F.lit(1)).alias("_rows"))
-    )
-    return _rule("report months differ from axis", counts.select(F.abs(F.expr("_months - _rows"))))
+    """Difference between the rows of the report and the months of the axis."""
+    return _difference("report months differ from axis", report, dim.agg(F.count(F.lit(1))))
+
+
+def _difference(rule: str, rows: DataFrame, expected: DataFrame) -> DataFrame:
+    """Difference between a number of rows and an expected one-row count."""
+    return _rule(rule, rows.agg(F.abs(F.count(F.lit(1)) - expected.scalar())))
 
 
 def empty_axis(dim: DataFrame) -> DataFrame:
@@ -124,19 +123,9 @@ def null_keys(df: DataFrame, column: str) -> DataFrame:
     return rows_where(f"NULL {column}", df, F.col(column).isNull())
 
 
-def row_difference(rule: str, actual: int, expected: int, df: DataFrame) -> DataFrame:
-    """Difference of two known row counts, as a rule."""
-    return df.sparkSession.createDataFrame(
-        [(rule, abs(actual - expected))], "rule string, violations bigint"
-    )
-
-
-def _side_by_side(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Two one-row tables as one row."""
-    one = F.lit(1)
-    return (
-        left.withColumn("_one", one).join(right.withColumn("_one", one), "_one").drop("_one")
-    )
+def row_difference(spark: SparkSession, rule: str, actual: int, expected: int) -> DataFrame:
+    """Difference of two row counts that are already known, as a rule."""
+    return _rule(rule, spark.range(1).select(F.lit(abs(actual - expected))))
 
 
 def violations(*rules: DataFrame) -> DataFrame:
@@ -150,9 +139,6 @@ def total_violations(rules: DataFrame) -> DataFrame:
 
 def layer_status(layer: str, metrics: DataFrame, rules: DataFrame) -> DataFrame:
     """Metrics of a layer (``metric``, ``value``) with the status that its rules give it."""
-    status = rules.agg(
-        F.when(F.sum("violations") > 0, "FAILED").otherwise("SUCCESS").alias("status")
-    )
-    return metrics.join(F.broadcast(status)).select(
-        F.lit(layer).alias("layer"), "status", "metric", "value"
-    )
+    failed = rules.agg(F.coalesce(F.sum("violations"), F.lit(0)) > 0)
+    status = F.when(failed.scalar(), "FAILED").otherwise("SUCCESS")
+    return metrics.select(F.lit(layer).alias("layer"), status.alias("status"), "metric", "value")

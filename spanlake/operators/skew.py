@@ -22,11 +22,27 @@ SALT_FROM_BYTES = 8 << 30
 """Planned size from which looking for hot keys is worth a pass over the key columns."""
 
 
+SPREAD_BYTES_PER_CORE = 32 << 20
+"""Planned size per core below which an input may be spread over all cores."""
+
+
 def planned_bytes(df: DataFrame) -> int:
     """Size of the result as estimated by the optimizer (file sizes for a scan)."""
     return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
+def spread_small(df: DataFrame, *columns: str) -> DataFrame:
+    """Use all cores on an input that is too small to be split over them.
+
+    A file of one row group is one task.  An input of at least ``SPREAD_BYTES_PER_CORE`` per core
+    is returned as it is, so a large table is never shuffled for this.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if planned_bytes(df) >= cores * SPREAD_BYTES_PER_CORE:
+        return df
+    return df.repartition(cores, *(columns or df.columns))
+
+
 def hot_keys(
     df: DataFrame, keys: Sequence[str], rows_per_salt: int = ROWS_PER_SALT
 ) -> DataFrame:
