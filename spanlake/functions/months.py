@@ -15,6 +15,12 @@ MONTH_PATTERN = r"^[0-9]{4}(0[1-9]|1[0-2])\z"
 
 MAX_MONTHS = 120_000
 
+MONTH_TEXT = "lpad(string(int({0} / 12) * 100 + {0} % 12 + 1), 6, '0')"
+"""SQL of the month text of an index."""
+
+MONTH_INDEX = "int(int({0}) / 100) * 12 + int({0}) % 100 - 1"
+"""SQL of the index of a well-formed month text."""
+
 
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -25,22 +31,20 @@ def is_month(c: Column | str) -> Column:
     return _col(c).rlike(MONTH_PATTERN)
 
 
-def month_index(c: Column | str) -> Column:
-    """Running index of a month text; NULL when the text is not a month."""
-    number = _col(c).try_cast("int")
-    return F.when(is_month(c), (number / 100).cast("int") * 12 + number % 100 - 1)
+def month_index(c: str) -> Column:
+    """Running index of the month text in column ``c``; NULL when the text is not a month."""
+    return F.when(is_month(c), F.expr(MONTH_INDEX.format(f"`{c}`")))
 
 
-def month_text(index: Column | str) -> Column:
-    """Month text of an index, the inverse of :func:`month_index`."""
-    i = _col(index)
-    return F.lpad(((i / 12).cast("int") * 100 + i % 12 + 1).cast("string"), 6, "0")
+def month_text(c: str) -> Column:
+    """Month text of the index in column ``c``, the inverse of :func:`month_index`."""
+    return F.expr(MONTH_TEXT.format(f"`{c}`"))
 
 
 def month_of(time: Column | str) -> Column:
     """Month text of a date or timestamp."""
     t = _col(time)
-    return month_text(F.year(t) * 12 + F.month(t) - 1)
+    return F.lpad((F.year(t) * 100 + F.month(t)).cast("string"), 6, "0")
 
 
 def month_label(c: Column | str) -> Column:

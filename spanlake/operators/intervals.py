@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spanlake import names as n
@@ -75,15 +75,15 @@ def expand(detail: DataFrame, start: str = n.START, end: str = n.END) -> DataFra
 def sweep(
     rows: DataFrame,
     roles: Roles,
-    measures: dict[str, Column],
-    flags: dict[str, Column] | None = None,
+    measures: dict[str, str],
+    flags: dict[str, str] | None = None,
 ) -> DataFrame:
     """Changes per month of distinct counts, of ``measures`` and of ``flags``.
 
     Returns ``_month`` (index), ``people``, ``employers``, ``zero_pay_people``, one column per
     measure and one per flag; the running sum over the months is the value of a month.
-    ``measures`` maps names to additive per-row columns of an exact type.  ``flags`` maps names
-    to rare conditions; the value of a flag is 1 in months with such a row.
+    ``measures`` maps names to SQL of additive values of an exact type.  ``flags`` maps names to
+    SQL of rare conditions; the value of a flag is 1 in months with such a row.
 
     A row is sent down a few lanes: its person, its employer, its amounts, and where it applies
     its person as zero-paid and its flags.  Every lane is aggregated before it is shuffled, to
@@ -92,71 +92,75 @@ def sweep(
     axis has months.
     """
     flags = flags or {}
-    person, employer = F.col(roles.person), F.col(roles.employer)
+    person, employer, salary = f"`{roles.person}`", f"`{roles.employer}`", f"`{roles.salary}`"
     by_person, by_employer, by_amount, by_zero_pay, *by_flag = range(4 + len(flags))
     special = {
-        by_zero_pay: (F.col(roles.salary) == 0) & person.isNotNull(),
+        by_zero_pay: f"{salary} = 0 AND {person} IS NOT NULL",
         **dict(zip(by_flag, flags.values())),
     }
-    periods = rows.select(
-        person.alias("_person"),
-        employer.alias("_employer"),
-        month_index(roles.start).alias("_from"),
-        month_index(roles.end).alias("_to"),
-        *[F.coalesce(c, F.lit(False)).alias(f"_is_{i}") for i, c in special.items()],
-        *[c.alias(m) for m, c in measures.items()],
-    )
-    usual = [F.lit(by_person), F.lit(by_employer), F.lit(by_amount)]
-    more = [F.when(F.col(f"_is_{i}"), i) for i in special]
-    all_lanes = F.when(
-        F.greatest(*[F.col(f"_is_{i}") for i in special], F.lit(False)),
-        F.array_compact(F.array(*usual, *more)),
-    ).otherwise(F.array(*usual))
-    lane = F.col("_lane")
-    has_person, has_employer = lane.isin(by_person, by_zero_pay), lane == by_employer
+    usual = f"{by_person}, {by_employer}, {by_amount}"
+    more = ", ".join(f"CASE WHEN _is_{lane} THEN {lane} ELSE -1 END" for lane in special)
     lanes = (
-        # Malformed and reversed months get no lane.  A filter for them would be pushed below the
-        # projection and work out both months a second time.
-        periods.withColumn("_lane", F.explode(F.when(F.col("_from") <= F.col("_to"), all_lanes)))
-        .select(
+        rows.select(
+            month_index(roles.start).alias("_from"),
+            month_index(roles.end).alias("_to"),
+            F.expr(f"{person} AS _person"),
+            F.expr(f"{employer} AS _employer"),
+            *[F.expr(f"coalesce({sql}, false) AS _is_{lane}") for lane, sql in special.items()],
+            *[F.expr(f"{sql} AS {m}") for m, sql in measures.items()],
+        )
+        .selectExpr(
+            # Malformed and reversed months get no lane.  A filter for them would be pushed below
+            # the projection and work out both months a second time.
+            f"""explode(CASE WHEN _from > _to OR _from IS NULL OR _to IS NULL THEN NULL
+                  WHEN {" OR ".join(f"_is_{lane}" for lane in special)}
+                    THEN array({usual}, {more})
+                  ELSE array({usual}) END) AS _lane""",
+            "_person",
+            "_employer",
+            "_from",
+            "_to",
+            *measures,
+        )
+        .selectExpr(
             "_lane",
-            F.when(has_person, F.col("_person")).alias("_person"),
-            F.when(has_employer, F.col("_employer")).alias("_employer"),
+            f"CASE WHEN _lane IN ({by_person}, {by_zero_pay}) THEN _person END AS _person",
+            f"CASE WHEN _lane = {by_employer} THEN _employer END AS _employer",
             "_from",
-            F.when(lane == by_amount, F.col("_to")).alias("_until"),
+            f"CASE WHEN _lane = {by_amount} THEN _to END AS _until",
             "_to",
             *measures,
         )
-        .where(~has_person | F.col("_person").isNotNull())
-        .where(~has_employer | F.col("_employer").isNotNull())
+        .where(
+            f"_lane >= 0 AND (_lane <> {by_person} OR _person IS NOT NULL)"
+            f" AND (_lane <> {by_employer} OR _employer IS NOT NULL)"
+        )
     )
     entity_months = lanes.groupBy("_lane", "_person", "_employer", "_from", "_until").agg(
-        F.max("_to").alias("_to"),
+        F.expr("max(_to) AS _to"),
         # FILTER, unlike a sum over CASE, skips the decimal addition in all other lanes.
-        *[F.expr(f"sum({m}) FILTER (WHERE _lane = {by_amount})").alias(m) for m in measures],
+        *[F.expr(f"sum({m}) FILTER (WHERE _lane = {by_amount}) AS {m}") for m in measures],
     )
 
-    # The part of an interval that no earlier-starting interval of the same entity covers.
-    covered = F.max("_to").over(
-        Window.partitionBy(
-            "_lane", "_person", "_employer", F.when(lane == by_amount, F.col("_from"))
+    # The part of an interval that no earlier-starting interval of the same entity covers, once
+    # as opening and once as closing change.
+    edges = (
+        entity_months.selectExpr(
+            "*",
+            f"""CASE WHEN _lane <> {by_amount} THEN max(_to) OVER (
+                  PARTITION BY _lane, _person, _employer,
+                               CASE WHEN _lane = {by_amount} THEN _from END
+                  ORDER BY _from ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+                END AS _covered""",
+        )
+        .where("_covered IS NULL OR _covered < _to")
+        .selectExpr(
+            "_lane",
+            "greatest(_from, _covered + 1) AS _from",
+            "_to + 1 AS _until",
+            "explode(array(1, -1)) AS _sign",
+            *measures,
         )
-        .orderBy("_from")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    fresh = (
-        entity_months.withColumn("_covered", F.when(lane != by_amount, covered))
-        .where(F.col("_covered").isNull() | (F.col("_covered") < F.col("_to")))
-        .withColumn("_from", F.greatest("_from", F.col("_covered") + 1))
-    )
-
-    opens = F.col("_opens")
-
-    def change(c: Column) -> Column:
-        return F.when(opens, c).otherwise(-c)
-
-    edges = fresh.withColumn("_opens", F.explode(F.array(F.lit(True), F.lit(False)))).withColumn(
-        "_month", F.when(opens, F.col("_from")).otherwise(F.col("_to") + 1)
     )
     heads = {
         "people": by_person,
@@ -164,38 +168,45 @@ def sweep(
         "zero_pay_people": by_zero_pay,
         **dict(zip(flags, by_flag)),
     }
-    return edges.groupBy("_month").agg(
+    return edges.groupBy(F.expr("CASE WHEN _sign = 1 THEN _from ELSE _until END AS _month")).agg(
         *[
-            F.sum(F.when(lane == which, change(F.lit(1))).otherwise(0)).alias(name)
-            for name, which in heads.items()
+            F.expr(f"coalesce(sum(_sign) FILTER (WHERE _lane = {lane}), 0) AS {name}")
+            for name, lane in heads.items()
+        ],
+        *[
+            F.expr(
+                f"coalesce(sum(CASE WHEN _sign = 1 THEN {m} ELSE -{m} END)"
+                f" FILTER (WHERE _lane = {by_amount}), 0) AS {m}"
+            )
+            for m in measures
         ],
-        *[F.sum(change(F.coalesce(F.col(m), F.lit(0)))).alias(m) for m in measures],
     )
 
 
 def accumulate(changes: DataFrame, dim: DataFrame | None = None) -> DataFrame:
-    """Values per month (``_month``) from the changes of :func:`sweep`.
+    """Values per month (``_month``) from the changes of :func:`sweep`, in order.
 
     Without ``dim`` the axis runs from the first start to the last end: values are constant
     between two changes, so each change is repeated up to the next one.  With ``dim`` the axis is
     that table.  The windows run over the month axis only (see ``months.MAX_MONTHS``).
     """
     values = [c for c in changes.columns if c != "_month"]
-    axis = Window.orderBy("_month")
-    running = {c: F.sum(c).over(axis) for c in values}
+    running = [
+        f"sum({c}) OVER (ORDER BY _month ROWS UNBOUNDED PRECEDING) AS {c}" for c in values
+    ]
     if dim is None:
-        return (
-            changes.withColumns({**running, "_next": F.lead("_month").over(axis)})
-            .where("_next is not null")
-            .withColumn("_month", F.explode(F.sequence(F.col("_month"), F.col("_next") - 1)))
-            .drop("_next")
-        )
+        return changes.selectExpr(
+            "_month", "lead(_month) OVER (ORDER BY _month) AS _next", *running
+        ).selectExpr("explode(sequence(_month, _next - 1)) AS _month", *values)
     wanted = dim.select(month_index(n.MONTH).alias("_month"), F.lit(True).alias("_wanted"))
     return (
         changes.unionByName(wanted, allowMissingColumns=True)
         .groupBy("_month")
-        .agg(F.max("_wanted").alias("_wanted"), *[F.sum(c).alias(c) for c in values])
-        .withColumns(running)
+        .agg(
+            F.expr("max(_wanted) AS _wanted"),
+            *[F.expr(f"coalesce(sum({c}), 0) AS {c}") for c in values],
+        )
+        .selectExpr("_month", "_wanted", *running)
         .where("_wanted")
         .drop("_wanted")
     )

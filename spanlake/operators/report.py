@@ -2,68 +2,68 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spanlake import names as n
-from spanlake.functions.months import month_label, month_text, whole_number
+from spanlake.functions.months import MONTH_TEXT, month_label, whole_number
 from spanlake.operators.intervals import Roles, accumulate, expand, range_join, sweep
 
 MONEY = "decimal(28,6)"
 
 
-def money_measures(salary: str, money: str = MONEY) -> dict[str, Column]:
-    """Additive columns from which sum and mean of the finite salaries follow.
+def money_measures(salary: str, money: str = MONEY) -> dict[str, str]:
+    """Additive values from which sum and mean of the finite salaries follow, as SQL.
 
     They are decimals, so neither row order nor subtraction changes a result.
     """
-    pay = F.col(salary)
-    amount = F.when(F.abs(pay) < float("inf"), pay.cast(money))
+    finite = f"abs(`{salary}`) < double('Infinity')"
+    amount = f"CAST(`{salary}` AS {money})"
     return {
-        "total": amount,
-        "positive": F.when(pay > 0, amount),
-        "positive_rows": F.when((pay > 0) & amount.isNotNull(), 1).otherwise(0),
+        "total": f"CASE WHEN {finite} THEN {amount} END",
+        "positive": f"CASE WHEN `{salary}` > 0 AND {finite} THEN {amount} END",
+        "positive_rows": f"CASE WHEN `{salary}` > 0 AND {finite} THEN 1 ELSE 0 END",
     }
 
 
-def odd_salaries(salary: str) -> dict[str, Column]:
+def odd_salaries(salary: str) -> dict[str, str]:
     """Conditions for salaries that are no finite number; :func:`finish` puts them back."""
-    pay = F.col(salary).cast("double")
     return {
-        "nan": F.isnan(pay),
-        "up": F.coalesce(pay == float("inf"), F.lit(False)),
-        "down": F.coalesce(pay == float("-inf"), F.lit(False)),
+        "nan": f"isnan(`{salary}`)",
+        "up": f"`{salary}` = double('Infinity')",
+        "down": f"`{salary}` = double('-Infinity')",
     }
 
 
 def monthly_values(expanded: DataFrame, roles: Roles, money: str = MONEY) -> DataFrame:
     """Distinct counts and money measures of rows that carry their month."""
-    person, pay = F.col(roles.person), F.col(roles.salary)
+    person, employer, salary = f"`{roles.person}`", f"`{roles.employer}`", f"`{roles.salary}`"
     return expanded.groupBy(n.MONTH).agg(
-        F.count_distinct(person).alias("people"),
-        F.count_distinct(roles.employer).alias("employers"),
-        F.count_distinct(F.when(pay == 0, person)).alias("zero_pay_people"),
-        *[F.sum(c).alias(m) for m, c in money_measures(roles.salary, money).items()],
-        *[F.max(c).cast("int").alias(f) for f, c in odd_salaries(roles.salary).items()],
+        F.expr(f"count(DISTINCT {person}) AS people"),
+        F.expr(f"count(DISTINCT {employer}) AS employers"),
+        F.expr(f"count(DISTINCT CASE WHEN {salary} = 0 THEN {person} END) AS zero_pay_people"),
+        *[F.expr(f"sum({sql}) AS {m}") for m, sql in money_measures(roles.salary, money).items()],
+        *[
+            F.expr(f"coalesce(max(int({sql})), 0) AS {flag}")
+            for flag, sql in odd_salaries(roles.salary).items()
+        ],
     )
 
 
-def finish(values: DataFrame, month: Column) -> DataFrame:
-    """Report columns from the values of each month; an empty month is all zeros."""
-
-    nan, up, down = (F.col(c) > 0 for c in ("nan", "up", "down"))
-    odd_total = (
-        F.when(nan | (up & down), float("nan")).when(up, float("inf")).when(down, float("-inf"))
-    )
-    odd_mean = F.when(nan, float("nan")).when(up, float("inf"))
-    mean = F.col("positive").cast("double") / F.nullif(F.col("positive_rows"), F.lit(0))
-    return values.select(
-        month.alias(n.MONTH),
-        F.col("people").alias(n.PEOPLE),
-        F.col("employers").alias(n.EMPLOYERS),
-        F.coalesce(odd_total, F.col("total").cast("double")).alias(n.PAYROLL),
-        F.coalesce(odd_mean, mean).alias(n.MEAN_PAY),
-        F.col("zero_pay_people").alias(n.ZERO_PAY_PEOPLE),
+def finish(values: DataFrame, month: str) -> DataFrame:
+    """Report columns from the values of each month; ``month`` is SQL of the month text."""
+    return values.selectExpr(
+        f"{month} AS {n.MONTH}",
+        f"people AS {n.PEOPLE}",
+        f"employers AS {n.EMPLOYERS}",
+        f"""CASE WHEN nan > 0 OR (up > 0 AND down > 0) THEN double('NaN')
+                 WHEN up > 0 THEN double('Infinity')
+                 WHEN down > 0 THEN double('-Infinity')
+                 ELSE double(total) END AS {n.PAYROLL}""",
+        f"""CASE WHEN nan > 0 THEN double('NaN')
+                 WHEN up > 0 THEN double('Infinity')
+                 ELSE double(positive) / nullif(positive_rows, 0) END AS {n.MEAN_PAY}""",
+        f"zero_pay_people AS {n.ZERO_PAY_PEOPLE}",
     )
 
 
@@ -92,14 +92,14 @@ def report_by_range_join(
     dim: DataFrame, detail: DataFrame, roles: Roles = Roles(), money: str = MONEY
 ) -> DataFrame:
     rows = range_join(detail, dim, roles.start, roles.end)
-    return fill_gaps(dim, finish(monthly_values(rows, roles, money), F.col(n.MONTH)))
+    return fill_gaps(dim, finish(monthly_values(rows, roles, money), n.MONTH))
 
 
 def report_by_expansion(
     dim: DataFrame, detail: DataFrame, roles: Roles = Roles(), money: str = MONEY
 ) -> DataFrame:
     rows = expand(detail, roles.start, roles.end)
-    return fill_gaps(dim, finish(monthly_values(rows, roles, money), F.col(n.MONTH)))
+    return fill_gaps(dim, finish(monthly_values(rows, roles, money), n.MONTH))
 
 
 def report_by_sweep(
@@ -110,7 +110,7 @@ def report_by_sweep(
         detail, roles, money_measures(roles.salary, money), odd_salaries(roles.salary)
     )
     values = accumulate(changes, dim).orderBy("_month")
-    return fill_zeros(finish(values, month_text("_month")))
+    return fill_zeros(finish(values, MONTH_TEXT.format("_month")))
 
 
 def monthly_report(

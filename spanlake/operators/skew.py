@@ -100,7 +100,13 @@ def join_salted(
         .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)))
         .drop("_key", "_salts")
     )
-    return spread.join(repeated, [*on, "_salt"], how).drop("_salt")
+    return _in_order(spread.join(repeated, [*on, "_salt"], how), left, right, how)
+
+
+def _in_order(joined: DataFrame, left: DataFrame, right: DataFrame, how: str) -> DataFrame:
+    """Columns of the left side as they were, then the new ones of the right side."""
+    new = [c for c in right.columns if c not in left.columns] if how == "inner" else []
+    return joined.select(*left.columns, *new)
 
 
 def join_keyed(
@@ -117,5 +123,5 @@ def join_keyed(
     its own size limit and splits skewed partitions at run time.
     """
     if planned_bytes(left) < salt_from_bytes:
-        return left.join(right, list(on), how)
+        return _in_order(left.join(right, list(on), how), left, right, how)
     return join_salted(left, right, on, how, hot_keys(left, on, rows_per_salt))

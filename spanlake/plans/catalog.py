@@ -355,7 +355,7 @@ def monthly_report_every_period(spark: SparkSession, sf_dir: str) -> DataFrame:
 def gap_fill_left_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scoped periods of one month only, on the axis of all periods."""
     rows = scoped(spark, sf_dir).where(F.col(START) == F.col(END)).withColumn(n.MONTH, F.col(END))
-    monthly = finish(monthly_values(rows, ROLES, MONEY), F.col(n.MONTH))
+    monthly = finish(monthly_values(rows, ROLES, MONEY), n.MONTH)
     return rounded(fill_gaps(month_dim(every_period(spark, sf_dir), START, END), monthly))
 
 

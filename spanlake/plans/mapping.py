@@ -24,6 +24,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return read_table(spark, f"{sf_dir}/{name}.parquet")
 
 
+def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread_small(table(spark, sf_dir, "lineitem"), "l_orderkey", "l_suppkey")
+
+
 def snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("id"),
@@ -43,7 +47,7 @@ def salary() -> Column:
 
 def periods(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items as periods; their start month comes with the snapshot."""
-    return table(spark, sf_dir, "lineitem").select(
+    return lines(spark, sf_dir).select(
         F.col("l_orderkey").alias("master_id"),
         F.col("l_linenumber").alias("line"),
         F.col("l_suppkey").alias("employer"),
@@ -61,7 +65,7 @@ def scoped(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def every_period(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All line items as valid periods of three to 21 months that end with the shipping."""
-    rows = spread_small(table(spark, sf_dir, "lineitem"), "l_orderkey", "l_suppkey").select(
+    rows = lines(spark, sf_dir).select(
         F.col("l_orderkey").alias("master_id"),
         F.col("l_linenumber").alias("line"),
         F.col("l_suppkey").alias("employer"),
@@ -74,26 +78,35 @@ def every_period(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def messy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All line items with months as raw input may hold them, and pay as text."""
+    """All line items with months as raw input may hold them, and pay as text.
+
+    The quantity decides what is wrong with a month: missing, padded with blanks or a tab, ended
+    by a line break, month 13, blanks only, a letter in front, or year 0000.
+    """
     start = month_of(F.add_months("l_shipdate", 6 - F.col("l_linenumber") * 3))
     end = month_of("l_shipdate")
     quantity = F.col("l_quantity")
-    return table(spark, sf_dir, "lineitem").select(
+    before = F.when(quantity == 2, "  ").when(quantity == 3, "\t").when(quantity == 6, "   ")
+    after = F.when(quantity == 2, " ").when(quantity == 4, "\n").when(quantity == 5, "13")
+    length = F.when(quantity == 5, 4).when(quantity == 6, 0).otherwise(6)
+    front = F.when(quantity == 8, "x").when(quantity == 9, "0000")
+    begin = F.when(quantity == 9, 5).otherwise(1)
+    nothing = F.lit("")
+    return lines(spark, sf_dir).select(
         F.col("l_orderkey").alias("master_id"),
         F.col("l_linenumber").alias("line"),
-        F.when(quantity == 1, F.lit(None))
-        .when(quantity == 2, F.concat(F.lit("  "), start, F.lit(" ")))
-        .when(quantity == 3, F.concat(F.lit("\t"), start))
-        .when(quantity == 4, F.concat(start, F.lit("\n")))
-        .when(quantity == 5, F.concat(F.substring(start, 1, 4), F.lit("13")))
-        .when(quantity == 6, "   ")
-        .otherwise(start)
-        .alias("from_month"),
-        F.when(quantity.isin(1, 7), F.lit(None))
-        .when(quantity == 8, F.concat(F.lit("x"), end))
-        .when(quantity == 9, F.concat(F.lit("0000"), F.substring(end, 5, 2)))
-        .otherwise(end)
-        .alias("to_month"),
+        F.when(
+            quantity != 1,
+            F.concat(
+                F.coalesce(before, nothing),
+                F.substring(start, F.lit(1), length),
+                F.coalesce(after, nothing),
+            ),
+        ).alias("from_month"),
+        F.when(
+            ~quantity.isin(1, 7),
+            F.concat(F.coalesce(front, nothing), F.substring(end, begin, F.lit(6))),
+        ).alias("to_month"),
         F.when(F.col("l_discount") == 0.01, "n/a")
         .otherwise(F.col("l_extendedprice").cast("string"))
         .alias("salary"),
