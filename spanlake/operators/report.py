@@ -15,13 +15,15 @@ MONEY = "decimal(28,6)"
 def money_measures(salary: str, money: str = MONEY) -> dict[str, str]:
     """Additive values from which sum and mean of the finite salaries follow, as SQL.
 
-    They are decimals, so neither row order nor subtraction changes a result.
+    They are decimals, so neither row order nor subtraction changes a result.  The sum of the
+    positive salaries is the total less the negative ones, which costs a second conversion to
+    decimal only for the rare negative salary.
     """
     finite = f"abs(`{salary}`) < double('Infinity')"
     amount = f"CAST(`{salary}` AS {money})"
     return {
         "total": f"CASE WHEN {finite} THEN {amount} END",
-        "positive": f"CASE WHEN `{salary}` > 0 AND {finite} THEN {amount} END",
+        "negative": f"CASE WHEN `{salary}` < 0 AND {finite} THEN {amount} END",
         "positive_rows": f"CASE WHEN `{salary}` > 0 AND {finite} THEN 1 ELSE 0 END",
     }
 
@@ -62,7 +64,8 @@ def finish(values: DataFrame, month: str) -> DataFrame:
                  ELSE double(total) END AS {n.PAYROLL}""",
         f"""CASE WHEN nan > 0 THEN double('NaN')
                  WHEN up > 0 THEN double('Infinity')
-                 ELSE double(positive) / nullif(positive_rows, 0) END AS {n.MEAN_PAY}""",
+                 ELSE double(total - coalesce(negative, 0)) / nullif(positive_rows, 0)
+            END AS {n.MEAN_PAY}""",
         f"zero_pay_people AS {n.ZERO_PAY_PEOPLE}",
     )
 

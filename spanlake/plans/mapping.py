@@ -24,10 +24,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return read_table(spark, f"{sf_dir}/{name}.parquet")
 
 
-def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread_small(table(spark, sf_dir, "lineitem"), "l_orderkey", "l_suppkey")
-
-
 def snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("id"),
@@ -47,7 +43,7 @@ def salary() -> Column:
 
 def periods(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items as periods; their start month comes with the snapshot."""
-    return lines(spark, sf_dir).select(
+    return table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("master_id"),
         F.col("l_linenumber").alias("line"),
         F.col("l_suppkey").alias("employer"),
@@ -65,7 +61,8 @@ def scoped(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def every_period(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All line items as valid periods of three to 21 months that end with the shipping."""
-    rows = lines(spark, sf_dir).select(
+    lines = spread_small(table(spark, sf_dir, "lineitem"), "l_orderkey", "l_suppkey")
+    rows = lines.select(
         F.col("l_orderkey").alias("master_id"),
         F.col("l_linenumber").alias("line"),
         F.col("l_suppkey").alias("employer"),
@@ -92,7 +89,7 @@ def messy(spark: SparkSession, sf_dir: str) -> DataFrame:
     front = F.when(quantity == 8, "x").when(quantity == 9, "0000")
     begin = F.when(quantity == 9, 5).otherwise(1)
     nothing = F.lit("")
-    return lines(spark, sf_dir).select(
+    return table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("master_id"),
         F.col("l_linenumber").alias("line"),
         F.when(
