@@ -49,18 +49,6 @@ def month_dim(detail: DataFrame, start: str = n.START, end: str = n.END) -> Data
     )
 
 
-def range_join(
-    detail: DataFrame, dim: DataFrame, start: str = n.START, end: str = n.END
-) -> DataFrame:
-    """One row per period and month of the axis, by comparing the month texts.
-
-    The axis is broadcast: it has at most one row per four-digit year and month.
-    """
-    return detail.where(well_formed(start, end)).join(
-        F.broadcast(dim), F.col(n.MONTH).between(F.col(start), F.col(end))
-    )
-
-
 def expand(detail: DataFrame, start: str = n.START, end: str = n.END) -> DataFrame:
     """One row per period and month, without a join; reversed periods give none."""
     months = F.sequence(month_index(start), month_index(end))
@@ -72,6 +60,18 @@ def expand(detail: DataFrame, start: str = n.START, end: str = n.END) -> DataFra
     )
 
 
+def range_join(
+    detail: DataFrame, dim: DataFrame, start: str = n.START, end: str = n.END
+) -> DataFrame:
+    """One row per period and month of the axis that lies in it.
+
+    The months of a period are finitely many, so the range condition becomes an equality with
+    each of them: a hash join with the axis instead of comparing every period with every month.
+    The axis is broadcast: it has at most one row per four-digit year and month.
+    """
+    return expand(detail, start, end).join(F.broadcast(dim), n.MONTH)
+
+
 def sweep(
     rows: DataFrame,
     roles: Roles,

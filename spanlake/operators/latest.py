@@ -47,6 +47,15 @@ def latest_per_key_by_max(
     )
 
 
+def with_time(df: DataFrame, column: str = n.CREATED, parsed: str = "_time") -> DataFrame:
+    """Add the time that a text column stands for, NULL where it stands for none.
+
+    Needed as order of :func:`latest_per_key` only if the texts differ in width; with a fixed
+    width text order is time order.
+    """
+    return df.withColumn(parsed, F.try_to_timestamp(column))
+
+
 def with_soft_delete(df: DataFrame) -> DataFrame:
     """Add the columns of an active row: flag 0 and no deletion time."""
     return df.withColumns(

@@ -388,7 +388,7 @@ def report_presentation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("layer_counts")
 def layer_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Row counts of snapshots and periods with their difference from a second reading."""
+    """Row counts of snapshots and periods, from the footers."""
     counts = [
         row_count(table(spark, sf_dir, name)).select(F.lit(name).alias("table"), "rows")
         for name in ("orders", "lineitem")

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from spanlake import names as n
 from spanlake.operators import quality as q
 from spanlake.operators.intervals import Roles, month_dim
-from spanlake.operators.latest import latest_per_key, with_soft_delete
+from spanlake.operators.latest import latest_per_key, with_soft_delete, with_time
 from spanlake.operators.report import monthly_report, report_summary
 from spanlake.operators.scope import scope_to_latest, with_snapshot_columns
 from spanlake.operators.split import clean_periods, rejected_periods, valid_periods
@@ -69,6 +69,7 @@ def ingest(
     files: InputFiles = InputFiles(),
     layout: Layout = Layout(),
     multi_line: bool = False,
+    check_header: bool = False,
 ) -> LayerResult:
     """CSV files to Parquet as they are, with load columns.
 
@@ -79,7 +80,9 @@ def ingest(
         ("snapshots", "MASTER_ROWS", files.snapshots, layout.snapshots, snapshot_schema()),
         ("periods", "DETAIL_ROWS", files.periods, layout.periods, period_schema()),
     ):
-        raw = read_csv(spark, inside(in_dir, file), schema, multi_line)
+        raw = read_csv(
+            spark, inside(in_dir, file), schema, multi_line, check_header=check_header
+        )
         sent, written = write_observed(with_load_columns(raw, file), inside(out_dir, folder))
         metrics[metric] = written
         rules.append(q.row_difference(spark, f"{table}: written rows", written, sent))
@@ -96,19 +99,24 @@ def conform(
     out_dir: str,
     layout: Layout = Layout(),
     keep_unknown: bool = True,
+    parse_time: bool = False,
 ) -> LayerResult:
     """Latest snapshot per person; its periods, cleaned and split into valid rows and rejects.
 
     The split looks at single rows, so it runs before the join to the snapshots: each pass
     shuffles only the rows it writes.  ``keep_unknown=False`` drops rows with a missing month
-    where it leaves the validity open, instead of rejecting them.
+    where it leaves the validity open, instead of rejecting them.  ``parse_time`` orders the
+    snapshots by the parsed creation time instead of its text.
     """
     raw_snapshots = read_table(spark, inside(in_dir, layout.snapshots))
     raw_periods = clean_periods(read_table(spark, inside(in_dir, layout.periods)))
 
-    latest = write_table(
-        with_soft_delete(latest_per_key(raw_snapshots)), inside(out_dir, layout.snapshots)
+    newest = (
+        latest_per_key(with_time(raw_snapshots), order=("_time", n.ID)).drop("_time")
+        if parse_time
+        else latest_per_key(raw_snapshots)
     )
+    latest = write_table(with_soft_delete(newest), inside(out_dir, layout.snapshots))
     valid = write_table(
         scope_to_latest(valid_periods(raw_periods), latest), inside(out_dir, layout.periods)
     )

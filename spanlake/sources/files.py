@@ -25,13 +25,19 @@ def read_csv(
     schema: StructType,
     multi_line: bool = False,
     corrupt_column: str | None = None,
+    check_header: bool = False,
 ) -> DataFrame:
     """CSV files under an explicit schema; columns are bound by position.
 
     Values that do not fit become NULL and the row is kept.  ``corrupt_column`` adds the text of
     such records.  ``multi_line`` reads quoted line breaks, at the price of one task per file.
+    ``check_header`` fails on a header that differs from the schema.
     """
-    options = dict(CSV_DIALECT, multiLine=str(multi_line).lower())
+    options = dict(
+        CSV_DIALECT,
+        multiLine=str(multi_line).lower(),
+        enforceSchema=str(not check_header).lower(),
+    )
     if corrupt_column is not None:
         schema = StructType([*schema.fields]).add(corrupt_column, StringType())
         options["columnNameOfCorruptRecord"] = corrupt_column

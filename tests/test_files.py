@@ -1,5 +1,6 @@
 import math
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructType
 
@@ -79,6 +80,11 @@ def test_corrupt_records_can_be_kept(spark, tmp_path):
     assert [r[4] for r in rows] == [None, ",b,oops,y", None, 'line"', '4,"",,z,extra', "5,short"]
 
 
+def test_header_is_checked_on_request(spark, tmp_path):
+    with pytest.raises(Exception, match="CSV header does not conform to the schema"):
+        read_csv(spark, _file(tmp_path), SCHEMA, check_header=True).collect()
+
+
 def test_load_columns(spark):
     row = with_load_columns(spark.range(1), "f.csv").first()
     assert (row["source_file"], row["layer"]) == ("f.csv", "BRONZE")

@@ -4,6 +4,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from spanlake.__main__ import main
 from spanlake.operators import quality as q
 from spanlake.operators.report import present
 from spanlake.plans.jobs import RuleViolation, conform, ingest, report, run_all, validate
@@ -213,3 +214,15 @@ def test_status_follows_the_rules(spark):
     assert q.layer_status("X", metrics, good).first()["status"] == "SUCCESS"
     assert q.layer_status("X", metrics, bad).first()["status"] == "FAILED"
     assert q.total_violations(bad).first()["ERROR_ROWS"] == 1
+
+
+def test_shell_entry_returns_the_exit_code(spark, inputs, tmp_path):
+    lake = str(tmp_path / "lake")
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    level = ["run-all", "--input-dir", inputs, "--output-dir", lake]
+    try:
+        assert main([*level, "--expected-periods", "8"]) == 0
+        assert main(["validate", "--lake-dir", lake]) == 0
+        assert main([*level, "--expected-periods", "9"]) == 1
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)

@@ -4,7 +4,12 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from spanlake.operators.latest import latest_per_key, latest_per_key_by_max, with_soft_delete
+from spanlake.operators.latest import (
+    latest_per_key,
+    latest_per_key_by_max,
+    with_soft_delete,
+    with_time,
+)
 from spanlake.operators.scope import orphans, scope_to_latest, with_snapshot_columns
 from spanlake.operators.skew import hot_keys, join_salted, spread_small
 
@@ -31,6 +36,13 @@ def test_latest_by_time_then_id_with_nulls_last(spark, pick):
     assert kept.count() == df.select("SO_SO_BHXH").distinct().count()
 
 
+def test_parsed_time_orders_texts_of_different_width(spark):
+    rows = [(1, "a", "2026-01-01 9:00:00"), (2, "a", "2026-01-01 10:00:00"), (3, "a", "soon")]
+    df = spark.createDataFrame(rows, "ID bigint, SO_SO_BHXH string, CREATED_AT string")
+    assert latest_per_key(df).first()["ID"] == 3
+    assert latest_per_key(with_time(df), order=["_time", "ID"]).first()["ID"] == 2
+
+
 def test_latest_sends_one_row_per_key_and_partition(spark):
     df = spark.range(1000).select(
         F.col("id").alias("ID"),
