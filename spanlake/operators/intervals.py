@@ -75,39 +75,45 @@ def range_join(
 def sweep(
     rows: DataFrame,
     roles: Roles,
-    measures: dict[str, str],
+    amount: str,
+    parts: dict[str, str] | None = None,
     flags: dict[str, str] | None = None,
 ) -> DataFrame:
-    """Changes per month of distinct counts, of ``measures`` and of ``flags``.
-
-    Returns ``_month`` (index), ``people``, ``employers``, ``zero_pay_people``, one column per
-    measure and one per flag; the running sum over the months is the value of a month.
-    ``measures`` maps names to SQL of additive values of an exact type.  ``flags`` maps names to
-    SQL of rare conditions; the value of a flag is 1 in months with such a row.
-
-    A row is sent down a few lanes: its person, its employer, its amounts, and where it applies
-    its person as zero-paid and its flags.  Every lane is aggregated before it is shuffled, to
-    one row per entity and start month or, for amounts, per start and end month.  So a person,
-    employer or flag with any number of periods reaches the window with no more rows than the
-    axis has months.
+    """Changes per month of distinct counts, amounts and flags.
+
+    Returns ``_month`` (index), ``people``, ``employers``, ``zero_pay_people``, ``total`` and
+    ``rows`` of the amounts, for each part ``<part>_total`` and ``<part>_rows``, and each flag;
+    the running sum over the months is the value of a month.  ``amount`` is SQL of an exact type.
+    ``parts`` and ``flags`` map names to SQL of rare conditions; a part restricts total and rows,
+    the value of a flag is 1 in months with such a row.
+
+    A row is sent down a few lanes: its person, its employer, its amount, and where it applies
+    its person as zero-paid, its parts and its flags.  Every lane is aggregated before it is
+    shuffled, to one row per entity and start month or, for amounts, per start and end month.  So
+    a person, employer or flag with any number of periods reaches the window with no more rows
+    than the axis has months.  All lanes share one sum and one count, which keeps the rows of
+    this aggregation, by far the largest, narrow.
     """
-    flags = flags or {}
+    parts, flags = parts or {}, flags or {}
     person, employer, salary = f"`{roles.person}`", f"`{roles.employer}`", f"`{roles.salary}`"
-    by_person, by_employer, by_amount, by_zero_pay, *by_flag = range(4 + len(flags))
+    by_person, by_employer, by_amount, by_zero_pay, *others = range(4 + len(parts) + len(flags))
+    by_part, by_flag = others[: len(parts)], others[len(parts) :]
     special = {
         by_zero_pay: f"{salary} = 0 AND {person} IS NOT NULL",
+        **dict(zip(by_part, parts.values())),
         **dict(zip(by_flag, flags.values())),
     }
     usual = f"{by_person}, {by_employer}, {by_amount}"
     more = ", ".join(f"CASE WHEN _is_{lane} THEN {lane} ELSE -1 END" for lane in special)
+    is_amount = f"_lane IN ({', '.join(map(str, [by_amount, *by_part]))})"
     lanes = (
         rows.select(
             month_index(roles.start).alias("_from"),
             month_index(roles.end).alias("_to"),
             F.expr(f"{person} AS _person"),
             F.expr(f"{employer} AS _employer"),
+            F.expr(f"{amount} AS _amount"),
             *[F.expr(f"coalesce({sql}, false) AS _is_{lane}") for lane, sql in special.items()],
-            *[F.expr(f"{sql} AS {m}") for m, sql in measures.items()],
         )
         .selectExpr(
             # Malformed and reversed months get no lane.  A filter for them would be pushed below
@@ -120,26 +126,27 @@ def sweep(
             "_employer",
             "_from",
             "_to",
-            *measures,
+            "_amount",
         )
         .selectExpr(
             "_lane",
             f"CASE WHEN _lane IN ({by_person}, {by_zero_pay}) THEN _person END AS _person",
             f"CASE WHEN _lane = {by_employer} THEN _employer END AS _employer",
             "_from",
-            f"CASE WHEN _lane = {by_amount} THEN _to END AS _until",
+            f"CASE WHEN {is_amount} THEN _to END AS _until",
             "_to",
-            *measures,
+            "_amount",
         )
         .where(
             f"_lane >= 0 AND (_lane <> {by_person} OR _person IS NOT NULL)"
             f" AND (_lane <> {by_employer} OR _employer IS NOT NULL)"
         )
     )
+    # FILTER, unlike a sum over CASE, skips the decimal addition in all other lanes.
     entity_months = lanes.groupBy("_lane", "_person", "_employer", "_from", "_until").agg(
         F.expr("max(_to) AS _to"),
-        # FILTER, unlike a sum over CASE, skips the decimal addition in all other lanes.
-        *[F.expr(f"sum({m}) FILTER (WHERE _lane = {by_amount}) AS {m}") for m in measures],
+        F.expr(f"sum(_amount) FILTER (WHERE {is_amount}) AS _amount"),
+        F.expr(f"count(_amount) FILTER (WHERE {is_amount}) AS _rows"),
     )
 
     # The part of an interval that no earlier-starting interval of the same entity covers, once
@@ -147,9 +154,8 @@ def sweep(
     edges = (
         entity_months.selectExpr(
             "*",
-            f"""CASE WHEN _lane <> {by_amount} THEN max(_to) OVER (
-                  PARTITION BY _lane, _person, _employer,
-                               CASE WHEN _lane = {by_amount} THEN _from END
+            f"""CASE WHEN NOT {is_amount} THEN max(_to) OVER (
+                  PARTITION BY _lane, _person, _employer, CASE WHEN {is_amount} THEN _from END
                   ORDER BY _from ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
                 END AS _covered""",
         )
@@ -158,8 +164,9 @@ def sweep(
             "_lane",
             "greatest(_from, _covered + 1) AS _from",
             "_to + 1 AS _until",
+            "_amount",
+            "_rows",
             "explode(array(1, -1)) AS _sign",
-            *measures,
         )
     )
     heads = {
@@ -168,17 +175,17 @@ def sweep(
         "zero_pay_people": by_zero_pay,
         **dict(zip(flags, by_flag)),
     }
+    sums = {"": by_amount, **{f"{part}_": lane for part, lane in zip(parts, by_part)}}
+    signed = "CASE WHEN _sign = 1 THEN _amount ELSE -_amount END"
     return edges.groupBy(F.expr("CASE WHEN _sign = 1 THEN _from ELSE _until END AS _month")).agg(
         *[
             F.expr(f"coalesce(sum(_sign) FILTER (WHERE _lane = {lane}), 0) AS {name}")
             for name, lane in heads.items()
         ],
         *[
-            F.expr(
-                f"coalesce(sum(CASE WHEN _sign = 1 THEN {m} ELSE -{m} END)"
-                f" FILTER (WHERE _lane = {by_amount}), 0) AS {m}"
-            )
-            for m in measures
+            F.expr(f"coalesce(sum({sql}) FILTER (WHERE _lane = {lane}), 0) AS {part}{what}")
+            for part, lane in sums.items()
+            for what, sql in (("total", signed), ("rows", "_sign * _rows"))
         ],
     )
 

@@ -12,20 +12,14 @@ from spanlake.operators.intervals import Roles, accumulate, expand, range_join,
 MONEY = "decimal(28,6)"
 
 
-def money_measures(salary: str, money: str = MONEY) -> dict[str, str]:
-    """Additive values from which sum and mean of the finite salaries follow, as SQL.
+def finite_amount(salary: str, money: str = MONEY) -> str:
+    """SQL of a finite salary as decimal, so that no result depends on row order; else NULL."""
+    return f"CASE WHEN abs(`{salary}`) < double('Infinity') THEN CAST(`{salary}` AS {money}) END"
 
-    They are decimals, so neither row order nor subtraction changes a result.  The sum of the
-    positive salaries is the total less the negative ones, which costs a second conversion to
-    decimal only for the rare negative salary.
-    """
-    finite = f"abs(`{salary}`) < double('Infinity')"
-    amount = f"CAST(`{salary}` AS {money})"
-    return {
-        "total": f"CASE WHEN {finite} THEN {amount} END",
-        "negative": f"CASE WHEN `{salary}` < 0 AND {finite} THEN {amount} END",
-        "positive_rows": f"CASE WHEN `{salary}` > 0 AND {finite} THEN 1 ELSE 0 END",
-    }
+
+def unpaid(salary: str) -> dict[str, str]:
+    """Rows to be left out of the mean; fewer than the rows that count."""
+    return {"unpaid": f"`{salary}` <= 0 AND abs(`{salary}`) < double('Infinity')"}
 
 
 def odd_salaries(salary: str) -> dict[str, str]:
@@ -38,13 +32,18 @@ def odd_salaries(salary: str) -> dict[str, str]:
 
 
 def monthly_values(expanded: DataFrame, roles: Roles, money: str = MONEY) -> DataFrame:
-    """Distinct counts and money measures of rows that carry their month."""
+    """Distinct counts and amounts of rows that carry their month, named as by the sweep."""
     person, employer, salary = f"`{roles.person}`", f"`{roles.employer}`", f"`{roles.salary}`"
+    amount = finite_amount(roles.salary, money)
+    without = unpaid(roles.salary)["unpaid"]
     return expanded.groupBy(n.MONTH).agg(
         F.expr(f"count(DISTINCT {person}) AS people"),
         F.expr(f"count(DISTINCT {employer}) AS employers"),
         F.expr(f"count(DISTINCT CASE WHEN {salary} = 0 THEN {person} END) AS zero_pay_people"),
-        *[F.expr(f"sum({sql}) AS {m}") for m, sql in money_measures(roles.salary, money).items()],
+        F.expr(f"sum({amount}) AS total"),
+        F.expr(f"count({amount}) AS rows"),
+        F.expr(f"sum(CASE WHEN {without} THEN {amount} END) AS unpaid_total"),
+        F.expr(f"count_if({without}) AS unpaid_rows"),
         *[
             F.expr(f"coalesce(max(int({sql})), 0) AS {flag}")
             for flag, sql in odd_salaries(roles.salary).items()
@@ -64,7 +63,7 @@ def finish(values: DataFrame, month: str) -> DataFrame:
                  ELSE double(total) END AS {n.PAYROLL}""",
         f"""CASE WHEN nan > 0 THEN double('NaN')
                  WHEN up > 0 THEN double('Infinity')
-                 ELSE double(total - coalesce(negative, 0)) / nullif(positive_rows, 0)
+                 ELSE double(total - coalesce(unpaid_total, 0)) / nullif(rows - unpaid_rows, 0)
             END AS {n.MEAN_PAY}""",
         f"zero_pay_people AS {n.ZERO_PAY_PEOPLE}",
     )
@@ -110,7 +109,11 @@ def report_by_sweep(
 ) -> DataFrame:
     """One pass over the periods; without ``dim`` the axis spans exactly these periods."""
     changes = sweep(
-        detail, roles, money_measures(roles.salary, money), odd_salaries(roles.salary)
+        detail,
+        roles,
+        finite_amount(roles.salary, money),
+        unpaid(roles.salary),
+        odd_salaries(roles.salary),
     )
     values = accumulate(changes, dim).orderBy("_month")
     return fill_zeros(finish(values, MONTH_TEXT.format("_month")))

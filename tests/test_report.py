@@ -215,7 +215,7 @@ def test_a_frequent_person_is_reduced_before_the_shuffle(spark):
         F.format_string("2020%02d", F.col("id") % 12 + 1).alias("TU_THANG"),
         F.lit("202012").alias("DEN_THANG"),
     )
-    plan = sweep(df, Roles(), {})._jdf.queryExecution().executedPlan().toString()
+    plan = sweep(df, Roles(), "MUC_LUONG")._jdf.queryExecution().executedPlan().toString()
     assert "partial_max" in plan
     december = report_by_sweep(None, df).collect()[-1]
     assert (december["THANG_ID"], december["SO_NGUOI_THAM_GIA"]) == ("202012", 20_001)
