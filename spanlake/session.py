@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -32,12 +31,9 @@ def build_session(app: str, time_zone: str = TIME_ZONE, **conf: str) -> SparkSes
 def scratch_path(spark: SparkSession, name: str) -> str:
     """New path for a table written to be read back.
 
-    It lies in the shared folder of ``spark.checkpoint.dir``.  Only a local session without that
-    setting falls back to a temporary folder of this machine.
+    It lies in the shared folder of ``spark.checkpoint.dir``, or where that is unset in the
+    warehouse folder, which all executors reach as well.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-        shared = tempfile.mkdtemp(prefix="spanlake-")
+    shared = shared or f"{spark.conf.get('spark.sql.warehouse.dir')}/.scratch"
     return f"{shared.rstrip('/')}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
