@@ -20,7 +20,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """The rows, cut from their lineage by a table in the shared scratch folder."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -45,6 +45,8 @@ def bounded_sample(df: DataFrame, rows: int, *key: str | Column) -> DataFrame:
 
 def store(path: str) -> tuple[fs.FileSystem, str]:
     """File system of a path that every executor reaches, and the path within it."""
+    if path.startswith("file:/") and not path.startswith("file://"):
+        path = path.removeprefix("file:")
     return fs.FileSystem.from_uri(path)
 
 

@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from spanlake.llm import bpe
 from spanlake.llm import quality_rules as qr
+from spanlake.llm import token_files as tf
 from spanlake.llm import toxicity as tox
 from spanlake.llm.common import load
 from spanlake.llm.token_counts import token_counts
@@ -83,3 +85,27 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_tokens",
         (F.col("n_tokens") > 4096).alias("over_limit"),
     )
+
+
+@query("op1_token_files")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as read back from the token files that all of them were written to."""
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    folder = tf.new_folder(spark)
+    manifest = tf.write_token_files(docs, public_tokenizers.path("byte_bpe_50k.json"), folder)
+    return tf.read_token_files(manifest, folder).select(
+        F.col("id").alias("doc_id"), "start", "n_tokens", F.crc32("ids").alias("ids_crc32")
+    )
+
+
+@query("op5_bpe")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every document's ids and of the bytes that they decode to."""
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return bpe.decode(bpe.encode(docs, ranks), ranks).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
