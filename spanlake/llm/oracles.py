@@ -47,3 +47,23 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
             OR 2 * n_upper > greatest(n_letters, 1)) AS kept
 FROM f
 """
+
+ORACLES["op3_url_rules"] = r"""
+WITH rules(rhost, rpath, verdict) AS (
+  VALUES ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'),
+         ('com', '/fr/', 'allow'), ('com', '/de/', 'block')),
+p AS (
+  SELECT row_number() OVER () AS rid, page_id,
+         coalesce(translate(regexp_extract(url, '^(?s:.*?)://([^/?#]*)', 1),
+           'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+         coalesce(regexp_extract(url, '^(?s:.*?)://[^/?#]*([^?#]*)', 1), '') AS path
+  FROM pages),
+best AS (
+  SELECT rid, rhost || rpath AS rule, verdict,
+         row_number() OVER (PARTITION BY rid ORDER BY length(rhost || rpath) DESC,
+           length(rhost) DESC, verdict DESC) AS k
+  FROM p JOIN rules
+    ON (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath))
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict
+FROM p LEFT JOIN (SELECT * FROM best WHERE k = 1) b USING (rid)
+"""

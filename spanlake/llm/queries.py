@@ -12,8 +12,10 @@ from spanlake.llm import bpe
 from spanlake.llm import quality_rules as qr
 from spanlake.llm import token_files as tf
 from spanlake.llm import toxicity as tox
+from spanlake.llm import url_rules, warc
 from spanlake.llm.common import load
 from spanlake.llm.token_counts import token_counts
+from spanlake.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -109,3 +111,33 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+# Host, path and verdict of the rules.
+URL_RULES = [
+    ("org", "/", "allow"),
+    ("example.org", "/es/", "block"),
+    ("example.org", "/en/1", "block"),
+    ("com", "/fr/", "allow"),
+    ("com", "/de/", "block"),
+]
+
+
+@query("op3_url_rules")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = load(spark, sf_dir, "pages").select("page_id", "url")
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return url_rules.judge(pages, rules).drop("url")
+
+
+@query("op8_warc")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of all pages as read back from the archives they were written to."""
+    pages = load(spark, sf_dir, "pages").select("page_id", "url", "html")
+    folder = scratch_path(spark, "warc")
+    archives = warc.write_archives(pages, folder)
+    return (
+        warc.read_archives(archives, folder)
+        .where("gap IS NULL")
+        .select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    )
