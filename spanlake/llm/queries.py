@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spanlake.llm import bpe
+from spanlake.llm import near_duplicates as nd
 from spanlake.llm import quality_rules as qr
 from spanlake.llm import token_files as tf
 from spanlake.llm import toxicity as tox
@@ -141,3 +142,9 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
         .where("gap IS NULL")
         .select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
     )
+
+
+@query("op7_near_duplicates")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class and number of links of every document at a Jaccard similarity of 0.8."""
+    return nd.join_counts(load(spark, sf_dir, "documents").select("doc_id", "text"))
