@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spanlake.llm import bpe
+from spanlake.llm import bpe, chat
+from spanlake.llm import decontamination as dc
 from spanlake.llm import near_duplicates as nd
 from spanlake.llm import quality_rules as qr
 from spanlake.llm import token_files as tf
@@ -148,3 +149,15 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Class and number of links of every document at a Jaccard similarity of 0.8."""
     return nd.join_counts(load(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query("op2_decontamination")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The benchmark items that each document contains, also with other names and numbers."""
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    return dc.report(docs, load(spark, sf_dir, "benchmark").select("item_id", "text"))
+
+
+@query("op6_chat")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.conversations(load(spark, sf_dir, "conversations"))
