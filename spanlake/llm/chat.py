@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from spanlake.llm.common import let, written
 
+BLANKS = " \t\r\n"
 MARK = r"^\s*((?:>\s*)+)"
 ATTRIBUTION = r"(?i)^.{0,200}\b(wrote|schrieb|a écrit|escribió):\s*$"
 
@@ -86,7 +87,7 @@ def own_text(lines: Column) -> Column:
         ),
         lambda x: x["own"],
     )
-    return F.trim(F.array_join(F.transform(kept, lambda x: x["body"]), "\n"))
+    return F.btrim(F.array_join(F.transform(kept, lambda x: x["body"]), "\n"), F.lit(BLANKS))
 
 
 def reply_links(messages: DataFrame) -> DataFrame:
@@ -166,7 +167,7 @@ def conversations(
         "turn",
         "role",
         F.when(F.col("text").contains(">"), own_text(F.col("lines")))
-        .otherwise(F.trim("text"))
+        .otherwise(F.btrim("text", F.lit(BLANKS)))
         .alias("text"),
         F.when(F.col("text").contains(">"), F.size(quoted)).otherwise(0).cast("long").alias("n_quoted"),
     )

@@ -245,10 +245,11 @@ def may_go_on(data: bytes, left: int) -> bool:
 def parsed(data: bytes, at: int) -> tuple[dict[str, str], bytes, int]:
     """Headers and block of the record at an offset, and the offset after it."""
     head = data.find(b"\r\n\r\n", at)
-    if not data.startswith(VERSION_START, at) or head < 0:
+    version, *lines = data[at:head].split(b"\r\n") if head >= 0 else [b""]
+    if not (version.startswith(VERSION_START) and version[len(VERSION_START) :].isdigit()):
         raise Broken("no record head")
     headers = {}
-    for line in data[at:head].split(b"\r\n")[1:]:
+    for line in lines:
         name, colon, value = line.partition(b":")
         if not colon:
             raise Broken("malformed header")
