@@ -21,6 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import tokenizers
 import zstandard
 from pyspark import TaskContext
@@ -39,7 +40,11 @@ SAMPLE_ROWS = 1_000
 SAMPLE_CHARS = 8_000
 """The dictionary is trained on at most this many documents, none longer than this."""
 
-CACHE_WORDS = 600_000
+CACHE_WORDS = 1_200_000
+CHUNK_CHARS = 4 << 20
+FIRST = "\x00"
+"""Marks the beginning of a text; texts that contain it are encoded whole."""
+
 LEVEL = 3
 
 
@@ -77,32 +82,59 @@ class Encoder:
 
     def separable(self, text: str) -> bool:
         return (
-            "  " not in text
+            text != ""
+            and "  " not in text
+            and FIRST not in text
             and not text.startswith(" ")
             and not text.endswith(" ")
             and not any(s in text for s in self.special)
         )
 
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        cache, apart = self.cache, [self.separable(t) for t in texts]
-        split = [t.split(" ") if a else None for t, a in zip(texts, apart)]
-        if len(cache) > self.most:
-            cache.clear()
-        new: set[str] = set()
-        for parts in split:
-            if parts:
-                new.update(parts[1:])
-        missing = list(new.difference(cache))
-        if missing:
-            ids = np.array(self.model.encode(" " + " ".join(missing), add_special_tokens=False).ids)
+    def _learn(self, parts: list[str]) -> None:
+        """Encode stretches; those of text beginnings are marked and have no space before them."""
+        first = [p for p in parts if p.startswith(FIRST)]
+        rest = [p for p in parts if not p.startswith(FIRST)]
+        self.cache.update(zip(first, self.whole([p[1:] for p in first])))
+        if rest:
+            ids = np.array(self.whole_ids(" " + " ".join(rest)), np.int64)
             begins = (np.flatnonzero(self.leads[ids]) * 4).tolist()
             raw = ids.astype("<u4").tobytes()
-            for part, i, j in zip(missing, begins, [*begins[1:], len(raw)], strict=True):
-                cache[part] = raw[i:j]
-        firsts = iter(self.whole([p[0] if p else t for t, p in zip(texts, split)]))
-        return [
-            next(firsts) + (b"".join(map(cache.__getitem__, p[1:])) if p else b"") for p in split
-        ]
+            for part, i, j in zip(rest, begins, [*begins[1:], len(raw)], strict=True):
+                self.cache[part] = raw[i:j]
+
+    def whole_ids(self, text: str) -> list[int]:
+        return self.model.encode_batch_fast([text], add_special_tokens=False)[0].ids
+
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        """Ids of the texts; the distinct stretches of all of them are looked up once."""
+        made: list[bytes] = [b""] * len(texts)
+        apart = [i for i, t in enumerate(texts) if self.separable(t)]
+        others = [i for i in range(len(texts)) if texts[i] and not self.separable(texts[i])]
+        for i, ids in zip(others, self.whole([texts[i] for i in others])):
+            made[i] = ids
+        if not apart:
+            return made
+        marked = pa.array([FIRST + texts[i] for i in apart], pa.large_string())
+        split = pc.split_pattern(marked, " ")
+        places = split.flatten().dictionary_encode()
+        parts = places.dictionary.to_pylist()
+        if len(self.cache) > self.most:
+            self.cache.clear()
+        missing = [p for p in parts if p not in self.cache]
+        if missing:
+            self._learn(missing)
+        found = list(map(self.cache.__getitem__, parts))
+        size = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        begins = np.cumsum(size) - size
+        ids = np.frombuffer(b"".join(found), "<u4")
+        wanted = places.indices.to_numpy()
+        counts = size[wanted]
+        ends = np.cumsum(counts)
+        flat = ids[np.repeat(begins[wanted] - (ends - counts), counts) + np.arange(ends[-1])]
+        bounds = np.append(0, ends)[split.offsets.to_numpy() - split.offsets[0].as_py()]
+        for i, a, b in zip(apart, bounds, bounds[1:]):
+            made[i] = flat[a:b].tobytes()
+        return made
 
 
 def train_dictionary(samples: list[bytes], size: int = DICTIONARY_BYTES) -> bytes:
@@ -155,7 +187,7 @@ def write_token_files(
         encoder, end = Encoder.of(path), struct.pack("<I", end_id)
         packer = zstandard.ZstdCompressor(level=LEVEL, **_compression(shared.value))
         out, index, offset, tokens = None, bytearray(), 0, 0
-        for batch, texts in text_chunks(batches, "text"):
+        for batch, texts in text_chunks(batches, "text", CHUNK_CHARS):
             if out is None:
                 fs_, root_ = store(folder)
                 name = f"{uuid.uuid4().hex}.ids"
