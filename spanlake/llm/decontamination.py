@@ -14,12 +14,16 @@ pass through; working columns take names that the input does not have.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spanlake.llm.common import written
+from spanlake.llm.common import let, written
 
 WINDOW = 8
+"""Words of a window, a power of two."""
+
 MIN_LITERALS = 4
 """Words of a window, at least, that are no placeholders."""
 
@@ -29,8 +33,9 @@ MIN_WORDS = 13
 MIN_AGREEMENT = 0.7
 """Share of the placeholders of a diagonal that follow its most frequent renaming."""
 
-BROADCAST_WINDOWS = 1_000_000
-"""Benchmark windows up to which they are broadcast; beyond, both sides are shuffled."""
+BROADCAST_ROWS = 1_000_000
+"""Benchmark windows and found texts, some tens of bytes each, up to which they are broadcast.  Their
+number is counted first; beyond it both sides are shuffled."""
 
 # Units of measure in the four languages.
 UNITS = """km m cm mm mi ft kg g mg lb lbs oz l ml h min s hours hour minutes minute seconds second
@@ -51,7 +56,7 @@ def template(text: Column) -> Column:
     numbered = F.regexp_replace(named, DIGITS, f" {NUMBER} ")
     units = "|".join(sorted(UNITS, key=len, reverse=True))
     measured = F.regexp_replace(
-        numbered, rf"(?<={NUMBER} {{1,9}})(?:{units})(?![{LETTER}])", f" {UNIT} "
+        numbered, rf"{NUMBER} +(?:{units})(?![{LETTER}])", f"{NUMBER} {UNIT} "
     )
     words = F.split(F.lower(measured), rf"[^{LETTER}\x01-\x03]+")
     return F.filter(words, lambda w: w != "")
@@ -66,17 +71,24 @@ def values(text: Column) -> Column:
 
 
 def windows(words: Column) -> Column:
-    """Hashes of the windows, by place; empty for fewer words than a window."""
+    """Hashes of the windows, by place; empty for fewer words than a window.
+
+    The hash of a window is made from those of its halves, which overlapping windows share.
+    """
 
-    def hashed(codes: Column) -> Column:
-        starts = F.sequence(F.lit(1), F.size(codes) - (WINDOW - 1))
-        return F.when(
-            F.size(codes) >= WINDOW,
-            F.transform(starts, lambda i: F.xxhash64(F.slice(codes, i, WINDOW))),
+    def doubled(step: int) -> Callable[[Column], Column]:
+        return lambda codes: F.zip_with(
+            codes,
+            F.slice(codes, F.lit(step + 1), F.size(codes)),
+            lambda a, b: F.xxhash64(a, b),
         )
 
     codes = F.transform(words, lambda w: F.xxhash64(w))
-    return F.get(F.transform(F.array(codes), hashed), F.lit(0))
+    for step in (1, 2, 4):
+        codes = let(codes, doubled(step))
+    return let(
+        codes, lambda c: F.slice(c, F.lit(1), F.greatest(F.size(c) - (WINDOW - 1), F.lit(0)))
+    )
 
 
 def text_key(text: Column) -> Column:
@@ -99,17 +111,20 @@ def item_windows(items: DataFrame, item: str, text: str) -> DataFrame:
     )
 
 
+def counted_broadcast(table: DataFrame) -> DataFrame:
+    """The written table, to be broadcast if it has no more than :data:`BROADCAST_ROWS`."""
+    return F.broadcast(table) if table.count() <= BROADCAST_ROWS else table.hint("merge")
+
+
 def findings(
     docs: DataFrame, items: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text"
 ) -> DataFrame:
     """Contaminated texts: ``key`` (see :func:`text_key`), ``item`` and ``words`` covered."""
     wanted = written(item_windows(items, item, item_text), "item-windows")
-    small = wanted.count() <= BROADCAST_WINDOWS
-    searched = F.broadcast(wanted) if small else wanted.hint("merge")
     matched = written(
         docs.select(text_key(F.col(text)).alias("key"), windows(template(F.col(text))).alias("w"))
         .select("key", F.posexplode("w").alias("place", "hash"))
-        .join(searched, "hash")
+        .join(counted_broadcast(wanted), "hash")
         .selectExpr("key", "item", "place - at AS shift", "at")
         .distinct(),
         "matches",
@@ -121,10 +136,10 @@ def findings(
         )
         .distinct()
     )
-    hit = matched.select("key").distinct()
+    hit = written(matched.select("key").distinct(), "hits")
     texts = (
         docs.select(text_key(F.col(text)).alias("key"), F.col(text).alias("_text"))
-        .join(hit, "key", "left_semi")
+        .join(counted_broadcast(hit), "key", "left_semi")
         .groupBy("key")
         .agg(F.first("_text").alias("_text"))
         .select("key", values(F.col("_text")).alias("mine"))
@@ -151,6 +166,7 @@ def findings(
     )
     pairs = written(pairs, "slots")
     diagonal = ["key", "item", "shift"]
+    # How much of a diagonal follows the most frequent renaming, from either side.
     renamed = (
         pairs.where("slot")
         .groupBy(*diagonal, "a", "b")
@@ -158,12 +174,14 @@ def findings(
         .selectExpr(
             *diagonal,
             "n",
-            "max(n) OVER (PARTITION BY key, item, shift, a) AS most_a",
-            "max(n) OVER (PARTITION BY key, item, shift, b) AS most_b",
+            "row_number() OVER (PARTITION BY key, item, shift, a ORDER BY n DESC, b) AS of_a",
+            "row_number() OVER (PARTITION BY key, item, shift, b ORDER BY n DESC, a) AS of_b",
         )
         .groupBy(*diagonal)
         .agg(
-            (F.expr("sum(IF(n = most_a AND n = most_b, n, 0))") / F.sum("n")).alias("agreement")
+            F.expr(
+                "least(sum(IF(of_a = 1, n, 0)), sum(IF(of_b = 1, n, 0))) / sum(n) AS agreement"
+            )
         )
     )
     return (
@@ -201,4 +219,4 @@ def keep_clean(docs: DataFrame, items: DataFrame, text: str = "text", **names: s
     found = written(findings(docs, items, text, **names).select("key").distinct(), "contaminated")
     row = F.struct(*[F.col(f"`{n}`") for n in docs.columns])
     keyed = docs.select(row.alias("row"), text_key(F.col(text)).alias("key"))
-    return keyed.join(found, "key", "left_anti").select("row.*")
+    return keyed.join(counted_broadcast(found), "key", "left_anti").select("row.*")
