@@ -10,15 +10,17 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from spanlake.functions.amounts import quoted
+
 # Fixed value: four year digits and a month 01-12.  \z, unlike $, refuses a trailing newline.
 MONTH_PATTERN = r"^[0-9]{4}(0[1-9]|1[0-2])\z"
 
 MAX_MONTHS = 120_000
 
-MONTH_TEXT = "lpad(string(int({0} / 12) * 100 + {0} % 12 + 1), 6, '0')"
+MONTH_TEXT = "lpad(string(({0} div 12) * 100 + {0} % 12 + 1), 6, '0')"
 """SQL of the month text of an index."""
 
-MONTH_INDEX = "int(int({0}) / 100) * 12 + int({0}) % 100 - 1"
+MONTH_INDEX = "int((int({0}) div 100) * 12 + int({0}) % 100 - 1)"
 """SQL of the index of a well-formed month text."""
 
 
@@ -31,14 +33,18 @@ def is_month(c: Column | str) -> Column:
     return _col(c).rlike(MONTH_PATTERN)
 
 
-def month_index(c: str) -> Column:
-    """Running index of the month text in column ``c``; NULL when the text is not a month."""
-    return F.when(is_month(c), F.expr(MONTH_INDEX.format(f"`{c}`")))
+def month_index(c: str, checked: bool = False) -> Column:
+    """Running index of the month text in column ``c``; NULL when the text is not a month.
+
+    ``checked`` texts are known to be months and are not looked at again.
+    """
+    index = F.expr(MONTH_INDEX.format(quoted(c)))
+    return index if checked else F.when(is_month(c), index)
 
 
 def month_text(c: str) -> Column:
     """Month text of the index in column ``c``, the inverse of :func:`month_index`."""
-    return F.expr(MONTH_TEXT.format(f"`{c}`"))
+    return F.expr(MONTH_TEXT.format(quoted(c)))
 
 
 def month_of(time: Column | str) -> Column:
@@ -55,3 +61,10 @@ def month_label(c: Column | str) -> Column:
 def whole_number(c: Column | str) -> Column:
     """Number without decimals and with thousands separators, as text."""
     return F.format_number(_col(c), 0)
+
+
+def month_count(first: str | None, last: str | None) -> int:
+    """Months from the first to the last month text, 0 where there is none."""
+    if first is None or last is None:
+        return 0
+    return max(0, 12 * (int(last[:4]) - int(first[:4])) + int(last[4:]) - int(first[4:]) + 1)

@@ -25,6 +25,11 @@ PAYROLL = "TONG_QUY_LUONG"
 MEAN_PAY = "LUONG_BINH_QUAN"
 ZERO_PAY_PEOPLE = "SO_NGUOI_LUONG_0"
 
+# Columns of the report's summary.
+PEAK_PEOPLE = "MAX_NGUOI_THAM_GIA"
+PAYROLL_OF_ALL_MONTHS = "SUM_QUY_LUONG_TAT_CA_THANG"
+ZERO_PAY_HEAD_MONTHS = "SUM_NGUOI_LUONG_0"
+
 # Headings of the presented report, in the order of the report's columns.
 REPORT_HEADINGS = {
     MONTH: "Tháng",

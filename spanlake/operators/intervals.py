@@ -6,12 +6,14 @@ work grows with the number of intervals, not with their length.
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spanlake import names as n
+from spanlake.functions.amounts import band, is_finite, quoted, units
 from spanlake.functions.months import month_index, month_text
 from spanlake.operators.split import in_order, well_formed
 
@@ -75,145 +77,171 @@ def range_join(
 def sweep(
     rows: DataFrame,
     roles: Roles,
-    amount: str,
+    heads: Sequence[str] = ("people", "employers", "zero_pay_people"),
     parts: dict[str, str] | None = None,
     flags: dict[str, str] | None = None,
+    checked: bool = False,
 ) -> DataFrame:
     """Changes per month of distinct counts, amounts and flags.
 
-    Returns ``_month`` (index), ``people``, ``employers``, ``zero_pay_people``, ``total`` and
-    ``rows`` of the amounts, for each part ``<part>_total`` and ``<part>_rows``, and each flag;
-    the running sum over the months is the value of a month.  ``amount`` is SQL of an exact type.
-    ``parts`` and ``flags`` map names to SQL of rare conditions; a part restricts total and rows,
-    the value of a flag is 1 in months with such a row.
-
-    A row is sent down a few lanes: its person, its employer, its amount, and where it applies
-    its person as zero-paid, its parts and its flags.  Every lane is aggregated before it is
-    shuffled, to one row per entity and start month or, for amounts, per start and end month.  So
-    a person, employer or flag with any number of periods reaches the window with no more rows
-    than the axis has months.  All lanes share one sum and one count, which keeps the rows of
-    this aggregation, by far the largest, narrow.
+    Returns a row per ``_month`` (index) and ``_band`` of amounts (see ``functions.amounts``; NULL for
+    all that is no amount): the wanted ``heads``, for each part ``<part>_total`` and
+    ``<part>_rows``, and each flag.  The running sum over the months is the value of a month.
+    ``parts`` and ``flags`` map names to SQL conditions; a part sums the salaries of its rows, the
+    value of a flag is 1 in months with such a row.  ``checked`` months are well-formed.
+
+    A row is sent down one lane for each head, part and flag that it bears on, and one that only
+    marks its months.  Every lane is aggregated before it is shuffled, to one row per entity and
+    start month or, for amounts, per band, start and end month.  So a person, employer or flag
+    with any number of periods reaches the window with no more rows than the axis has months.
+    Lanes of heads and parts that are not wanted are not built.
     """
     parts, flags = parts or {}, flags or {}
-    person, employer, salary = f"`{roles.person}`", f"`{roles.employer}`", f"`{roles.salary}`"
-    by_person, by_employer, by_amount, by_zero_pay, *others = range(4 + len(parts) + len(flags))
-    by_part, by_flag = others[: len(parts)], others[len(parts) :]
-    special = {
-        by_zero_pay: f"{salary} = 0 AND {person} IS NOT NULL",
-        **dict(zip(by_part, parts.values())),
-        **dict(zip(by_flag, flags.values())),
+    person, employer, salary = (
+        quoted(c) for c in (roles.person, roles.employer, roles.salary)
+    )
+    known = {
+        "people": ("_person", f"{person} IS NOT NULL"),
+        "employers": ("_employer", f"{employer} IS NOT NULL"),
+        "zero_pay_people": ("_person", f"{salary} = 0 AND {person} IS NOT NULL"),
+    }
+    entities = [c for c in ("_person", "_employer") if any(known[h][0] == c for h in heads)]
+    source = {"_person": person, "_employer": employer}
+    conditions = {
+        **{h: known[h][1] for h in heads},
+        **{p: f"({sql}) AND {is_finite(salary)}" for p, sql in parts.items()},
+        **flags,
     }
-    usual = f"{by_person}, {by_employer}, {by_amount}"
-    more = ", ".join(f"CASE WHEN _is_{lane} THEN {lane} ELSE -1 END" for lane in special)
-    is_amount = f"_lane IN ({', '.join(map(str, [by_amount, *by_part]))})"
+    number = {name: i + 1 for i, name in enumerate(conditions)}
+
+    def lanes_of(names: Iterable[str]) -> str:
+        return ", ".join(str(number[x]) for x in names) or "-1"
+
+    counted = f"_lane IN ({lanes_of([*heads, *flags])})"
+    summed = f"_lane IN ({lanes_of(parts)})"
     lanes = (
         rows.select(
-            month_index(roles.start).alias("_from"),
-            month_index(roles.end).alias("_to"),
-            F.expr(f"{person} AS _person"),
-            F.expr(f"{employer} AS _employer"),
-            F.expr(f"{amount} AS _amount"),
-            *[F.expr(f"coalesce({sql}, false) AS _is_{lane}") for lane, sql in special.items()],
+            month_index(roles.start, checked).alias("_from"),
+            month_index(roles.end, checked).alias("_to"),
+            *[F.expr(f"{source[c]} AS {c}") for c in entities],
+            *([F.expr(f"{salary} AS _salary")] if parts else []),
+            *[F.expr(f"coalesce({sql}, false) AS _is_{number[x]}") for x, sql in conditions.items()],
         )
         .selectExpr(
             # Malformed and reversed months get no lane.  A filter for them would be pushed below
             # the projection and work out both months a second time.
             f"""explode(CASE WHEN _from > _to OR _from IS NULL OR _to IS NULL THEN NULL
-                  WHEN {" OR ".join(f"_is_{lane}" for lane in special)}
-                    THEN array({usual}, {more})
-                  ELSE array({usual}) END) AS _lane""",
-            "_person",
-            "_employer",
+                  ELSE array({", ".join(
+                      ["0", *(f"CASE WHEN _is_{i} THEN {i} ELSE -1 END" for i in number.values())]
+                  )}) END) AS _lane""",
+            *entities,
             "_from",
             "_to",
-            "_amount",
-        )
-        .selectExpr(
-            "_lane",
-            f"CASE WHEN _lane IN ({by_person}, {by_zero_pay}) THEN _person END AS _person",
-            f"CASE WHEN _lane = {by_employer} THEN _employer END AS _employer",
-            "_from",
-            f"CASE WHEN {is_amount} THEN _to END AS _until",
-            "_to",
-            "_amount",
-        )
-        .where(
-            f"_lane >= 0 AND (_lane <> {by_person} OR _person IS NOT NULL)"
-            f" AND (_lane <> {by_employer} OR _employer IS NOT NULL)"
+            *(["_salary"] if parts else []),
         )
+        .where("_lane >= 0")
+    )
+    keys = {
+        c: f"CASE WHEN _lane IN ({lanes_of(h for h in heads if known[h][0] == c)}) THEN {c} END"
+        for c in entities
+    }
+    banded = parts and f"CASE WHEN {summed} THEN {band('_salary')} END"
+    grouped = lanes.selectExpr(
+        "_lane",
+        *[f"{sql} AS {c}" for c, sql in keys.items()],
+        "_from",
+        f"CASE WHEN NOT ({counted}) THEN _to END AS _until",
+        "_to",
+        *([f"{banded} AS _band", f"CASE WHEN {summed} THEN _salary END AS _salary"] if parts else []),
     )
-    # FILTER, unlike a sum over CASE, skips the decimal addition in all other lanes.
-    entity_months = lanes.groupBy("_lane", "_person", "_employer", "_from", "_until").agg(
+    entity_months = grouped.groupBy(
+        "_lane", *entities, "_from", "_until", *(["_band"] if parts else [])
+    ).agg(
         F.expr("max(_to) AS _to"),
-        F.expr(f"sum(_amount) FILTER (WHERE {is_amount}) AS _amount"),
-        F.expr(f"count(_amount) FILTER (WHERE {is_amount}) AS _rows"),
+        *(
+            [F.expr(f"sum({units('_salary')}) AS _units"), F.expr("count(_salary) AS _rows")]
+            if parts
+            else []
+        ),
     )
-
-    # The part of an interval that no earlier-starting interval of the same entity covers, once
-    # as opening and once as closing change.
-    edges = (
-        entity_months.selectExpr(
-            "*",
-            f"""CASE WHEN NOT {is_amount} THEN max(_to) OVER (
-                  PARTITION BY _lane, _person, _employer, CASE WHEN {is_amount} THEN _from END
-                  ORDER BY _from ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
-                END AS _covered""",
-        )
-        .where("_covered IS NULL OR _covered < _to")
-        .selectExpr(
-            "_lane",
-            "greatest(_from, _covered + 1) AS _from",
-            "_to + 1 AS _until",
-            "_amount",
-            "_rows",
-            "explode(array(1, -1)) AS _sign",
+    amounts = ["_band", "_units", "_rows"] if parts else []
+    if heads or flags:
+        # The part of an interval that no earlier-starting interval of the same entity covers.
+        entity_months = (
+            entity_months.selectExpr(
+                "*",
+                f"""CASE WHEN {counted} THEN max(_to) OVER (
+                      PARTITION BY {", ".join(["_lane", *entities])},
+                        CASE WHEN NOT ({counted}) THEN _from END
+                      ORDER BY _from ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+                    END AS _covered""",
+            )
+            .where("_covered IS NULL OR _covered < _to")
+            .selectExpr(
+                "_lane", "greatest(_from, _covered + 1) AS _from", "_to", *amounts
+            )
         )
+    # Once as opening and once as closing change.
+    edges = entity_months.selectExpr(
+        "_lane", "_from", "_to + 1 AS _until", *amounts, "explode(array(1, -1)) AS _sign"
     )
-    heads = {
-        "people": by_person,
-        "employers": by_employer,
-        "zero_pay_people": by_zero_pay,
-        **dict(zip(flags, by_flag)),
-    }
-    sums = {"": by_amount, **{f"{part}_": lane for part, lane in zip(parts, by_part)}}
-    signed = "CASE WHEN _sign = 1 THEN _amount ELSE -_amount END"
-    return edges.groupBy(F.expr("CASE WHEN _sign = 1 THEN _from ELSE _until END AS _month")).agg(
+    signed = "CASE WHEN _sign = 1 THEN _units ELSE -_units END"
+    month = F.expr("CASE WHEN _sign = 1 THEN _from ELSE _until END AS _month")
+    return edges.groupBy(
+        month, F.expr(f"{'_band' if parts else 'int(NULL)'} AS _band")
+    ).agg(
         *[
-            F.expr(f"coalesce(sum(_sign) FILTER (WHERE _lane = {lane}), 0) AS {name}")
-            for name, lane in heads.items()
+            F.expr(f"coalesce(sum(_sign) FILTER (WHERE _lane = {number[x]}), 0) AS {x}")
+            for x in [*heads, *flags]
         ],
         *[
-            F.expr(f"coalesce(sum({sql}) FILTER (WHERE _lane = {lane}), 0) AS {part}{what}")
-            for part, lane in sums.items()
+            F.expr(f"coalesce(sum({sql}) FILTER (WHERE _lane = {number[x]}), 0) AS {x}_{what}")
+            for x in parts
             for what, sql in (("total", signed), ("rows", "_sign * _rows"))
         ],
     )
 
 
-def accumulate(changes: DataFrame, dim: DataFrame | None = None) -> DataFrame:
-    """Values per month (``_month``) from the changes of :func:`sweep`, in order.
+def accumulate(changes: DataFrame) -> DataFrame:
+    """Values per month (``_month``) from the changes of :func:`sweep`.
 
-    Without ``dim`` the axis runs from the first start to the last end: values are constant
-    between two changes, so each change is repeated up to the next one.  With ``dim`` the axis is
-    that table.  The windows run over the month axis only (see ``months.MAX_MONTHS``).
+    The axis runs from the first start to the last end.  Values are constant between two changes, so
+    each change is repeated up to the next one of its band.  The amounts of a month become the
+    array ``bands``.  The windows run over changed months and bands only: at most
+    ``months.MAX_MONTHS`` times the bands in use.
     """
-    values = [c for c in changes.columns if c != "_month"]
+    values = [c for c in changes.columns if c not in ("_month", "_band")]
+    totals = [c for c in values if c.endswith("_total")]
     running = [
-        f"sum({c}) OVER (ORDER BY _month ROWS UNBOUNDED PRECEDING) AS {c}" for c in values
+        f"sum({c}) OVER (PARTITION BY _band ORDER BY _month ROWS UNBOUNDED PRECEDING) AS {c}"
+        for c in values
     ]
-    if dim is None:
-        return changes.selectExpr(
-            "_month", "lead(_month) OVER (ORDER BY _month) AS _next", *running
-        ).selectExpr("explode(sequence(_month, _next - 1)) AS _month", *values)
-    wanted = dim.select(month_index(n.MONTH).alias("_month"), F.lit(True).alias("_wanted"))
-    return (
-        changes.unionByName(wanted, allowMissingColumns=True)
-        .groupBy("_month")
-        .agg(
-            F.expr("max(_wanted) AS _wanted"),
-            *[F.expr(f"coalesce(sum({c}), 0) AS {c}") for c in values],
-        )
-        .selectExpr("_month", "_wanted", *running)
-        .where("_wanted")
-        .drop("_wanted")
+    empty = "CAST(array() AS array<struct<m:int,own:boolean>>)"
+    own, gap = (
+        f"CASE WHEN {until} > _month"
+        f" THEN transform(sequence(_month, {until} - 1), m -> struct(m AS m, {is_own} AS own)) END"
+        for until, is_own in (("_next", "true"), ("_gap", "false"))
+    )
+    months = changes.selectExpr(
+        "_month",
+        "_band",
+        "lead(_month) OVER (PARTITION BY _band ORDER BY _month) AS _next",
+        "lead(_month) OVER (ORDER BY _month) AS _gap",
+        *running,
+    ).selectExpr(
+        # A month that no band reaches is on the axis all the same.
+        f"explode(concat(coalesce({own}, {empty}), coalesce({gap}, {empty}))) AS _at",
+        "_band",
+        *values,
+    )
+    return months.groupBy(F.expr("_at.m AS _month")).agg(
+        *[
+            F.expr(f"coalesce(sum({c}) FILTER (WHERE _at.own), 0) AS {c}")
+            for c in values
+            if c not in totals
+        ],
+        F.expr(
+            f"collect_list(struct({', '.join(['_band AS band', *totals])}))"
+            " FILTER (WHERE _at.own AND _band IS NOT NULL) AS bands"
+        ),
     )

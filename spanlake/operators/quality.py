@@ -91,9 +91,12 @@ def latest_parity(
     return _difference("latest rows differ from distinct keys", latest, keys)
 
 
+INCOMPLETE = "report months differ from axis"
+
+
 def missing_months(dim: DataFrame, report: DataFrame) -> DataFrame:
     """Difference between the rows of the report and the months of the axis."""
-    return _difference("report months differ from axis", report, dim.agg(F.count(F.lit(1))))
+    return _difference(INCOMPLETE, report, dim.agg(F.count(F.lit(1))))
 
 
 def _difference(rule: str, rows: DataFrame, expected: DataFrame) -> DataFrame:

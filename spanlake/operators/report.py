@@ -2,84 +2,105 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spanlake import names as n
+from spanlake.functions.amounts import band, is_finite, quoted, total, units
 from spanlake.functions.months import MONTH_TEXT, month_label, whole_number
 from spanlake.operators.intervals import Roles, accumulate, expand, range_join, sweep
 
-MONEY = "decimal(28,6)"
-
+METRICS = (n.PEOPLE, n.EMPLOYERS, n.PAYROLL, n.MEAN_PAY, n.ZERO_PAY_PEOPLE)
 
-def finite_amount(salary: str, money: str = MONEY) -> str:
-    """SQL of a finite salary as decimal, so that no result depends on row order; else NULL."""
-    return f"CASE WHEN abs(`{salary}`) < double('Infinity') THEN CAST(`{salary}` AS {money}) END"
+HEADS = {n.PEOPLE: "people", n.EMPLOYERS: "employers", n.ZERO_PAY_PEOPLE: "zero_pay_people"}
 
 
-def unpaid(salary: str) -> dict[str, str]:
-    """Rows to be left out of the mean; fewer than the rows that count."""
-    return {"unpaid": f"`{salary}` <= 0 AND abs(`{salary}`) < double('Infinity')"}
+def pay_parts(salary: str, metrics: Sequence[str]) -> dict[str, str]:
+    """Salaries that the wanted metrics add up, by SQL conditions."""
+    wanted = {n.PAYROLL: ("paid", "true"), n.MEAN_PAY: ("positive", f"{salary} > 0")}
+    return dict(wanted[m] for m in (n.PAYROLL, n.MEAN_PAY) if m in metrics)
 
 
-def odd_salaries(salary: str) -> dict[str, str]:
+def odd_salaries(salary: str, metrics: Sequence[str]) -> dict[str, str]:
     """Conditions for salaries that are no finite number; :func:`finish` puts them back."""
+    if n.PAYROLL not in metrics and n.MEAN_PAY not in metrics:
+        return {}
     return {
-        "nan": f"isnan(`{salary}`)",
-        "up": f"`{salary}` = double('Infinity')",
-        "down": f"`{salary}` = double('-Infinity')",
+        "nan": f"isnan({salary})",
+        "up": f"{salary} = double('Infinity')",
+        "down": f"{salary} = double('-Infinity')",
     }
 
 
-def monthly_values(expanded: DataFrame, roles: Roles, money: str = MONEY) -> DataFrame:
-    """Distinct counts and amounts of rows that carry their month, named as by the sweep."""
-    person, employer, salary = f"`{roles.person}`", f"`{roles.employer}`", f"`{roles.salary}`"
-    amount = finite_amount(roles.salary, money)
-    without = unpaid(roles.salary)["unpaid"]
-    return expanded.groupBy(n.MONTH).agg(
-        F.expr(f"count(DISTINCT {person}) AS people"),
-        F.expr(f"count(DISTINCT {employer}) AS employers"),
-        F.expr(f"count(DISTINCT CASE WHEN {salary} = 0 THEN {person} END) AS zero_pay_people"),
-        F.expr(f"sum({amount}) AS total"),
-        F.expr(f"count({amount}) AS rows"),
-        F.expr(f"sum(CASE WHEN {without} THEN {amount} END) AS unpaid_total"),
-        F.expr(f"count_if({without}) AS unpaid_rows"),
+def monthly_values(
+    expanded: DataFrame, roles: Roles, metrics: Sequence[str] = METRICS
+) -> DataFrame:
+    """Values of rows that carry their month, named as by the sweep."""
+    person, employer, salary = (
+        quoted(c) for c in (roles.person, roles.employer, roles.salary)
+    )
+    heads = {
+        "people": person,
+        "employers": employer,
+        "zero_pay_people": f"CASE WHEN {salary} = 0 THEN {person} END",
+    }
+    parts = pay_parts(salary, metrics)
+    counts = expanded.groupBy(n.MONTH).agg(
+        *[F.expr(f"count(DISTINCT {heads[HEADS[m]]}) AS {HEADS[m]}") for m in metrics if m in HEADS],
+        *[
+            F.expr(f"count_if({sql} AND {is_finite(salary)}) AS {part}_rows")
+            for part, sql in parts.items()
+        ],
         *[
             F.expr(f"coalesce(max(int({sql})), 0) AS {flag}")
-            for flag, sql in odd_salaries(roles.salary).items()
+            for flag, sql in odd_salaries(salary, metrics).items()
         ],
+        F.expr("count(1) AS _rows"),
+    ).drop("_rows")
+    if not parts:
+        return counts
+    sums = (
+        expanded.groupBy(n.MONTH, F.expr(f"{band(salary)} AS band"))
+        .agg(
+            *[
+                F.expr(f"sum({units(salary)}) FILTER (WHERE {sql}) AS {part}_total")
+                for part, sql in parts.items()
+            ]
+        )
+        .where("band IS NOT NULL")
+        .groupBy(n.MONTH)
+        .agg(F.collect_list(F.struct("band", *[f"{p}_total" for p in parts])).alias("bands"))
     )
+    # Both sides have one row per month.
+    return counts.join(F.broadcast(sums), n.MONTH, "left")
 
 
-def finish(values: DataFrame, month: str) -> DataFrame:
+def finish(values: DataFrame, month: str, metrics: Sequence[str] = METRICS) -> DataFrame:
     """Report columns from the values of each month; ``month`` is SQL of the month text."""
+    paid, positive = (total("bands", f"x.{part}_total") for part in ("paid", "positive"))
+    shown = {
+        n.PEOPLE: "people",
+        n.EMPLOYERS: "employers",
+        n.PAYROLL: f"""CASE WHEN nan > 0 OR (up > 0 AND down > 0) THEN double('NaN')
+            WHEN up > 0 THEN double('Infinity')
+            WHEN down > 0 THEN double('-Infinity')
+            WHEN paid_rows > 0 THEN coalesce({paid}, 0D) END""",
+        n.MEAN_PAY: f"""CASE WHEN nan > 0 THEN double('NaN')
+            WHEN up > 0 THEN double('Infinity')
+            ELSE {positive} / nullif(positive_rows, 0) END""",
+        n.ZERO_PAY_PEOPLE: "zero_pay_people",
+    }
     return values.selectExpr(
-        f"{month} AS {n.MONTH}",
-        f"people AS {n.PEOPLE}",
-        f"employers AS {n.EMPLOYERS}",
-        f"""CASE WHEN nan > 0 OR (up > 0 AND down > 0) THEN double('NaN')
-                 WHEN up > 0 THEN double('Infinity')
-                 WHEN down > 0 THEN double('-Infinity')
-                 ELSE double(total) END AS {n.PAYROLL}""",
-        f"""CASE WHEN nan > 0 THEN double('NaN')
-                 WHEN up > 0 THEN double('Infinity')
-                 ELSE double(total - coalesce(unpaid_total, 0)) / nullif(rows - unpaid_rows, 0)
-            END AS {n.MEAN_PAY}""",
-        f"zero_pay_people AS {n.ZERO_PAY_PEOPLE}",
+        f"{month} AS {n.MONTH}", *[f"{shown[m]} AS {m}" for m in METRICS if m in metrics]
     )
 
 
 def fill_zeros(report: DataFrame) -> DataFrame:
     """Replace NULL and NaN metrics by zero."""
-    return report.fillna(
-        {
-            n.PEOPLE: 0,
-            n.EMPLOYERS: 0,
-            n.PAYROLL: 0.0,
-            n.MEAN_PAY: 0.0,
-            n.ZERO_PAY_PEOPLE: 0,
-        }
-    )
+    zeros = {c: 0 if c in HEADS else 0.0 for c in METRICS}
+    return report.fillna({c: zero for c, zero in zeros.items() if c in report.columns})
 
 
 def fill_gaps(dim: DataFrame, monthly: DataFrame) -> DataFrame:
@@ -91,50 +112,68 @@ def fill_gaps(dim: DataFrame, monthly: DataFrame) -> DataFrame:
 
 
 def report_by_range_join(
-    dim: DataFrame, detail: DataFrame, roles: Roles = Roles(), money: str = MONEY
+    dim: DataFrame, detail: DataFrame, roles: Roles = Roles()
 ) -> DataFrame:
     rows = range_join(detail, dim, roles.start, roles.end)
-    return fill_gaps(dim, finish(monthly_values(rows, roles, money), n.MONTH))
+    return fill_gaps(dim, finish(monthly_values(rows, roles), n.MONTH))
 
 
 def report_by_expansion(
-    dim: DataFrame, detail: DataFrame, roles: Roles = Roles(), money: str = MONEY
+    dim: DataFrame, detail: DataFrame, roles: Roles = Roles()
 ) -> DataFrame:
     rows = expand(detail, roles.start, roles.end)
-    return fill_gaps(dim, finish(monthly_values(rows, roles, money), n.MONTH))
+    return fill_gaps(dim, finish(monthly_values(rows, roles), n.MONTH))
 
 
 def report_by_sweep(
-    dim: DataFrame | None, detail: DataFrame, roles: Roles = Roles(), money: str = MONEY
+    dim: DataFrame | None,
+    detail: DataFrame,
+    roles: Roles = Roles(),
+    metrics: Sequence[str] = METRICS,
+    checked: bool = False,
 ) -> DataFrame:
-    """One pass over the periods; without ``dim`` the axis spans exactly these periods."""
+    """One pass over the periods; without ``dim`` the axis spans exactly these periods.
+
+    Only the lanes that ``metrics`` need are built.
+    """
+    salary = quoted(roles.salary)
     changes = sweep(
         detail,
         roles,
-        finite_amount(roles.salary, money),
-        unpaid(roles.salary),
-        odd_salaries(roles.salary),
+        [HEADS[m] for m in METRICS if m in metrics and m in HEADS],
+        pay_parts(salary, metrics),
+        odd_salaries(salary, metrics),
+        checked,
     )
-    values = accumulate(changes, dim).orderBy("_month")
-    return fill_zeros(finish(values, MONTH_TEXT.format("_month")))
+    report = finish(accumulate(changes), MONTH_TEXT.format("_month"), metrics)
+    return fill_zeros(report).orderBy(n.MONTH) if dim is None else fill_gaps(dim, report)
 
 
 def monthly_report(
     detail: DataFrame,
     dim: DataFrame | None = None,
     roles: Roles = Roles(),
-    money: str = MONEY,
+    metrics: Sequence[str] = METRICS,
+    checked: bool = False,
 ) -> DataFrame:
     """Monthly report of periods that carry their person, by the sweep."""
-    return report_by_sweep(dim, detail, roles, money)
+    return report_by_sweep(dim, detail, roles, metrics, checked)
 
 
 def report_summary(report: DataFrame) -> DataFrame:
-    """Peak participants, payroll over all months, zero-pay head-months."""
+    """Peak participants, payroll over all months, zero-pay head-months.
+
+    The payrolls are added in the order of the months, so the sum is the same at every run; there
+    is one per month of four-digit years at most.
+    """
+    payrolls = F.sort_array(F.collect_list(F.struct(n.MONTH, n.PAYROLL)))
     return report.agg(
-        F.max(n.PEOPLE).alias("MAX_NGUOI_THAM_GIA"),
-        F.sum(n.PAYROLL).alias("SUM_QUY_LUONG_TAT_CA_THANG"),
-        F.sum(n.ZERO_PAY_PEOPLE).alias("SUM_NGUOI_LUONG_0"),
+        F.max(n.PEOPLE).alias(n.PEAK_PEOPLE),
+        F.when(
+            F.count(n.PAYROLL) > 0,
+            F.aggregate(payrolls, F.lit(0.0), lambda s, x: s + F.coalesce(x[n.PAYROLL], F.lit(0.0))),
+        ).alias(n.PAYROLL_OF_ALL_MONTHS),
+        F.sum(n.ZERO_PAY_PEOPLE).alias(n.ZERO_PAY_HEAD_MONTHS),
     )
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spanlake import names as n
+from spanlake.functions.amounts import quoted
 from spanlake.operators.skew import join_keyed
 
 
@@ -32,6 +33,26 @@ def scope_to_latest(
     return join_keyed(detail, known, list(links), "left_semi", **skew)
 
 
+def judge_links(
+    detail: DataFrame,
+    latest: DataFrame,
+    master_id: str = n.MASTER_ID,
+    worker: str = n.WORKER,
+    snapshot_id: str = n.ID,
+    snapshot_worker: str = n.WORKER,
+) -> DataFrame:
+    """Periods of kept snapshots, with ``_same_worker``: their worker is one of that snapshot's.
+
+    The snapshots are grouped by id, so repeated ids do not repeat periods.
+    """
+    known = latest.groupBy(F.col(snapshot_id).alias("_known")).agg(
+        F.collect_set(snapshot_worker).alias("_workers")
+    )
+    same = F.coalesce(F.array_contains("_workers", F.col(worker)), F.lit(False))
+    joined = detail.join(known, F.col(master_id) == F.col("_known"))
+    return joined.select(*[F.col(quoted(c)) for c in detail.columns], same.alias("_same_worker"))
+
+
 def with_snapshot_columns(
     detail: DataFrame,
     latest: DataFrame,

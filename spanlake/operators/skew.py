@@ -1,8 +1,9 @@
-"""Joins on keys of which a few may hold a large part of all rows.
+"""Equi-joins on keys of which a few may hold a large part of all rows.
 
-Hot keys are found with a frequent-items sketch per input partition.  The sketch only routes
-rows: a key it misses takes the plain shuffle, a key it names needlessly is salted needlessly,
-and the joined rows are the same either way.
+The plain join is enough in general: at run time Spark splits the left side's part of a partition
+that is far larger than the others (``spark.sql.adaptive.skewJoin``), for inner, semi and anti
+joins.  :func:`join_salted` is the same join for sessions without it: it counts every key and
+spreads the frequent ones by the rows' hashes.  Neither looks at the size of its input to choose a plan.
 """
 
 from __future__ import annotations
@@ -11,69 +12,57 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 ROWS_PER_SALT = 5_000_000
 """Rows of one key that a single task may receive."""
 
-MAX_HOT_KEYS = 10_000
-"""Rows of the broadcast hot-key table; the remaining keys go through the plain shuffle."""
-
-SALT_FROM_BYTES = 8 << 30
-"""Planned size from which looking for hot keys is worth a pass over the key columns."""
-
-
-SPREAD_BYTES_PER_CORE = 32 << 20
-"""Planned size per core below which an input may be spread over all cores."""
-
-
-def planned_bytes(df: DataFrame) -> int:
-    """Size of the result as estimated by the optimizer (file sizes for a scan)."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-
-
-def spread_small(df: DataFrame, *columns: str) -> DataFrame:
-    """Use all cores on an input that is too small to be split over them.
-
-    A file of one row group is one task.  An input of at least ``SPREAD_BYTES_PER_CORE`` per core
-    is returned as it is, so a large table is never shuffled for this.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if planned_bytes(df) >= cores * SPREAD_BYTES_PER_CORE:
-        return df
-    return df.repartition(cores, *(columns or df.columns))
+MOST_HOT_KEYS = 1_000_000
+"""Bound of the broadcast table of hot keys; see :func:`hot_keys`."""
 
 
 def hot_keys(
     df: DataFrame, keys: Sequence[str], rows_per_salt: int = ROWS_PER_SALT
 ) -> DataFrame:
-    """Hashes of the keys with more than ``rows_per_salt`` rows and their number of salts.
+    """Hashes of the keys with more rows than a task may receive, and their number of salts.
 
-    Each input partition keeps one bounded sketch and passes on its frequent keys only, so
-    neither the distinct keys nor a hot key's rows are shuffled.
+    All keys are counted, combined before the shuffle.  As N rows have no more than N / r keys with
+    more than r rows each, raising r to N / ``MOST_HOT_KEYS`` bounds this table; that takes effect from
+    5 * 10^12 rows on.
     """
-    sketches = (
-        df.select(F.xxhash64(*keys).alias("_key"), F.spark_partition_id().alias("_part"))
-        .groupBy("_part")
-        .agg(F.expr("approx_top_k(_key, 1000, 4096)").alias("_top"))
-    )
-    return (
-        sketches.select(F.explode("_top").alias("_top"))
-        .groupBy(F.col("_top.item").alias("_key"))
-        .agg(F.sum("_top.count").alias("_rows"))
-        .where(F.col("_rows") > rows_per_salt)
-        .orderBy(F.col("_rows").desc(), "_key")
-        .limit(MAX_HOT_KEYS)
-        .select("_key", F.ceil(F.col("_rows") / rows_per_salt).cast("int").alias("_salts"))
+    counted = df.groupBy(F.xxhash64(*keys).alias("_key")).agg(F.count(F.lit(1)).alias("_rows"))
+    total = df.agg(F.count(F.lit(1))).scalar()
+    limit = F.greatest(F.lit(rows_per_salt), F.ceil(total / MOST_HOT_KEYS))
+    return counted.where(F.col("_rows") > limit).select(
+        "_key", F.ceil(F.col("_rows") / limit).cast("int").alias("_salts")
     )
 
 
+def _hashable(df: DataFrame) -> list[str]:
+    """Columns whose values can be hashed."""
+
+    def plain(kind: T.DataType) -> bool:
+        if isinstance(kind, T.StructType):
+            return all(plain(f.dataType) for f in kind.fields)
+        if isinstance(kind, T.ArrayType):
+            return plain(kind.elementType)
+        return not isinstance(kind, (T.MapType, T.VariantType))
+
+    return [f.name for f in df.schema.fields if plain(f.dataType)]
+
+
 def join_salted(
-    left: DataFrame, right: DataFrame, on: Sequence[str], how: str, hot: DataFrame
+    left: DataFrame,
+    right: DataFrame,
+    on: Sequence[str],
+    how: str,
+    rows_per_salt: int = ROWS_PER_SALT,
 ) -> DataFrame:
     """Equi-join in which a hot key's left rows are spread over its salts.
 
-    The right rows of a hot key are repeated once per salt.  A left row takes its salt from its
-    input partition, which a re-run task repeats exactly.  ``how`` is ``inner``, ``left_semi`` or
+    The right rows of a hot key are repeated once per salt.  A left row takes its salt from its own
+    values, so it does not matter in which partition it lies, and a re-run task repeats it; only
+    rows that are equal in all columns stay together.  ``how`` is ``inner``, ``left_semi`` or
     ``left_anti``; NULL keys match nothing and are spread as well.
     """
     if how not in ("inner", "left_semi", "left_anti"):
@@ -81,16 +70,18 @@ def join_salted(
     for c in on:
         if left.schema[c].dataType != right.schema[c].dataType:
             raise TypeError(f"join column {c!r} has different types on the two sides")
-    hot = F.broadcast(hot)
+    hot = F.broadcast(hot_keys(left, on, rows_per_salt))
+    row = F.xxhash64(*_hashable(left))
     has_null = F.greatest(*[F.col(c).isNull() for c in on], F.lit(False))
     spread = (
         left.withColumn("_key", F.xxhash64(*on))
         .join(hot, "_key", "left")
         .withColumn(
             "_salt",
-            F.when(has_null, F.spark_partition_id())
-            .when(F.col("_salts").isNotNull(), F.pmod(F.spark_partition_id(), F.col("_salts")))
-            .otherwise(0),
+            F.when(has_null, F.pmod(row, F.lit(1 << 20)))
+            .when(F.col("_salts").isNotNull(), F.pmod(row, F.col("_salts")))
+            .otherwise(0)
+            .cast("int"),
         )
         .drop("_key", "_salts")
     )
@@ -114,14 +105,9 @@ def join_keyed(
     right: DataFrame,
     on: Sequence[str],
     how: str,
-    salt_from_bytes: int = SALT_FROM_BYTES,
-    rows_per_salt: int = ROWS_PER_SALT,
+    rows_per_salt: int | None = None,
 ) -> DataFrame:
-    """Equi-join that salts hot keys once the left side is planned to be large.
-
-    Below the limit the plain join is left to the optimizer, which broadcasts a side only within
-    its own size limit and splits skewed partitions at run time.
-    """
-    if planned_bytes(left) < salt_from_bytes:
-        return _in_order(left.join(right, list(on), how), left, right, how)
-    return join_salted(left, right, on, how, hot_keys(left, on, rows_per_salt))
+    """The plain join, or with ``rows_per_salt`` the salted one."""
+    if rows_per_salt is not None:
+        return join_salted(left, right, on, how, rows_per_salt)
+    return _in_order(left.join(right, list(on), how), left, right, how)

@@ -34,6 +34,11 @@ def is_valid(start: str = n.START, end: str = n.END) -> Column:
     return F.coalesce(well_formed(start, end) & in_order(start, end), F.lit(False))
 
 
+def unknown_validity(start: str = n.START, end: str = n.END) -> Column:
+    """A month is NULL and the other one does not already refute the row."""
+    return (well_formed(start, end) & in_order(start, end)).isNull()
+
+
 def reject_reason(start: str = n.START, end: str = n.END, unknown: bool = True) -> Column:
     """First reason why a row is not valid.
 

@@ -2,17 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spanlake import names as n
-from spanlake.functions.months import MONTH_PATTERN, month_of
 from spanlake.operators import quality as q
 from spanlake.operators.intervals import expand, month_bounds, month_dim, range_join
 from spanlake.operators.latest import latest_per_key, latest_per_key_by_max, with_soft_delete
 from spanlake.operators.report import (
+    METRICS,
     fill_gaps,
     finish,
     monthly_report,
@@ -22,16 +22,22 @@ from spanlake.operators.report import (
     report_by_range_join,
     report_summary,
 )
-from spanlake.operators.scope import orphans, scope_to_latest, slim, with_snapshot_columns
+from spanlake.operators.scope import (
+    judge_links,
+    orphans,
+    scope_to_latest,
+    slim,
+    with_snapshot_columns,
+)
 from spanlake.operators.split import (
     clean_periods,
     is_valid,
     reject_reason_counts,
     rejected_periods,
     valid_periods,
+    well_formed,
 )
 from spanlake.plans.mapping import (
-    MONEY,
     ROLES,
     every_period,
     latest,
@@ -42,7 +48,14 @@ from spanlake.plans.mapping import (
     table,
 )
 from spanlake.session import scratch_path
-from spanlake.sources.files import CSV_DIALECT, read_csv, row_count, with_load_columns, write_table
+from spanlake.sources.files import (
+    CSV_DIALECT,
+    read_csv,
+    row_count,
+    with_load_columns,
+    write_observed,
+    write_table,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -61,8 +74,17 @@ def query(name: str) -> Callable[[Query], Query]:
 
 
 def rounded(report: DataFrame) -> DataFrame:
-    """Report with the mean at four decimals, to be compared across engines."""
-    return report.withColumn(n.MEAN_PAY, F.round(n.MEAN_PAY, 4))
+    """Report with the amounts at the decimals of the prices, to be compared across engines.
+
+    The report adds the doubles as they are; SQL adds the prices as decimals.
+    """
+    places = {n.PAYROLL: 2, n.MEAN_PAY: 4}
+    return report.withColumns({c: F.round(c, d) for c, d in places.items() if c in report.columns})
+
+
+def staged(df: DataFrame) -> DataFrame:
+    """The rows as a table in the shared scratch folder, for plans that use them several times."""
+    return write_table(df, scratch_path(df.sparkSession, "staged"))
 
 
 # Scans and sinks
@@ -104,8 +126,9 @@ def bronze_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("write_recount")
 def write_recount(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = table(spark, sf_dir, "lineitem")
-    return row_count(write_table(lines, scratch_path(spark, "recount")))
+    sent, written = write_observed(table(spark, sf_dir, "lineitem"), scratch_path(spark, "recount"))
+    counts = {"sent": sent, "written": written}
+    return spark.range(1).select(*[F.lit(v).cast("long").alias(c) for c, v in counts.items()])
 
 
 @query("reject_sink")
@@ -199,7 +222,7 @@ def _with_hot_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periods(spark, sf_dir).withColumn("master_id", link)
 
 
-SALTED = {"salt_from_bytes": 0, "rows_per_salt": 1_000}
+SALTED = {"rows_per_salt": 1_000}
 
 
 @query("scope_to_latest_salted")
@@ -209,6 +232,21 @@ def scope_to_latest_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("scope_conservation")
+def scope_conservation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What becomes of the periods of kept snapshots: their numbers add up to all of them."""
+    detail, known = _with_workers(spark, sf_dir)
+    detail = detail.withColumns({START: F.col("to_month"), END: F.lit("199506")})
+    linked = judge_links(detail, known, "master_id", "worker", "id", "worker")
+    same, good = F.col("_same_worker"), is_valid(START, END)
+    return linked.agg(
+        F.count(F.lit(1)).alias("scoped"),
+        F.count_if(same & good).alias("valid"),
+        F.count_if(same & ~good).alias("rejected"),
+        F.count_if(~same).alias("mismatched"),
+    )
+
+
 @query("detail_with_person")
 def detail_with_person(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scoped(spark, sf_dir)
@@ -247,8 +285,7 @@ def _clean(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("month_format_filter")
 def month_format_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    both = F.col(START).rlike(MONTH_PATTERN) & F.col(END).rlike(MONTH_PATTERN)
-    return messy(spark, sf_dir).where(both)
+    return messy(spark, sf_dir).where(well_formed(START, END))
 
 
 @query("valid_intervals")
@@ -318,8 +355,8 @@ def interval_month_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Report
 
 
-def _report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(monthly_report(scoped(spark, sf_dir), None, ROLES, MONEY))
+def _report(spark: SparkSession, sf_dir: str, metrics: Sequence[str] = METRICS) -> DataFrame:
+    return rounded(monthly_report(scoped(spark, sf_dir), None, ROLES, metrics))
 
 
 @query("monthly_report")
@@ -331,36 +368,55 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
 def monthly_report_given_axis(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Axis of all periods, so the months before and after the scoped ones are gaps."""
     dim = month_dim(every_period(spark, sf_dir), START, END)
-    return rounded(monthly_report(scoped(spark, sf_dir), dim, ROLES, MONEY))
+    return rounded(monthly_report(scoped(spark, sf_dir), dim, ROLES))
 
 
 @query("monthly_report_explode")
 def monthly_report_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = valid_periods(scoped(spark, sf_dir), START, END)
-    return rounded(report_by_expansion(_axis(spark, sf_dir), rows, ROLES, MONEY))
+    rows = staged(valid_periods(scoped(spark, sf_dir), START, END))
+    return rounded(report_by_expansion(staged(month_dim(rows, START, END)), rows, ROLES))
 
 
 @query("monthly_report_range_join")
 def monthly_report_range_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = valid_periods(scoped(spark, sf_dir), START, END)
-    return rounded(report_by_range_join(_axis(spark, sf_dir), rows, ROLES, MONEY))
+    rows = staged(valid_periods(scoped(spark, sf_dir), START, END))
+    return rounded(report_by_range_join(staged(month_dim(rows, START, END)), rows, ROLES))
 
 
 @query("monthly_report_every_period")
 def monthly_report_every_period(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(monthly_report(every_period(spark, sf_dir), None, ROLES, MONEY))
+    return rounded(monthly_report(every_period(spark, sf_dir), None, ROLES))
+
+
+def _scaled(report: DataFrame, scale: float) -> DataFrame:
+    """Amounts over ``scale`` at four decimals, to be compared across engines."""
+    return report.withColumns(
+        {c: F.round(F.col(c) / scale, 4) for c in (n.PAYROLL, n.MEAN_PAY)}
+    )
+
+
+@query("monthly_report_fine_amounts")
+def monthly_report_fine_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Salaries with all the digits that a double has."""
+    return _scaled(monthly_report(scoped(spark, sf_dir, F.col("salary") / 7.3), None, ROLES), 1.0)
+
+
+@query("monthly_report_large_amounts")
+def monthly_report_large_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Salaries beyond the integers that a decimal holds."""
+    return _scaled(monthly_report(scoped(spark, sf_dir, F.col("salary") * 1e20 / 7.3), None, ROLES), 1e20)
 
 
 @query("gap_fill_left_join")
 def gap_fill_left_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Scoped periods of one month only, on the axis of all periods."""
-    rows = scoped(spark, sf_dir).where(F.col(START) == F.col(END)).withColumn(n.MONTH, F.col(END))
-    monthly = finish(monthly_values(rows, ROLES, MONEY), n.MONTH)
+    """Scoped periods on the axis of all periods: the months before and after them are gaps."""
+    rows = expand(scoped(spark, sf_dir), START, END)
+    monthly = finish(monthly_values(rows, ROLES), n.MONTH)
     return rounded(fill_gaps(month_dim(every_period(spark, sf_dir), START, END), monthly))
 
 
 def _single_metric(name: str, metric: str) -> None:
-    QUERIES[name] = lambda spark, sf_dir: _report(spark, sf_dir).select(n.MONTH, metric)
+    QUERIES[name] = lambda spark, sf_dir: _report(spark, sf_dir, (metric,))
 
 
 _single_metric("monthly_participants", n.PEOPLE)
@@ -373,9 +429,7 @@ _single_metric("monthly_zero_pay_people", n.ZERO_PAY_PEOPLE)
 @query("report_summary")
 def report_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     totals = report_summary(_report(spark, sf_dir))
-    return totals.withColumn(
-        "SUM_QUY_LUONG_TAT_CA_THANG", F.round("SUM_QUY_LUONG_TAT_CA_THANG", 2)
-    )
+    return totals.withColumn(n.PAYROLL_OF_ALL_MONTHS, F.round(n.PAYROLL_OF_ALL_MONTHS, 2))
 
 
 @query("report_presentation")
@@ -408,6 +462,39 @@ def dq_latest_parity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return q.latest_parity(rows, kept, "person")
 
 
+@query("dq_latest_parity_broken")
+def dq_latest_parity_broken(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A fifth of the kept rows is lost."""
+    rows = _with_ties_and_nulls(spark, sf_dir)
+    kept = latest_per_key(rows, ["person"], ["created", "id"]).where("id % 5 <> 0")
+    return q.latest_parity(rows, kept, "person")
+
+
+@query("dq_written_rows")
+def dq_written_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sent, written = write_observed(periods(spark, sf_dir), scratch_path(spark, "written"))
+    return q.row_difference(spark, "periods: written rows", written, sent)
+
+
+@query("dq_expected_rows")
+def dq_expected_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Seven periods are expected of every snapshot."""
+    _, written = write_observed(periods(spark, sf_dir), scratch_path(spark, "expected"))
+    expected = 7 * snapshots(spark, sf_dir).count()
+    return q.row_difference(spark, "periods: expected rows", written, expected)
+
+
+@query("dq_empty_axis")
+def dq_empty_axis(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return q.empty_axis(_axis(spark, sf_dir))
+
+
+@query("dq_empty_axis_broken")
+def dq_empty_axis_broken(spark: SparkSession, sf_dir: str) -> DataFrame:
+    broken = scoped(spark, sf_dir).withColumn(END, F.concat(F.lit("x"), END))
+    return q.empty_axis(month_dim(broken, START, END))
+
+
 @query("dq_orphans")
 def dq_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return q.orphan_rows(periods(spark, sf_dir), latest(spark, sf_dir), "master_id", "id")
@@ -445,6 +532,13 @@ def dq_report_complete(spark: SparkSession, sf_dir: str) -> DataFrame:
     return q.missing_months(_axis(spark, sf_dir), _report(spark, sf_dir))
 
 
+@query("dq_report_incomplete")
+def dq_report_incomplete(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report has lost its Junes."""
+    report = _report(spark, sf_dir, (n.PEOPLE,)).where(~F.col(n.MONTH).endswith("06"))
+    return q.missing_months(_axis(spark, sf_dir), report)
+
+
 @query("dq_duplicate_months")
 def dq_duplicate_months(spark: SparkSession, sf_dir: str) -> DataFrame:
     return q.duplicate_months(periods(spark, sf_dir).withColumnRenamed(END, n.MONTH))
@@ -456,19 +550,23 @@ def dq_negative_total(spark: SparkSession, sf_dir: str) -> DataFrame:
     sign = F.when(F.col("l_linenumber") % 2 == 0, 1).otherwise(-1)
     lines = table(spark, sf_dir, "lineitem").withColumn(n.MONTH, F.to_date("l_shipdate"))
     totals = lines.groupBy(n.MONTH).agg(
-        F.sum(F.col("l_extendedprice").cast(MONEY) * sign).cast("double").alias(n.PAYROLL)
+        F.sum(F.col("l_extendedprice").cast("decimal(18,2)") * sign).cast("double").alias(n.PAYROLL)
     )
     return q.negative_totals(totals)
 
 
 def _rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = periods(spark, sf_dir)
-    kept = latest(spark, sf_dir)
+    kept = staged(latest(spark, sf_dir))
+    rows = staged(
+        with_snapshot_columns(
+            periods(spark, sf_dir), kept, ["person", "from_month"], "master_id", "id"
+        )
+    )
     return q.violations(
-        q.orphan_rows(rows, kept, "master_id", "id"),
+        q.orphan_rows(periods(spark, sf_dir), kept, "master_id", "id"),
         q.duplicate_keys("persons with several snapshots", kept, ["person"]),
-        q.reversed_periods(scoped(spark, sf_dir), START, END),
-        q.duplicate_months(_report(spark, sf_dir)),
+        q.reversed_periods(rows, START, END),
+        q.duplicate_months(staged(monthly_report(rows, None, ROLES))),
     )
 
 
@@ -494,3 +592,11 @@ def layer_status(spark: SparkSession, sf_dir: str) -> DataFrame:
         q.orphan_rows(scoped(spark, sf_dir), kept, "master_id", "id"),
     )
     return q.layer_status("SILVER", metrics[0].unionByName(metrics[1]), rules)
+
+
+@query("layer_status_failed")
+def layer_status_failed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unscoped periods break the rule on orphans."""
+    kept, rows = latest(spark, sf_dir), periods(spark, sf_dir)
+    metrics = row_count(rows).select(F.lit("DETAIL_ROWS").alias("metric"), F.col("rows").alias("value"))
+    return q.layer_status("SILVER", metrics, q.orphan_rows(rows, kept, "master_id", "id"))

@@ -1,23 +1,35 @@
-"""The four jobs of the lake: ingest, conform, report, validate.
+"""The jobs of the lake: ingest, conform, report, validate, present.
 
-A job writes its tables, reads them back and runs its rules on what was written, so no plan is
-worked out again for a check.  A violated rule raises :class:`RuleViolation`.
+A job first writes its tables to the shared scratch folder, reads them back and runs its rules on
+what was written; no plan is worked out again for a check.  Only if no rule is violated are the
+tables of the lake replaced, so a failed run leaves the last good ones.  A violated rule raises
+:class:`RuleViolation`.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from spanlake import names as n
+from spanlake.functions.months import month_count
 from spanlake.operators import quality as q
-from spanlake.operators.intervals import Roles, month_dim
+from spanlake.operators.intervals import Roles
 from spanlake.operators.latest import latest_per_key, with_soft_delete, with_time
-from spanlake.operators.report import monthly_report, report_summary
-from spanlake.operators.scope import scope_to_latest, with_snapshot_columns
-from spanlake.operators.split import clean_periods, rejected_periods, valid_periods
+from spanlake.operators.report import monthly_report, present as presented, report_summary
+from spanlake.operators.scope import judge_links, with_snapshot_columns
+from spanlake.operators.split import (
+    clean_periods,
+    is_valid,
+    reject_reason,
+    reject_reason_counts,
+    unknown_validity,
+)
 from spanlake.plans.layout import InputFiles, Layout, inside
+from spanlake.session import scratch_path
 from spanlake.sources.files import (
     read_csv,
     read_table,
@@ -27,6 +39,10 @@ from spanlake.sources.files import (
 )
 from spanlake.sources.schemas import period_schema, snapshot_schema
 
+VALID, REJECTED, MISMATCHED, UNKNOWN = "valid", "rejected", "mismatched", "unknown"
+
+Metrics = dict[str, "int | float | str | None"]
+
 
 class RuleViolation(RuntimeError):
     """At least one rule of a layer is violated."""
@@ -35,7 +51,7 @@ class RuleViolation(RuntimeError):
 @dataclass(frozen=True)
 class LayerResult:
     layer: str
-    metrics: dict[str, int | float | None]
+    metrics: Metrics
     violated: dict[str, int]
 
     @property
@@ -47,9 +63,7 @@ class LayerResult:
         return f"LAYER={self.layer} STATUS={self.status} {shown}"
 
 
-def _conclude(
-    layer: str, metrics: dict[str, int | float | None], *rules: DataFrame
-) -> LayerResult:
+def _conclude(layer: str, metrics: Metrics, *rules: DataFrame) -> LayerResult:
     """Run the rules in one job, print the status line, raise if one is violated."""
     found = {r["rule"]: r["violations"] for r in q.violations(*rules).collect()}
     if layer == "VALIDATE":
@@ -61,6 +75,14 @@ def _conclude(
     return result
 
 
+def _seen(observation: Observation) -> dict[str, int | str | None]:
+    """What was observed; nothing where the plan turned out empty and Spark left the node out."""
+    try:
+        return observation.get
+    except Py4JJavaError:
+        return {}
+
+
 def ingest(
     spark: SparkSession,
     in_dir: str,
@@ -70,27 +92,43 @@ def ingest(
     layout: Layout = Layout(),
     multi_line: bool = False,
     check_header: bool = False,
+    corrupt_column: str | None = None,
+    required: bool = False,
 ) -> LayerResult:
     """CSV files to Parquet as they are, with load columns.
 
     ``expected`` optionally gives the row counts of ``snapshots`` and ``periods``.
+    ``corrupt_column`` keeps the text of records that do not fit; ``required`` makes a snapshot
+    without id a violation.
     """
-    metrics, rules = {}, []
+    metrics, rules, ready = {}, [], []
     for table, metric, file, folder, schema in (
         ("snapshots", "MASTER_ROWS", files.snapshots, layout.snapshots, snapshot_schema()),
         ("periods", "DETAIL_ROWS", files.periods, layout.periods, period_schema()),
     ):
         raw = read_csv(
-            spark, inside(in_dir, file), schema, multi_line, check_header=check_header
+            spark, inside(in_dir, file), schema, multi_line, corrupt_column, check_header
         )
-        sent, written = write_observed(with_load_columns(raw, file), inside(out_dir, folder))
+        staged = scratch_path(spark, table)
+        sent, written = write_observed(with_load_columns(raw, file), staged)
         metrics[metric] = written
         rules.append(q.row_difference(spark, f"{table}: written rows", written, sent))
         if expected is not None and table in expected:
             rules.append(
                 q.row_difference(spark, f"{table}: expected rows", written, expected[table])
             )
-    return _conclude("BRONZE", metrics, *rules)
+        rows = read_table(spark, staged)
+        if required and table == "snapshots":
+            rules.append(q.null_keys(rows, n.ID))
+        if corrupt_column is not None:
+            metrics[f"{metric.split('_')[0]}_CORRUPT"] = rows.where(
+                F.col(corrupt_column).isNotNull()
+            ).count()
+        ready.append((rows, folder))
+    result = _conclude("BRONZE", metrics, *rules)
+    for rows, folder in ready:
+        write_table(rows, inside(out_dir, folder))
+    return result
 
 
 def conform(
@@ -103,10 +141,10 @@ def conform(
 ) -> LayerResult:
     """Latest snapshot per person; its periods, cleaned and split into valid rows and rejects.
 
-    The split looks at single rows, so it runs before the join to the snapshots: each pass
-    shuffles only the rows it writes.  ``keep_unknown=False`` drops rows with a missing month
-    where it leaves the validity open, instead of rejecting them.  ``parse_time`` orders the
-    snapshots by the parsed creation time instead of its text.
+    The periods are scanned, linked and judged once.  Each period of a kept snapshot is valid,
+    rejected, mismatched (its worker is not the snapshot's) or, with ``keep_unknown=False``, of
+    unknown validity because a month is missing; the last two are counted and not published.
+    ``parse_time`` orders the snapshots by the parsed creation time instead of its text.
     """
     raw_snapshots = read_table(spark, inside(in_dir, layout.snapshots))
     raw_periods = clean_periods(read_table(spark, inside(in_dir, layout.periods)))
@@ -116,25 +154,47 @@ def conform(
         if parse_time
         else latest_per_key(raw_snapshots)
     )
-    latest = write_table(with_soft_delete(newest), inside(out_dir, layout.snapshots))
-    valid = write_table(
-        scope_to_latest(valid_periods(raw_periods), latest), inside(out_dir, layout.periods)
-    )
-    rejects = write_table(
-        scope_to_latest(rejected_periods(raw_periods, unknown=keep_unknown), latest),
-        inside(out_dir, layout.rejects),
-    )
-    return _conclude(
+    latest = write_table(with_soft_delete(newest), scratch_path(spark, "snapshots"))
+    read = Observation()
+    linked = judge_links(raw_periods.observe(read, F.count(F.lit(1)).alias("rows")), latest)
+    fate = F.when(~F.col("_same_worker"), MISMATCHED).when(is_valid(), VALID)
+    if not keep_unknown:
+        fate = fate.when(unknown_validity(), UNKNOWN)
+    staged = scratch_path(spark, "periods")
+    linked.withColumns(
+        {"_fate": fate.otherwise(REJECTED), n.REJECT_REASON: reject_reason(unknown=keep_unknown)}
+    ).drop("_same_worker").write.partitionBy("_fate").parquet(staged)
+    # The schema is given as a table without rows has no partition to tell it.
+    columns = raw_periods.schema.add(n.REJECT_REASON, "string").add("_fate", "string")
+    judged = spark.read.schema(columns).parquet(staged)
+    counts = {r["_fate"]: r["count"] for r in judged.groupBy("_fate").count().collect()}
+    valid = judged.where(F.col("_fate") == VALID).drop("_fate", n.REJECT_REASON)
+    rejects = judged.where(F.col("_fate") == REJECTED).drop("_fate")
+    reasons = {
+        f"REJECTED[{r[n.REJECT_REASON]}]": r["rows"]
+        for r in reject_reason_counts(rejects).orderBy(n.REJECT_REASON).collect()
+    }
+    result = _conclude(
         "SILVER",
         {
+            "MASTER_READ": raw_snapshots.count(),
+            "DETAIL_READ": _seen(read).get("rows", 0),
             "MASTER_ROWS": latest.count(),
-            "DETAIL_ROWS": valid.count(),
-            "DETAIL_REJECTED": rejects.count(),
+            "DETAIL_SCOPED": sum(counts.values()),
+            "DETAIL_ROWS": counts.get(VALID, 0),
+            "DETAIL_REJECTED": counts.get(REJECTED, 0),
+            "DETAIL_MISMATCHED": counts.get(MISMATCHED, 0),
+            **({} if keep_unknown else {"DETAIL_UNKNOWN": counts.get(UNKNOWN, 0)}),
+            **reasons,
         },
         q.duplicate_keys("persons with several snapshots", latest, [n.PERSON]),
         q.latest_parity(raw_snapshots, latest),
         q.orphan_rows(valid, latest),
     )
+    write_table(latest, inside(out_dir, layout.snapshots))
+    write_table(valid, inside(out_dir, layout.periods))
+    write_table(rejects, inside(out_dir, layout.rejects))
+    return result
 
 
 def report(
@@ -144,21 +204,41 @@ def report(
     layout: Layout = Layout(),
     roles: Roles = Roles(),
 ) -> LayerResult:
-    """Monthly report over the gap-free axis of the valid periods."""
+    """Monthly report over the gap-free axis of the valid periods.
+
+    The periods are scanned once: their number and bounds are observed while the report is written.
+    """
     latest = read_table(spark, inside(in_dir, layout.snapshots))
-    periods = read_table(spark, inside(in_dir, layout.periods))
-    dim = month_dim(periods, roles.start, roles.end)
+    seen = Observation()
+    periods = read_table(spark, inside(in_dir, layout.periods)).observe(
+        seen,
+        F.count(F.lit(1)).alias("rows"),
+        F.min(roles.start).alias("first"),
+        F.max(roles.end).alias("last"),
+    )
     rows = with_snapshot_columns(periods, latest, [roles.person])
-    written = write_table(monthly_report(rows, dim, roles), inside(out_dir, layout.report))
-    summary = report_summary(written).first().asDict()
-    return _conclude(
+    written = write_table(
+        monthly_report(rows, None, roles, checked=True), scratch_path(spark, "report")
+    )
+    summary, found = report_summary(written).first().asDict(), _seen(seen)
+    first, last = found.get("first"), found.get("last")
+    months, expected = written.count(), month_count(first, last)
+    result = _conclude(
         "GOLD",
-        {"MONTHS": written.count(), **summary},
-        q.empty_axis(dim),
-        q.missing_months(dim, written),
+        {
+            "DETAIL_ROWS": found.get("rows", 0),
+            "FIRST_MONTH": first,
+            "LAST_MONTH": last,
+            "MONTHS": months,
+            **summary,
+        },
+        q.empty_axis(written),
+        q.row_difference(spark, q.INCOMPLETE, months, expected),
         q.duplicate_months(written),
         q.negative_totals(written),
     )
+    write_table(written.orderBy(n.MONTH), inside(out_dir, layout.report))
+    return result
 
 
 def validate(
@@ -187,6 +267,16 @@ def validate(
     )
 
 
+def present(
+    spark: SparkSession, gold_dir: str, out_dir: str, layout: Layout = Layout()
+) -> DataFrame:
+    """The written report for readers, as one CSV file: a row per month."""
+    shown = presented(read_table(spark, inside(gold_dir, layout.report)))
+    path = inside(out_dir, layout.presented)
+    shown.coalesce(1).write.mode("overwrite").option("header", "true").csv(path)
+    return spark.read.option("header", "true").csv(path)
+
+
 def run_all(
     spark: SparkSession,
     in_dir: str,
@@ -194,12 +284,21 @@ def run_all(
     expected: dict[str, int] | None = None,
     files: InputFiles = InputFiles(),
     layout: Layout = Layout(),
+    multi_line: bool = False,
+    check_header: bool = False,
+    corrupt_column: str | None = None,
+    required: bool = False,
+    keep_unknown: bool = True,
+    parse_time: bool = False,
 ) -> list[LayerResult]:
     """The four jobs in order; the first violated rule stops the run."""
     bronze, silver, gold = (inside(lake_dir, name) for name in ("bronze", "silver", "gold"))
     return [
-        ingest(spark, in_dir, bronze, expected, files, layout),
-        conform(spark, bronze, silver, layout),
+        ingest(
+            spark, in_dir, bronze, expected, files, layout,
+            multi_line, check_header, corrupt_column, required,
+        ),
+        conform(spark, bronze, silver, layout, keep_unknown, parse_time),
         report(spark, silver, gold, layout),
         validate(spark, lake_dir, layout=layout),
     ]

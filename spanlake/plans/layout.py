@@ -21,6 +21,7 @@ class Layout:
     periods: str = "periods"
     rejects: str = "period_rejects"
     report: str = "monthly_report"
+    presented: str = "monthly_report_presented"
 
 
 def inside(folder: str, name: str) -> str:

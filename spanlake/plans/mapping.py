@@ -13,11 +13,9 @@ from spanlake.functions.months import month_of
 from spanlake.operators.intervals import Roles
 from spanlake.operators.latest import latest_per_key
 from spanlake.operators.scope import with_snapshot_columns
-from spanlake.operators.skew import spread_small
 from spanlake.sources.files import read_table
 
 ROLES = Roles("person", "employer", "salary", "from_month", "to_month")
-MONEY = "decimal(18,2)"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -52,17 +50,18 @@ def periods(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def scoped(spark: SparkSession, sf_dir: str) -> DataFrame:
+def scoped(spark: SparkSession, sf_dir: str, pay: Column | None = None) -> DataFrame:
     """Periods of the latest snapshots, with person and start month; not yet split."""
+    rows = periods(spark, sf_dir)
+    rows = rows if pay is None else rows.withColumn("salary", pay)
     return with_snapshot_columns(
-        periods(spark, sf_dir), latest(spark, sf_dir), ["person", "from_month"], "master_id", "id"
+        rows, latest(spark, sf_dir), ["person", "from_month"], "master_id", "id"
     )
 
 
 def every_period(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All line items as valid periods of three to 21 months that end with the shipping."""
-    lines = spread_small(table(spark, sf_dir, "lineitem"), "l_orderkey", "l_suppkey")
-    rows = lines.select(
+    rows = table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("master_id"),
         F.col("l_linenumber").alias("line"),
         F.col("l_suppkey").alias("employer"),

@@ -114,12 +114,13 @@ axis AS (
 """
 
 
-def _report(source: str) -> str:
+def _report(source: str, amount: str = "salary::DECIMAL(18, 2)", scale: str = "1") -> str:
+    digits = "2" if "DECIMAL" in amount else "4"
     return f"""
 by_month AS (
   SELECT month, count(DISTINCT person) AS people, count(DISTINCT employer) AS employers,
-         sum(salary::DECIMAL(18, 2)) AS total,
-         sum(CASE WHEN salary > 0 THEN salary::DECIMAL(18, 2) END) AS positive,
+         sum({amount}) AS total,
+         sum(CASE WHEN salary > 0 THEN {amount} END) AS positive,
          count(CASE WHEN salary > 0 THEN 1 END) AS positive_rows,
          count(DISTINCT CASE WHEN salary = 0 THEN person END) AS zero_pay_people
   FROM axis JOIN {source} ON month BETWEEN from_month AND to_month
@@ -127,8 +128,8 @@ by_month AS (
 report AS (
   SELECT month AS "THANG_ID", coalesce(people, 0) AS "SO_NGUOI_THAM_GIA",
          coalesce(employers, 0) AS "SO_DON_VI",
-         coalesce(total::DOUBLE, 0.0) AS "TONG_QUY_LUONG",
-         coalesce(round(positive::DOUBLE / nullif(positive_rows, 0), 4), 0.0)
+         coalesce(round(total::DOUBLE / {scale}, {digits}), 0.0) AS "TONG_QUY_LUONG",
+         coalesce(round(positive::DOUBLE / nullif(positive_rows, 0) / {scale}, 4), 0.0)
            AS "LUONG_BINH_QUAN",
          coalesce(zero_pay_people, 0) AS "SO_NGUOI_LUONG_0"
   FROM axis LEFT JOIN by_month USING (month))
@@ -164,7 +165,7 @@ ORACLES: dict[str, str] = {
     "csv_ingest_multi_line": "SELECT * FROM documents",
     "bronze_metadata": """
         SELECT *, 'orders.csv' AS source_file, TRUE AS load_time, 'BRONZE' AS layer FROM orders""",
-    "write_recount": 'SELECT count(*) AS "rows" FROM lineitem',
+    "write_recount": "SELECT count(*) AS sent, count(*) AS written FROM lineitem",
     "reject_sink": _with(
         MESSY,
         select=f"SELECT master_id, line, from_month, to_month, salary, {REASON}"
@@ -196,6 +197,17 @@ ORACLES: dict[str, str] = {
     "scope_to_latest_salted": _with(
         ROLES, HOT, select="SELECT * FROM hot WHERE master_id IN (SELECT id FROM latest)"
     ),
+    "scope_conservation": _with(
+        ROLES,
+        WORKERS,
+        select="""
+        SELECT count(*) AS scoped,
+               count(*) FILTER (WHERE same AND to_month <= '199506') AS valid,
+               count(*) FILTER (WHERE same AND to_month > '199506') AS rejected,
+               count(*) FILTER (WHERE NOT same) AS mismatched
+        FROM (SELECT detail.to_month, detail.worker = known.worker AS same
+              FROM detail JOIN known ON id = master_id) linked""",
+    ),
     "detail_with_person": _with(ROLES, select="SELECT * FROM scoped"),
     "detail_with_person_salted": _with(
         ROLES,
@@ -290,9 +302,22 @@ ORACLES: dict[str, str] = {
     "gap_fill_left_join": _with(
         ROLES,
         EVERY,
-        "one_month AS (SELECT * FROM scoped WHERE from_month = to_month)",
         _axis("every_period"),
-        _report("one_month"),
+        _report("valid"),
+        select="SELECT * FROM report",
+    ),
+    "monthly_report_fine_amounts": _with(
+        ROLES,
+        "paid AS (SELECT * REPLACE (salary / 7.3::DOUBLE AS salary) FROM valid)",
+        _axis("paid"),
+        _report("paid", "salary"),
+        select="SELECT * FROM report",
+    ),
+    "monthly_report_large_amounts": _with(
+        ROLES,
+        "paid AS (SELECT * REPLACE (salary * 1e20 / 7.3::DOUBLE AS salary) FROM valid)",
+        _axis("paid"),
+        _report("paid", "salary", "1e20"),
         select="SELECT * FROM report",
     ),
     **{
@@ -338,6 +363,37 @@ ORACLES: dict[str, str] = {
                abs((SELECT count(*) FROM kept)
                    - (SELECT count(*) FROM (SELECT DISTINCT person FROM ties) d)) AS violations""",
     ),
+    "dq_latest_parity_broken": _with(
+        TIES,
+        select="""
+        SELECT 'latest rows differ from distinct keys' AS rule,
+               abs((SELECT count(*) FROM kept WHERE id % 5 <> 0)
+                   - (SELECT count(*) FROM (SELECT DISTINCT person FROM ties) d)) AS violations""",
+    ),
+    "dq_written_rows": "SELECT 'periods: written rows' AS rule, 0::BIGINT AS violations",
+    "dq_expected_rows": """
+        SELECT 'periods: expected rows' AS rule,
+               abs((SELECT count(*) FROM lineitem) - 7 * (SELECT count(*) FROM orders))
+                 AS violations""",
+    "dq_empty_axis": _with(
+        ROLES,
+        _axis("valid"),
+        select="""
+        SELECT 'empty month axis' AS rule, (count(*) = 0)::BIGINT AS violations FROM axis""",
+    ),
+    "dq_empty_axis_broken": _with(
+        ROLES,
+        select="""
+        SELECT 'empty month axis' AS rule, (count(*) = 0)::BIGINT AS violations
+        FROM valid WHERE regexp_matches('x' || to_month, '^[0-9]{6}$')""",
+    ),
+    "dq_report_incomplete": _with(
+        *_SCOPED_REPORT,
+        select="""
+        SELECT 'report months differ from axis' AS rule,
+               abs((SELECT count(*) FROM report WHERE NOT ends_with("THANG_ID", '06'))
+                   - (SELECT count(*) FROM axis)) AS violations""",
+    ),
     "dq_orphans": _with(
         ROLES,
         select="""
@@ -404,4 +460,13 @@ ORACLES: dict[str, str] = {
         FROM (SELECT 'MASTER_ROWS' AS metric, (SELECT count(*) FROM latest) AS value
               UNION ALL SELECT 'DETAIL_ROWS', (SELECT count(*) FROM scoped)) m""",
     ),
+    "layer_status_failed": _with(
+        ROLES,
+        select="""
+        SELECT 'SILVER' AS layer,
+               CASE WHEN (SELECT count(*) FROM periods
+                          WHERE master_id NOT IN (SELECT id FROM latest)) > 0
+                    THEN 'FAILED' ELSE 'SUCCESS' END AS status,
+               'DETAIL_ROWS' AS metric, (SELECT count(*) FROM periods) AS value""",
+    ),
 }

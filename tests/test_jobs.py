@@ -6,8 +6,15 @@ from pyspark.sql import functions as F
 
 from spanlake.__main__ import main
 from spanlake.operators import quality as q
-from spanlake.operators.report import present
-from spanlake.plans.jobs import RuleViolation, conform, ingest, report, run_all, validate
+from spanlake.plans.jobs import (
+    RuleViolation,
+    conform,
+    ingest,
+    present,
+    report,
+    run_all,
+    validate,
+)
 from spanlake.sources.files import read_table
 from spanlake.sources.schemas import period_schema, snapshot_schema
 
@@ -74,15 +81,29 @@ def test_the_four_jobs_end_to_end(spark, inputs, tmp_path, capsys):
         assert [r.layer for r in results] == ["BRONZE", "SILVER", "GOLD", "VALIDATE"]
         assert {r.status for r in results} == {"SUCCESS"}
         assert results[0].metrics == {"MASTER_ROWS": 4, "DETAIL_ROWS": 8}
-        assert results[1].metrics == {"MASTER_ROWS": 2, "DETAIL_ROWS": 3, "DETAIL_REJECTED": 3}
+        assert results[1].metrics == {
+            "MASTER_READ": 4,
+            "DETAIL_READ": 8,
+            "MASTER_ROWS": 2,
+            "DETAIL_SCOPED": 7,
+            "DETAIL_ROWS": 3,
+            "DETAIL_REJECTED": 3,
+            "DETAIL_MISMATCHED": 1,
+            "REJECTED[TU_THANG > DEN_THANG]": 1,
+            "REJECTED[TU_THANG NULL]": 1,
+            "REJECTED[TU_THANG sai format YYYYMM]": 1,
+        }
         assert results[2].metrics == {
+            "DETAIL_ROWS": 3,
+            "FIRST_MONTH": "202001",
+            "LAST_MONTH": "202006",
             "MONTHS": 6,
             "MAX_NGUOI_THAM_GIA": 1,
             "SUM_QUY_LUONG_TAT_CA_THANG": 350.5,
             "SUM_NGUOI_LUONG_0": 1,
         }
         assert results[3].metrics["ERROR_ROWS"] == 0
-    assert "LAYER=SILVER STATUS=SUCCESS MASTER_ROWS=2" in capsys.readouterr().out
+    assert "LAYER=SILVER STATUS=SUCCESS MASTER_READ=4" in capsys.readouterr().out
 
     bronze = read_table(spark, f"{lake}/bronze/periods")
     assert len(bronze.columns) == 85 and bronze.columns[-3:] == ["source_file", "load_time", "layer"]
@@ -104,7 +125,8 @@ def test_the_four_jobs_end_to_end(spark, inputs, tmp_path, capsys):
     }
     monthly = read_table(spark, f"{lake}/gold/monthly_report")
     assert sorted(map(tuple, monthly.collect())) == REPORT
-    assert present(monthly).first()["Tháng"] == "2020-01"
+    shown = present(spark, f"{lake}/gold", str(tmp_path / "shown"))
+    assert shown.count() == 6 and shown.first()["Tháng"] == "2020-01"
 
 
 def test_rejects_of_an_earlier_run_do_not_survive(spark, inputs, tmp_path):
@@ -130,6 +152,43 @@ def test_unknown_validity_can_be_dropped(spark, inputs, tmp_path):
     assert result.metrics["DETAIL_REJECTED"] == 2
 
 
+def test_every_period_of_a_kept_snapshot_is_counted(spark, inputs, tmp_path):
+    bronze, silver = str(tmp_path / "bronze"), str(tmp_path / "silver")
+    ingest(spark, inputs, bronze)
+    for keep_unknown in (True, False):
+        m = conform(spark, bronze, silver, keep_unknown=keep_unknown).metrics
+        fates = ("DETAIL_ROWS", "DETAIL_REJECTED", "DETAIL_MISMATCHED", "DETAIL_UNKNOWN")
+        assert m["DETAIL_SCOPED"] == sum(m.get(f, 0) for f in fates) == 7
+        assert sum(v for k, v in m.items() if k.startswith("REJECTED[")) == m["DETAIL_REJECTED"]
+
+
+def test_a_failed_run_leaves_the_last_good_tables(spark, inputs, tmp_path):
+    lake = str(tmp_path / "lake")
+    run_all(spark, inputs, lake)
+    before = sorted(map(tuple, read_table(spark, f"{lake}/bronze/periods").collect()))
+    with pytest.raises(RuleViolation):
+        ingest(spark, inputs, f"{lake}/bronze", expected={"periods": 9})
+    assert sorted(map(tuple, read_table(spark, f"{lake}/bronze/periods").collect())) == before
+    schema = read_table(spark, f"{lake}/silver/periods").schema
+    spark.createDataFrame([], schema).write.parquet(str(tmp_path / "bare/periods"))
+    read_table(spark, f"{lake}/silver/snapshots").write.parquet(str(tmp_path / "bare/snapshots"))
+    with pytest.raises(RuleViolation, match="empty month axis"):
+        report(spark, str(tmp_path / "bare"), f"{lake}/gold")
+    assert read_table(spark, f"{lake}/gold/monthly_report").count() == 6
+
+
+def test_options_reach_the_scan(spark, inputs, tmp_path):
+    bronze = str(tmp_path / "bronze")
+    with open(os.path.join(inputs, "periods.csv"), "a", encoding="utf-8") as f:
+        f.write("x,y,z\n")
+    result = ingest(spark, inputs, bronze, corrupt_column="_broken", multi_line=True)
+    assert result.metrics["DETAIL_CORRUPT"] == 1 and result.metrics["MASTER_CORRUPT"] == 0
+    with open(os.path.join(inputs, "snapshots.csv"), "a", encoding="utf-8") as f:
+        f.write(",,,\n")
+    with pytest.raises(RuleViolation, match="NULL ID"):
+        ingest(spark, inputs, bronze, required=True)
+
+
 def test_unexpected_row_count_stops_the_run(spark, inputs, tmp_path):
     with pytest.raises(RuleViolation, match="snapshots: expected rows"):
         run_all(spark, inputs, str(tmp_path / "lake"), expected={"snapshots": 5})
@@ -222,6 +281,13 @@ def test_shell_entry_returns_the_exit_code(spark, inputs, tmp_path):
     level = ["run-all", "--input-dir", inputs, "--output-dir", lake]
     try:
         assert main([*level, "--expected-periods", "8"]) == 0
+        shown = ["--input-dir", f"{lake}/gold", "--output-dir", lake, "--presented-folder", "shown"]
+        assert main(["present", *shown]) == 0 and os.path.isdir(f"{lake}/shown")
+        options = ["--multi-line", "--corrupt-column", "_bad", "--required", "--drop-unknown"]
+        folders = ["--rejects-folder", "refused", "--parse-time"]
+        assert main([*level, *options, *folders]) == 0
+        assert read_table(spark, f"{lake}/silver/refused").count() == 2
+        assert "_bad" in read_table(spark, f"{lake}/bronze/periods").columns
         assert main(["validate", "--lake-dir", lake]) == 0
         assert main([*level, "--expected-periods", "9"]) == 1
     finally:

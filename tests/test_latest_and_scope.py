@@ -1,4 +1,5 @@
 import random
+import re
 from collections import Counter
 
 import pytest
@@ -11,7 +12,9 @@ from spanlake.operators.latest import (
     with_time,
 )
 from spanlake.operators.scope import orphans, scope_to_latest, with_snapshot_columns
-from spanlake.operators.skew import hot_keys, join_salted, spread_small
+from spanlake.operators.scope import judge_links
+from spanlake.operators.skew import hot_keys, join_salted
+from spanlake.plans.catalog import QUERIES
 
 SNAPSHOTS = [
     (1, 11, "a", "2026-01-01 08:00:01.000000"),
@@ -116,7 +119,7 @@ def skewed(spark):
 @pytest.mark.parametrize("rows_per_salt", [50, 400, 10_000])
 def test_salted_join_equals_plain_join(skewed, how, rows_per_salt):
     rows, right_rows, left, right = skewed
-    joined = join_salted(left, right, ["k"], how, hot_keys(left, ["k"], rows_per_salt))
+    joined = join_salted(left, right, ["k"], how, rows_per_salt)
     assert Counter(map(tuple, joined.collect())) == Counter(
         map(tuple, left.join(right, ["k"], how).collect())
     )
@@ -140,29 +143,66 @@ def test_only_hot_keys_are_salted(spark, skewed):
     assert hot[0]["_salts"] >= 3
 
 
-def test_a_hot_key_is_spread_over_tasks(spark, skewed):
-    _, _, left, right = skewed
-    hot = hot_keys(left, ["k"], 100)
+def tasks_of_the_hot_key(spark, left, right, key, rows_per_salt):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        joined = join_salted(left, right, ["k"], "left_semi", hot)
-        tasks = joined.where("k = 7").groupBy(F.spark_partition_id()).count().count()
+        joined = join_salted(left, right, ["k"], "left_semi", rows_per_salt)
+        return joined.where(F.col("k") == key).groupBy(F.spark_partition_id()).count().count()
     finally:
         spark.conf.unset("spark.sql.adaptive.enabled")
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert tasks > 3
+
+
+def test_a_hot_key_is_spread_over_tasks(spark):
+    rows = spark.range(6000).selectExpr("IF(id % 3 = 0, 7, id) AS k", "id AS v")
+    known = spark.range(0, 6000, 7).withColumnRenamed("id", "k")
+    assert tasks_of_the_hot_key(spark, rows.repartition(16), known, 7, 100) > 3
+    # The same in one input partition, and after a shuffle on the key.
+    assert tasks_of_the_hot_key(spark, rows.coalesce(1), known, 7, 100) > 3
+    assert tasks_of_the_hot_key(spark, rows.repartition(16, "k"), known, 7, 100) > 3
+
+
+def test_a_key_thin_in_every_partition_is_found(spark):
+    """800 rows among a million other keys, a hundred in each partition."""
+    rows = spark.range(0, 1_000_000, 1, 8).selectExpr("IF(id % 1250 = 0, -1, id) AS k")
+    assert [r["_salts"] for r in hot_keys(rows, ["k"], 300).collect()] == [3]
+
+
+def test_any_number_of_hot_keys_is_found(spark):
+    rows = spark.range(60_000).selectExpr("id % 20000 AS k")
+    assert hot_keys(rows, ["k"], 2).count() == 20_000
 
 
 def test_salting_refuses_what_it_cannot_do(spark, skewed):
     _, _, left, right = skewed
-    hot = hot_keys(left, ["k"])
     with pytest.raises(ValueError):
-        join_salted(left, right, ["k"], "full", hot)
+        join_salted(left, right, ["k"], "full")
     with pytest.raises(TypeError):
-        join_salted(left, right.withColumn("k", F.col("k").cast("int")), ["k"], "inner", hot)
+        join_salted(left, right.withColumn("k", F.col("k").cast("int")), ["k"], "inner")
+
+
+def shape(df):
+    """Operators of the plan before run-time changes, without ids and sizes."""
+    plan = df._jdf.queryExecution().sparkPlan().toString()
+    return [re.sub(r"[^A-Za-z]+", " ", line).split()[0] for line in plan.splitlines() if line.strip()]
 
 
-def test_small_input_is_spread_without_loss(spark):
-    df = spark.range(0, 100, 1, 1)
-    assert spread_small(df).count() == 100
+@pytest.mark.parametrize("name", ["scope_to_latest_worker", "detail_with_person", "orphan_periods"])
+def test_joins_have_one_plan_at_every_size(spark, name):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        small, large = (
+            shape(QUERIES[name](spark, f"/root/testdata/sf{sf}")) for sf in ("0.01", "0.1")
+        )
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert small == large
+
+
+def test_links_are_judged_without_repeating_periods(spark):
+    latest = latest_per_key(spark.createDataFrame(SNAPSHOTS, COLUMNS))
+    detail = spark.createDataFrame(PERIODS, PERIOD_COLUMNS)
+    for known in (latest, latest.union(latest)):
+        judged = {r["ID"]: r["_same_worker"] for r in judge_links(detail, known).collect()}
+        assert judged == {100: True, 101: False, 102: False, 105: True}

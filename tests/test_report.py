@@ -1,11 +1,13 @@
 import math
 import random
+from fractions import Fraction
 
 import pytest
 from pyspark.sql import functions as F
 
 from spanlake.operators.intervals import Roles, expand, month_bounds, month_dim, range_join, sweep
 from spanlake.operators.report import (
+    METRICS,
     fill_gaps,
     monthly_report,
     present,
@@ -215,7 +217,7 @@ def test_a_frequent_person_is_reduced_before_the_shuffle(spark):
         F.format_string("2020%02d", F.col("id") % 12 + 1).alias("TU_THANG"),
         F.lit("202012").alias("DEN_THANG"),
     )
-    plan = sweep(df, Roles(), "MUC_LUONG")._jdf.queryExecution().executedPlan().toString()
+    plan = sweep(df, Roles())._jdf.queryExecution().executedPlan().toString()
     assert "partial_max" in plan
     december = report_by_sweep(None, df).collect()[-1]
     assert (december["THANG_ID"], december["SO_NGUOI_THAM_GIA"]) == ("202012", 20_001)
@@ -249,3 +251,58 @@ def test_report_plan_stays_in_the_jvm_without_nested_loops(spark):
     plan = monthly_report(df)._jdf.queryExecution().executedPlan().toString()
     for word in ("BatchEvalPython", "ArrowEval", "NestedLoop", "Cartesian"):
         assert word not in plan
+
+
+def test_amounts_are_exact_for_every_double(spark):
+    pays = [1e25, 1e-8, 0.1234567891, -1e25, 5e-324, 1.7e308, -1.7e308, 3.0, 2.0**53 + 2, -7.25, 1e16, 1.0]
+    rows = [("a", "x", p, "202001", text(24240 + i)) for i, p in enumerate(pays)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    expected = {}
+    for i in range(24240, 24240 + len(pays)):
+        active = [Fraction(p) for k, p in enumerate(pays) if 24240 + k >= i]
+        positive = [p for p in active if p > 0]
+        expected[text(i)] = (float(sum(active)), float(sum(positive) / len(positive)) if positive else 0.0)
+    for report in strategies(df).values():
+        got = {r["THANG_ID"]: (r["TONG_QUY_LUONG"], r["LUONG_BINH_QUAN"]) for r in report.collect()}
+        assert got.keys() == expected.keys()
+        for month, values in expected.items():
+            assert got[month] == pytest.approx(values, rel=1e-15), month
+
+
+def test_sums_do_not_depend_on_the_order(spark):
+    rng = random.Random(2)
+    rows = [("a", "x", rng.uniform(-1, 1) * 10 ** rng.randrange(-9, 20), "202001", "202003") for _ in range(3000)]
+    reports = set()
+    for partitions in (1, 3, 7):
+        rng.shuffle(rows)
+        df = spark.createDataFrame(rows, SCHEMA).repartition(partitions)
+        for report in strategies(df).values():
+            reports.add(tuple(map(tuple, report.collect())))
+    assert len(reports) == 1
+    assert reports.pop()[0][3] == pytest.approx(float(sum(Fraction(r[2]) for r in rows)), rel=1e-15)
+
+
+def test_a_cell_of_any_size_does_not_stop_the_report(spark):
+    rows = [("a", "x", 1e300, "202001", "202001"), ("b", "x", 1e300, "202001", "202001")]
+    (row,) = monthly_report(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert (row["TONG_QUY_LUONG"], row["LUONG_BINH_QUAN"]) == (2e300, 1e300)
+
+
+def test_only_wanted_metrics_are_planned(spark):
+    df = spark.createDataFrame(random_rows(3), SCHEMA)
+    whole = {r["THANG_ID"]: r.asDict() for r in monthly_report(df).collect()}
+    for metric in METRICS:
+        report = monthly_report(df, metrics=(metric,))
+        assert report.columns == ["THANG_ID", metric]
+        assert {r["THANG_ID"]: r[metric] for r in report.collect()} == {
+            m: r[metric] for m, r in whole.items()
+        }
+    pay = monthly_report(df.drop("SO_SO_BHXH", "MA_DON_VI"), metrics=("TONG_QUY_LUONG",))
+    plan = pay._jdf.queryExecution().optimizedPlan().toString()
+    assert "_person" not in plan and "_employer" not in plan
+
+
+def test_column_names_with_backticks(spark):
+    df = spark.createDataFrame([("p", "e", 2.5, "202001", "202002")], "`a`` b` string, e string, `s``` double, f string, t string")
+    report = monthly_report(df, roles=Roles("a` b", "e", "s`", "f", "t"))
+    assert [tuple(r) for r in report.collect()][0] == ("202001", 1, 1, 2.5, 2.5, 0)
