@@ -67,3 +67,114 @@ best AS (
 SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict
 FROM p LEFT JOIN (SELECT * FROM best WHERE k = 1) b USING (rid)
 """
+
+ORACLES["op6_chat"] = r"""
+WITH RECURSIVE m AS (
+  SELECT row_number() OVER () AS rid, conv_id, turn, coalesce(role, 'unknown') AS role,
+         coalesce(text, '') AS text
+  FROM conversations),
+lines AS (
+  SELECT rid, conv_id, turn, unnest(range(1, len(l) + 1)) AS i, unnest(l) AS line
+  FROM (SELECT *, string_split(text, chr(10)) AS l FROM m) x),
+parsed AS (
+  SELECT *, length(regexp_replace(regexp_extract(line, '^\s*((?:>\s*)+)', 1), '[^>]', '', 'g'))
+           AS level,
+         regexp_replace(line, '^\s*((?:>\s*)+)', '') AS body
+  FROM lines),
+runs AS (
+  SELECT rid, conv_id, turn, level, string_agg(body, ' ' ORDER BY i) AS body
+  FROM (SELECT *, i - row_number() OVER (PARTITION BY rid, level ORDER BY i) AS run FROM parsed) x
+  GROUP BY rid, conv_id, turn, level, run),
+units AS (
+  SELECT DISTINCT conv_id, turn, level,
+         lower(trim(regexp_replace(body, '\s+', ' ', 'g'), ' ')) AS body
+  FROM (SELECT conv_id, turn, level, body FROM runs
+        UNION ALL SELECT conv_id, turn, level, body FROM parsed) x
+  WHERE conv_id IS NOT NULL AND turn IS NOT NULL),
+originals AS (
+  SELECT conv_id, body, min(turn) AS first FROM units WHERE level = 0 AND body <> ''
+  GROUP BY conv_id, body),
+scored AS (
+  SELECT conv_id, turn, level, first, sum(length(body)) AS n
+  FROM units JOIN originals USING (conv_id, body)
+  WHERE level > 0 AND body <> '' AND first < turn
+  GROUP BY conv_id, turn, level, first),
+links AS (
+  SELECT conv_id, turn, first AS parent FROM (
+    SELECT *, row_number() OVER (
+      PARTITION BY conv_id, turn ORDER BY level, n DESC, first DESC) AS k
+    FROM scored) x
+  WHERE k = 1),
+up(conv_id, turn, parent, thread, depth) AS (
+  SELECT conv_id, turn, parent, parent, 1 FROM links
+  UNION ALL
+  SELECT up.conv_id, up.turn, up.parent, links.parent, up.depth + 1
+  FROM up JOIN links ON up.conv_id = links.conv_id AND up.thread = links.turn),
+threads AS (
+  SELECT conv_id, turn, parent, min(thread) AS thread, max(depth) AS depth
+  FROM up GROUP BY conv_id, turn, parent),
+own AS (
+  SELECT rid, coalesce(string_agg(body, chr(10) ORDER BY i) FILTER (WHERE level = 0 AND NOT (
+           coalesce(after, 0) > 0 AND
+           regexp_matches(body, '(?i)^.{0,200}\b(wrote|schrieb|a écrit|escribió):\s*$'))), '') AS said,
+         count(*) FILTER (WHERE level > 0) AS n_quoted
+  FROM (SELECT *, lead(level) OVER (PARTITION BY rid ORDER BY i) AS after FROM parsed) x
+  GROUP BY rid),
+clean AS (
+  SELECT m.conv_id, m.turn, role, n_quoted,
+         trim(CASE WHEN contains(text, '>') THEN said ELSE text END,
+              ' ' || chr(9) || chr(10) || chr(13)) AS text
+  FROM m JOIN own USING (rid))
+SELECT clean.conv_id, clean.turn, coalesce(thread, clean.turn) AS thread,
+       coalesce(depth, 0)::BIGINT AS depth, parent, role, text, n_quoted,
+       '<|' || role || '|>' || chr(10) || text || chr(10) || '<|end|>' AS formatted
+FROM clean LEFT JOIN threads
+  ON clean.conv_id = threads.conv_id AND clean.turn = threads.turn
+"""
+
+ORACLES["op7_near_duplicates"] = r"""
+WITH RECURSIVE d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+texts AS (SELECT text, min(doc_id) AS rep FROM d GROUP BY text),
+words AS (
+  SELECT rep, regexp_extract_all(lower(text), '[\p{L}\p{N}_]+') AS w FROM texts),
+shingles AS (
+  SELECT DISTINCT rep, array_to_string(w[i:i + 4], ' ') AS s FROM (
+    SELECT rep, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i
+    FROM words WHERE len(w) > 0) x),
+sizes AS (SELECT rep, count(*) AS n FROM shingles GROUP BY rep),
+pairs AS (
+  SELECT a.rep AS x, b.rep AS y, count(*) AS c
+  FROM shingles a JOIN shingles b ON a.s = b.s AND a.rep <> b.rep GROUP BY a.rep, b.rep),
+links AS (
+  SELECT x, y FROM pairs JOIN sizes p ON x = p.rep JOIN sizes q ON y = q.rep
+  WHERE c >= 0.8 * (p.n + q.n - c) - 1e-9),
+reach(x, y) AS (
+  SELECT x, y FROM links
+  UNION SELECT reach.x, links.y FROM reach JOIN links ON reach.y = links.x),
+classes AS (SELECT x, min(y) AS least FROM reach GROUP BY x),
+degrees AS (SELECT x, count(*) AS n FROM links GROUP BY x)
+SELECT doc_id, least(rep, coalesce(classes.least, rep)) AS class_id, rep AS text_id,
+       coalesce(n, 0) AS n_links
+FROM d JOIN texts USING (text) LEFT JOIN classes ON rep = classes.x
+  LEFT JOIN degrees ON rep = degrees.x
+"""
+
+ORACLES["op8_warc"] = r"""
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, '')))::BIGINT AS payload_bytes,
+         sha1(coalesce(html, '')) AS h
+  FROM pages),
+f AS (
+  SELECT *, min(page_id) OVER (PARTITION BY h) AS first,
+         list_transform(range(8), lambda k: ('0x' || substr(h, 5 * k + 1, 5))::BIGINT) AS fives
+  FROM p)
+SELECT page_id, payload_bytes,
+       list_aggregate(list_transform(range(32), lambda j: substr(
+         'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+         (((fives[j // 4 + 1] >> (15 - 5 * (j % 4))) & 31) + 1)::BIGINT, 1)), 'string_agg', '')
+         AS payload_digest,
+       CASE WHEN page_id IS NOT DISTINCT FROM first THEN 'response' ELSE 'revisit' END
+         AS record_type,
+       CASE WHEN page_id IS DISTINCT FROM first THEN first END AS refers_to
+FROM f
+"""

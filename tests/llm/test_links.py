@@ -3,11 +3,13 @@
 import os
 import re
 
+import duckdb
 from pyspark.sql import functions as F
 
 from spanlake.llm import chat
 from spanlake.llm import decontamination as dc
 from spanlake.llm.common import load
+from spanlake.llm.oracles import ORACLES
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
@@ -147,3 +149,15 @@ def test_long_chains_of_quotations(spark):
     talk = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
     found = chat.conversations(talk).collect()
     assert {(r.thread, r.depth) for r in found} == {(0, i) for i in range(70)}
+
+
+def test_quotations_equal_sql(spark):
+    """The given conversations hold no quotation, so the SQL is also run on these."""
+    rows = TALK + [(4, i, "user", f"> message {i - 1}\nmessage {i}") for i in range(9)]
+    talk = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    db = duckdb.connect()
+    db.register("conversations", talk.toArrow())
+    wanted = db.sql(ORACLES["op6_chat"]).to_arrow_table()
+    made = chat.conversations(talk).toArrow().select(wanted.column_names)
+    listed = lambda t: sorted(map(repr, t.to_pylist()))
+    assert listed(made) == listed(wanted)
