@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from spanlake.llm.common import bounded_sample, let, text_chunks
+from spanlake.llm.common import bounded_sample, let, text_chunks, written
 
 SAMPLE_ROWS = 12_000
 """Labelled rows, at most, that the grammar is fitted on."""
@@ -196,8 +196,9 @@ class Model:
 def learn_lexicon(rows: DataFrame, text: str, label: str) -> Lexicon:
     """Words and beginnings that labelled texts use far more often when toxic.
 
-    An entry must be as rare by chance as one in twenty among all entries tried.  Near copies of
-    a text count once: texts are told apart by the smallest hash of their word triples.
+    An entry must be as rare by chance as one in twenty among all entries that toxic texts use.  A
+    beginning must be so without its most frequent word: a single word stands for itself only.  Near
+    copies of a text count once: texts are told apart by the smallest hash of their word triples.
     """
     words = F.filter(F.split(F.lower(text), r"[^\p{L}']+"), lambda w: F.length(w) > 2)
 
@@ -206,14 +207,20 @@ def learn_lexicon(rows: DataFrame, text: str, label: str) -> Lexicon:
         return F.array_min(F.transform(starts, lambda i: F.xxhash64(F.slice(w, i, 3))))
 
     def entries(w: Column) -> Column:
-        made = [F.transform(w, lambda x: F.struct(x.alias("entry"), F.lit(0).alias("stem")))]
+        made = [
+            F.transform(
+                w, lambda x: F.struct(x.alias("entry"), F.lit(0).alias("stem"), x.alias("word"))
+            )
+        ]
         for n in STEMS:
             size = F.lit(n)
             longer = F.filter(w, lambda x: F.length(x) > size)
             made.append(
                 F.transform(
                     longer,
-                    lambda x: F.struct(F.left(x, size).alias("entry"), F.lit(1).alias("stem")),
+                    lambda x: F.struct(
+                        F.left(x, size).alias("entry"), F.lit(1).alias("stem"), x.alias("word")
+                    ),
                 )
             )
         return F.flatten(F.array(*made))
@@ -224,15 +231,22 @@ def learn_lexicon(rows: DataFrame, text: str, label: str) -> Lexicon:
         lambda w: F.struct(entries(w).alias("entries"), triple(w).alias("near")),
     )
     texts = rows.select(made.alias("_made"), F.col(label).alias("_toxic"))
-    counted = (
+    counted = written(
         texts.select(F.explode("_made.entries").alias("e"), "_made.near", "_toxic")
         .select("e.*", "near", "_toxic")
         .distinct()
-        .groupBy("entry", "stem")
+        .groupBy("entry", "stem", "word")
         .agg(
             F.count_if(F.col("_toxic") == 1).alias("bad"),
             F.count_if(F.col("_toxic") == 0).alias("good"),
         )
+        .groupBy("entry", "stem")
+        .agg(
+            F.expr("sum(bad) - IF(stem = 1, max(bad), 0)").alias("bad"),
+            F.sum("good").alias("good"),
+        )
+        .where("bad > 0"),
+        "entries",
     )
     totals = rows.agg(F.count_if(F.col(label) == 1), F.count_if(F.col(label) == 0)).first()
     bad_texts, good_texts = totals[0], totals[1]
@@ -289,21 +303,23 @@ def fit(
     known = known.groupBy(doc_id).agg(F.max(label).cast("int").alias("_label"))
     sample = F.broadcast(bounded_sample(known, rows, doc_id))
     texts = docs.select(doc_id, F.coalesce(text, F.lit("")).alias("_text")).join(sample, doc_id)
-    texts = bounded_sample(texts.select("_text", "_label"), rows, "_text").cache()
-    try:
-        lexicon = learn_lexicon(texts, "_text", "_label")
-
-        def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            matcher = Matcher(lexicon)
-            for batch, chunk in text_chunks(batches, "_text"):
-                found = [matcher(t).tolist() for t in chunk]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(found, pa.list_(pa.float64())), batch.column("_label")], ["x", "y"]
-                )
+    # The exact cut of a sample ends in one task; from there it is dealt out anew.
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    texts = written(
+        bounded_sample(texts.select("_text", "_label"), rows, "_text").repartition(tasks, "_text"),
+        "labelled",
+    )
+    lexicon = learn_lexicon(texts, "_text", "_label")
+
+    def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        matcher = Matcher(lexicon)
+        for batch, chunk in text_chunks(batches, "_text"):
+            found = [matcher(t).tolist() for t in chunk]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(found, pa.list_(pa.float64())), batch.column("_label")], ["x", "y"]
+            )
 
-        table = texts.mapInArrow(match, "x array<double>, y int").toArrow()
-    finally:
-        texts.unpersist()
+    table = texts.mapInArrow(match, "x array<double>, y int").toArrow()
     if table.num_rows == 0:
         return Model(lexicon, PRIOR, -3.0)
     x = np.array(table.column("x").to_pylist(), float)
