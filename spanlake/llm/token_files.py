@@ -40,8 +40,11 @@ SAMPLE_ROWS = 1_000
 SAMPLE_CHARS = 8_000
 """The dictionary is trained on at most this many documents, none longer than this."""
 
-CACHE_WORDS = 1_200_000
-CHUNK_CHARS = 4 << 20
+CACHE_WORDS = 1_700_000
+CHUNK_CHARS = 6 << 20
+BATCH_WORDS = 1_000
+"""New words that the library gets at once; more take longer each."""
+
 FIRST = "\x00"
 """Marks the beginning of a text; texts that contain it are encoded whole."""
 
@@ -82,8 +85,7 @@ class Encoder:
 
     def separable(self, text: str) -> bool:
         return (
-            text != ""
-            and "  " not in text
+            "  " not in text
             and FIRST not in text
             and not text.startswith(" ")
             and not text.endswith(" ")
@@ -95,11 +97,12 @@ class Encoder:
         first = [p for p in parts if p.startswith(FIRST)]
         rest = [p for p in parts if not p.startswith(FIRST)]
         self.cache.update(zip(first, self.whole([p[1:] for p in first])))
-        if rest:
-            ids = np.array(self.whole_ids(" " + " ".join(rest)), np.int64)
+        for k in range(0, len(rest), BATCH_WORDS):
+            some = rest[k : k + BATCH_WORDS]
+            ids = np.array(self.whole_ids(" " + " ".join(some)), "<u4")
             begins = (np.flatnonzero(self.leads[ids]) * 4).tolist()
-            raw = ids.astype("<u4").tobytes()
-            for part, i, j in zip(rest, begins, [*begins[1:], len(raw)], strict=True):
+            raw = ids.tobytes()
+            for part, i, j in zip(some, begins, [*begins[1:], len(raw)], strict=True):
                 self.cache[part] = raw[i:j]
 
     def whole_ids(self, text: str) -> list[int]:
@@ -108,8 +111,10 @@ class Encoder:
     def __call__(self, texts: list[str]) -> list[bytes]:
         """Ids of the texts; the distinct stretches of all of them are looked up once."""
         made: list[bytes] = [b""] * len(texts)
-        apart = [i for i, t in enumerate(texts) if self.separable(t)]
-        others = [i for i in range(len(texts)) if texts[i] and not self.separable(texts[i])]
+        apart, others = [], []
+        for i, text in enumerate(texts):
+            if text:
+                (apart if self.separable(text) else others).append(i)
         for i, ids in zip(others, self.whole([texts[i] for i in others])):
             made[i] = ids
         if not apart:
