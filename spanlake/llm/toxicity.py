@@ -306,7 +306,7 @@ def fit(
     # The exact cut of a sample ends in one task; from there it is dealt out anew.
     tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     texts = written(
-        bounded_sample(texts.select("_text", "_label"), rows, "_text").repartition(tasks, "_text"),
+        bounded_sample(texts.select("_text", "_label"), rows, "_text").repartition(tasks),
         "labelled",
     )
     lexicon = learn_lexicon(texts, "_text", "_label")
