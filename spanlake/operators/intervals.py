@@ -90,8 +90,8 @@ def sweep(
     ``parts`` and ``flags`` map names to SQL conditions; a part sums the salaries of its rows, the
     value of a flag is 1 in months with such a row.  ``checked`` months are well-formed.
 
-    A row is sent down one lane for each head, part and flag that it bears on, and one that only
-    marks its months.  Every lane is aggregated before it is shuffled, to one row per entity and
+    A row is sent down one lane for each head, part and flag that it bears on, or if it has no part
+    down one that only marks its months.  Every lane is aggregated before it is shuffled, to one row per entity and
     start month or, for amounts, per band, start and end month.  So a person, employer or flag
     with any number of periods reaches the window with no more rows than the axis has months.
     Lanes of heads and parts that are not wanted are not built.
@@ -119,25 +119,31 @@ def sweep(
 
     counted = f"_lane IN ({lanes_of([*heads, *flags])})"
     summed = f"_lane IN ({lanes_of(parts)})"
+    chosen = [f"CASE WHEN _is_{i} THEN {i} ELSE -1 END" for i in number.values()]
+    has_part = " OR ".join(f"_is_{number[x]}" for x in parts)
+    marks = f"CASE WHEN {has_part} THEN -1 ELSE 0 END" if parts else "0"
+    amount = ["_band", "_units"] if parts else []
     lanes = (
         rows.select(
             month_index(roles.start, checked).alias("_from"),
             month_index(roles.end, checked).alias("_to"),
             *[F.expr(f"{source[c]} AS {c}") for c in entities],
-            *([F.expr(f"{salary} AS _salary")] if parts else []),
+            *(
+                [F.expr(f"{band(salary)} AS _band"), F.expr(f"{units(salary)} AS _units")]
+                if parts
+                else []
+            ),
             *[F.expr(f"coalesce({sql}, false) AS _is_{number[x]}") for x, sql in conditions.items()],
         )
         .selectExpr(
             # Malformed and reversed months get no lane.  A filter for them would be pushed below
             # the projection and work out both months a second time.
             f"""explode(CASE WHEN _from > _to OR _from IS NULL OR _to IS NULL THEN NULL
-                  ELSE array({", ".join(
-                      ["0", *(f"CASE WHEN _is_{i} THEN {i} ELSE -1 END" for i in number.values())]
-                  )}) END) AS _lane""",
+                  ELSE array({", ".join([marks, *chosen])}) END) AS _lane""",
             *entities,
             "_from",
             "_to",
-            *(["_salary"] if parts else []),
+            *amount,
         )
         .where("_lane >= 0")
     )
@@ -145,21 +151,20 @@ def sweep(
         c: f"CASE WHEN _lane IN ({lanes_of(h for h in heads if known[h][0] == c)}) THEN {c} END"
         for c in entities
     }
-    banded = parts and f"CASE WHEN {summed} THEN {band('_salary')} END"
     grouped = lanes.selectExpr(
         "_lane",
         *[f"{sql} AS {c}" for c, sql in keys.items()],
         "_from",
         f"CASE WHEN NOT ({counted}) THEN _to END AS _until",
         "_to",
-        *([f"{banded} AS _band", f"CASE WHEN {summed} THEN _salary END AS _salary"] if parts else []),
+        *[f"CASE WHEN {summed} THEN {c} END AS {c}" for c in amount],
     )
     entity_months = grouped.groupBy(
         "_lane", *entities, "_from", "_until", *(["_band"] if parts else [])
     ).agg(
         F.expr("max(_to) AS _to"),
         *(
-            [F.expr(f"sum({units('_salary')}) AS _units"), F.expr("count(_salary) AS _rows")]
+            [F.expr("sum(_units) AS _units"), F.expr("count(1) AS _rows")]
             if parts
             else []
         ),

@@ -18,9 +18,12 @@ HEADS = {n.PEOPLE: "people", n.EMPLOYERS: "employers", n.ZERO_PAY_PEOPLE: "zero_
 
 
 def pay_parts(salary: str, metrics: Sequence[str]) -> dict[str, str]:
-    """Salaries that the wanted metrics add up, by SQL conditions."""
-    wanted = {n.PAYROLL: ("paid", "true"), n.MEAN_PAY: ("positive", f"{salary} > 0")}
-    return dict(wanted[m] for m in (n.PAYROLL, n.MEAN_PAY) if m in metrics)
+    """Salaries that the wanted metrics add up, by SQL conditions.
+
+    The mean needs those that count; it takes away the few that do not.
+    """
+    parts = {"paid": "true", "unpaid": f"{salary} <= 0"} if n.MEAN_PAY in metrics else {}
+    return parts or ({"paid": "true"} if n.PAYROLL in metrics else {})
 
 
 def odd_salaries(salary: str, metrics: Sequence[str]) -> dict[str, str]:
@@ -79,7 +82,8 @@ def monthly_values(
 
 def finish(values: DataFrame, month: str, metrics: Sequence[str] = METRICS) -> DataFrame:
     """Report columns from the values of each month; ``month`` is SQL of the month text."""
-    paid, positive = (total("bands", f"x.{part}_total") for part in ("paid", "positive"))
+    paid = total("bands", "x.paid_total")
+    positive = total("bands", "coalesce(x.paid_total, 0) - coalesce(x.unpaid_total, 0)")
     shown = {
         n.PEOPLE: "people",
         n.EMPLOYERS: "employers",
@@ -89,7 +93,7 @@ def finish(values: DataFrame, month: str, metrics: Sequence[str] = METRICS) -> D
             WHEN paid_rows > 0 THEN coalesce({paid}, 0D) END""",
         n.MEAN_PAY: f"""CASE WHEN nan > 0 THEN double('NaN')
             WHEN up > 0 THEN double('Infinity')
-            ELSE {positive} / nullif(positive_rows, 0) END""",
+            ELSE {positive} / nullif(paid_rows - unpaid_rows, 0) END""",
         n.ZERO_PAY_PEOPLE: "zero_pay_people",
     }
     return values.selectExpr(
