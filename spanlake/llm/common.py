@@ -29,6 +29,27 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def window_hashes(items: Column, width: int) -> Column:
+    """Hashes of the windows of an array of hashes, by place; none for fewer items than a window.
+
+    ``width`` is a power of two: a window's hash is made from those of its halves, which overlapping
+    windows share.
+    """
+
+    def doubled(step: int) -> Callable[[Column], Column]:
+        return lambda codes: F.zip_with(
+            codes,
+            F.slice(codes, F.lit(step + 1), F.size(codes)),
+            lambda a, b: F.xxhash64(a, b),
+        )
+
+    for k in range(width.bit_length() - 1):
+        items = let(items, doubled(1 << k))
+    return let(
+        items, lambda c: F.slice(c, F.lit(1), F.greatest(F.size(c) - (width - 1), F.lit(0)))
+    )
+
+
 def bounded_sample(df: DataFrame, rows: int, *key: str | Column) -> DataFrame:
     """At most ``rows`` rows, the same ones at every run: those with the smallest key hashes.
 

@@ -14,12 +14,10 @@ pass through; working columns take names that the input does not have.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spanlake.llm.common import let, written
+from spanlake.llm.common import window_hashes, written
 
 WINDOW = 8
 """Words of a window, a power of two."""
@@ -71,24 +69,8 @@ def values(text: Column) -> Column:
 
 
 def windows(words: Column) -> Column:
-    """Hashes of the windows, by place; empty for fewer words than a window.
-
-    The hash of a window is made from those of its halves, which overlapping windows share.
-    """
-
-    def doubled(step: int) -> Callable[[Column], Column]:
-        return lambda codes: F.zip_with(
-            codes,
-            F.slice(codes, F.lit(step + 1), F.size(codes)),
-            lambda a, b: F.xxhash64(a, b),
-        )
-
-    codes = F.transform(words, lambda w: F.xxhash64(w))
-    for step in (1, 2, 4):
-        codes = let(codes, doubled(step))
-    return let(
-        codes, lambda c: F.slice(c, F.lit(1), F.greatest(F.size(c) - (WINDOW - 1), F.lit(0)))
-    )
+    """Hashes of the windows, by place; empty for fewer words than a window."""
+    return window_hashes(F.transform(words, lambda w: F.xxhash64(w)), WINDOW)
 
 
 def text_key(text: Column) -> Column:

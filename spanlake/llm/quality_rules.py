@@ -17,7 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spanlake.llm.common import bounded_sample, let
+from spanlake.llm.common import bounded_sample, let, window_hashes
 
 SPACES = r"[\x20\x09-\x0D]+"
 WINDOW = 8
@@ -40,7 +40,8 @@ def words(text: Column) -> Column:
 
 
 def repeated_positions(tokens: Column, width: int = WINDOW) -> Column:
-    """Number of words inside windows of ``width`` words that the text holds twice or more.
+    """Number of words inside windows of ``width`` words (a power of two) that the text holds twice
+    or more.
 
     Windows are hashed; equal hashes are found by sorting, so the work is linear in the words but
     for that sort.
@@ -69,12 +70,8 @@ def repeated_positions(tokens: Column, width: int = WINDOW) -> Column:
             let(starts, covered)
         )
 
-    def from_hashes(hashes: Column) -> Column:
-        starts = F.sequence(F.lit(1), F.size(hashes) - width + 1)
-        windows = F.transform(starts, lambda i: F.xxhash64(F.slice(hashes, i, width)))
-        return F.when(F.size(hashes) <= width, F.lit(0)).otherwise(let(windows, from_windows))
-
-    return let(F.transform(tokens, lambda w: F.xxhash64(w)), from_hashes).cast("long")
+    hashes = F.transform(tokens, lambda w: F.xxhash64(w))
+    return let(window_hashes(hashes, width), from_windows).cast("long")
 
 
 def repeated_lines(text: Column) -> Column:
