@@ -1,13 +1,14 @@
 """Sums of doubles that do not depend on their order.
 
-A double is an integer times a power of two.  Exponents are cut into bands of 16; within a band all
-doubles are integers of at most 70 bits in one unit, whose sums are exact decimals.  A total is a short list
-of bands, at most 134 for all doubles there are.
+A double is an integer times a power of two.  Exponents are cut into bands of four; within a band all
+doubles are integers of at most 58 bits in one unit, whose sums are exact decimals.  A total is a short
+list of bands, at most 526 for all doubles there are.
 """
 
 from __future__ import annotations
 
-BAND_BITS = 16
+BAND_BITS = 4
+"""Narrow enough for the integers to fit the 18 digits of a short decimal."""
 
 
 def quoted(name: str) -> str:
@@ -39,7 +40,7 @@ def units(x: str) -> str:
     shift = f"shiftleft(1L, {e} - {BAND_BITS} * int(floor({e} / {BAND_BITS})))"
     return (
         f"CASE WHEN {is_finite(x)} AND {x} <> 0"
-        f" THEN CAST({whole} AS decimal(18,0)) * CAST({shift} AS decimal(5,0)) END"
+        f" THEN CAST({whole} * {shift} AS decimal(18,0)) END"
     )
 
 
