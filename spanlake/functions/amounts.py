@@ -45,12 +45,27 @@ def units(x: str) -> str:
 
 
 def total(bands: str, amount: str) -> str:
-    """SQL of the double that a list of bands stands for, added from the largest unit down.
+    """SQL of the double that a list of bands stands for.
 
     ``bands`` is an array of structs with the field ``band``; ``amount`` is SQL of an element ``x``.
+    The largest seven bands are added exactly, so rounding happens once; what lies further below is
+    then added from the largest unit down.
     """
-    half = f"power(2D, {BAND_BITS // 2} * x.band)"
+    amount = f"({amount})"
+    scale = f"power(2D, {BAND_BITS // 2} * {{0}})"
+    shift = f"CAST(shiftleft(1L, int({BAND_BITS} * (x.band - low))) AS decimal(8,0))"
+    upper = (
+        "double(aggregate(filter(l, x -> x.band >= low), CAST(0 AS decimal(38,0)),"
+        f" (s, x) -> CAST(s + {amount} * {shift} AS decimal(38,0))))"
+    )
+    lower = (
+        "aggregate(sort_array(filter(l, x -> x.band < low), false), 0D,"
+        f" (s, x) -> s + double({amount}) * {scale.format('x.band')} * {scale.format('x.band')})"
+    )
+    value = f"{upper} * {scale.format('low')} * {scale.format('low')} + {lower}"
+    low = "array_max(transform(l, x -> x.band)) - 6"
     return (
-        f"aggregate(sort_array({bands}, false), 0D,"
-        f" (s, x) -> s + coalesce(double({amount}), 0D) * {half} * {half})"
+        f"element_at(transform(array(filter({bands}, x -> coalesce({amount}, 0) <> 0)),"
+        f" l -> CASE WHEN size(l) > 0 THEN element_at(transform(array({low}), low -> {value}), 1)"
+        " ELSE 0D END), 1)"
     )
