@@ -1,10 +1,17 @@
 """Benchmark decontamination by templates, in DataFrame expressions only.
 
 Capitalised words, numbers and units after numbers become typed placeholders, all other words their
-lower case.  Windows of eight template words of the corpus meet those of the benchmark by hash.
+lower case.  Windows of eight template words of the corpus meet those of the benchmark by hash; where
+too few of the eight are literal words, windows of thirteen do.
 Where they lie on one diagonal (the same shift between item and text), the values behind the
 placeholders are compared: a re-parameterised question renames each value to one other value, both
-ways.  A text is contaminated by an item if its consistent diagonals cover enough of the item's words.
+ways.  Windows of eight words as they are, in lower case, meet as well, whatever the words are.  A
+text is contaminated by an item if its consistent diagonals and its verbatim windows cover enough of
+the item's words.  A template of hardly any literal words fits too many texts to tell anything, so
+what has fewer than four of them in thirteen words is found verbatim only.
+
+Texts are looked at closely if they share a run of six words with an item, at any third place of the
+text: each window holds one, so none is missed.
 
 NULL and empty texts are clean.  Items shorter than a window tell too little to be searched for.  The
 verdict depends on the text alone, so repeated rows and equal texts share it; an item that occurs
@@ -17,16 +24,23 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spanlake.llm.common import window_hashes, written
+from spanlake.llm.common import let, window_hashes, written
 
 WINDOW = 8
 """Words of a window, a power of two."""
 
+GRAM = 6
+"""Words of the runs, within a window, by which texts are chosen that are looked at closely."""
+
 MIN_LITERALS = 4
-"""Words of a window, at least, that are no placeholders."""
+"""Words of a template window, at least, that are no placeholders."""
 
 MIN_WORDS = 13
-"""Words of an item that must be covered, or the whole item if it is shorter."""
+"""Words of an item that must be covered, or the whole item if it is shorter.
+Template windows of :data:`WINDOW` words with too few literals are looked for at this length."""
+
+PLAIN, SHORT, LONG = 0, 1, 2
+"""Windows of words as they are, template windows of :data:`WINDOW` and of :data:`MIN_WORDS` words."""
 
 MIN_AGREEMENT = 0.7
 """Share of the placeholders of a diagonal that follow its most frequent renaming."""
@@ -68,27 +82,75 @@ def values(text: Column) -> Column:
     )
 
 
+def starts(text: Column) -> Column:
+    """Place among the :func:`plain_words` of each template word."""
+    return let(values(text), lambda v: F.transform(v, lambda _, i: i))
+
+
+def plain_words(text: Column) -> Column:
+    """The words and numbers of a text in lower case, one by one."""
+    plain = F.lower(F.translate(F.coalesce(text, F.lit("")), "\x01\x02\x03", "   "))
+    return F.regexp_extract_all(plain, F.lit(f"({DIGITS}|[{LETTER}]+)"), 1)
+
+
 def windows(words: Column) -> Column:
     """Hashes of the windows, by place; empty for fewer words than a window."""
     return window_hashes(F.transform(words, lambda w: F.xxhash64(w)), WINDOW)
 
 
+def grams(words: Column, step: int) -> Column:
+    """Hashes of every ``step``-th run of :data:`GRAM` words."""
+    return let(
+        words,
+        lambda w: F.when(
+            F.size(w) >= GRAM,
+            F.transform(
+                F.sequence(F.lit(1), F.size(w) - (GRAM - 1), F.lit(step)),
+                lambda i: F.xxhash64(F.slice(w, i, F.lit(GRAM))),
+            ),
+        ).otherwise(F.expr("CAST(array() AS array<bigint>)")),
+    )
+
+
 def text_key(text: Column) -> Column:
     return F.unhex(F.md5(F.coalesce(text, F.lit(""))))
 
 
-def item_windows(items: DataFrame, item: str, text: str) -> DataFrame:
-    """``hash``, ``item`` and ``at`` of the windows with enough literal words."""
-    rows = items.select(
-        F.col(item).alias("item"), template(F.col(text)).alias("t")
-    ).withColumn("w", windows(F.col("t")))
-    literal = F.filter(
-        F.slice("t", F.col("at") + 1, F.lit(WINDOW)), lambda w: ~w.isin(*PLACEHOLDERS)
+def probes(words: DataFrame, *names: str) -> DataFrame:
+    """``kind``, ``place`` and ``hash`` of all windows of the words ``p`` and template words ``t``."""
+    runs = let(
+        windows(F.col("t")),
+        lambda w: F.struct(
+            w.alias("short"),
+            F.filter(
+                F.zip_with(
+                    w, F.slice(w, F.lit(MIN_WORDS - WINDOW + 1), F.size(w)), lambda a, b: F.xxhash64(a, b)
+                ),
+                lambda _, i: i < F.size(w) - (MIN_WORDS - WINDOW),
+            ).alias("long"),
+        ),
+    )
+    kinds = let(
+        runs,
+        lambda r: F.array(
+            F.struct(F.lit(PLAIN).alias("kind"), windows(F.col("p")).alias("w")),
+            F.struct(F.lit(SHORT).alias("kind"), r["short"].alias("w")),
+            F.struct(F.lit(LONG).alias("kind"), r["long"].alias("w")),
+        ),
+    )
+    return words.select(*names, F.explode(kinds).alias("k")).select(
+        *names, "k.kind", F.posexplode("k.w").alias("place", "hash")
     )
+
+
+def item_windows(known: DataFrame) -> DataFrame:
+    """``kind``, ``hash``, ``item`` and ``at`` of the windows to look for."""
+    long = F.when(F.col("kind") == LONG, MIN_WORDS).otherwise(WINDOW)
+    literal = F.filter(F.slice("t", F.col("place") + 1, long), lambda w: ~w.isin(*PLACEHOLDERS))
     return (
-        rows.select("item", "t", F.posexplode("w").alias("at", "hash"))
-        .where(F.size(literal) >= MIN_LITERALS)
-        .select("hash", "item", "at")
+        probes(known, "item", "t")
+        .where((F.col("kind") == PLAIN) | (F.size(literal) >= MIN_LITERALS))
+        .selectExpr("kind", "hash", "item", "place AS at")
         .distinct()
     )
 
@@ -98,43 +160,72 @@ def counted_broadcast(table: DataFrame) -> DataFrame:
     return F.broadcast(table) if table.count() <= BROADCAST_ROWS else table.hint("merge")
 
 
+def candidates(docs: DataFrame, known: DataFrame, text: str) -> DataFrame:
+    """``key`` and ``text`` of the texts that can have a window of an item, each once.
+
+    Every window holds a run of :data:`GRAM` words at one of the places that are looked at.
+    """
+    wanted = written(
+        known.select(F.explode(F.concat(grams(F.col("t"), 1), grams(F.col("p"), 1))).alias("hash")).distinct(),
+        "item-grams",
+    )
+    step = WINDOW - GRAM + 1
+    mine = F.concat(grams(template(F.col(text)), step), grams(plain_words(F.col(text)), step))
+    hit = written(
+        docs.select(text_key(F.col(text)).alias("key"), mine.alias("grams"))
+        .select("key", F.explode("grams").alias("hash"))
+        .join(counted_broadcast(wanted), "hash", "left_semi")
+        .select("key")
+        .distinct(),
+        "hits",
+    )
+    texts = (
+        docs.select(text_key(F.col(text)).alias("key"), F.col(text).alias("text"))
+        .join(counted_broadcast(hit), "key", "left_semi")
+        .groupBy("key")
+        .agg(F.first("text").alias("text"))
+    )
+    return written(texts, "candidates")
+
+
 def findings(
     docs: DataFrame, items: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text"
 ) -> DataFrame:
     """Contaminated texts: ``key`` (see :func:`text_key`), ``item`` and ``words`` covered."""
-    wanted = written(item_windows(items, item, item_text), "item-windows")
+    known = items.select(
+        F.col(item).alias("item"),
+        plain_words(F.col(item_text)).alias("p"),
+        template(F.col(item_text)).alias("t"),
+        values(F.col(item_text)).alias("theirs"),
+        starts(F.col(item_text)).alias("starts"),
+    )
+    known = known.groupBy("item").agg(*[F.max(c).alias(c) for c in ("p", "t", "theirs", "starts")])
+    wanted = written(item_windows(known), "item-windows")
+    texts = candidates(docs, known, text)
+    split = texts.select("key", plain_words(F.col("text")).alias("p"), template(F.col("text")).alias("t"))
     matched = written(
-        docs.select(text_key(F.col(text)).alias("key"), windows(template(F.col(text))).alias("w"))
-        .select("key", F.posexplode("w").alias("place", "hash"))
-        .join(counted_broadcast(wanted), "hash")
-        .selectExpr("key", "item", "place - at AS shift", "at")
+        probes(split, "key")
+        .join(counted_broadcast(wanted), ["kind", "hash"])
+        .selectExpr("key", "item", "kind", "place - at AS shift", "at")
         .distinct(),
         "matches",
     )
-    # The words of a diagonal that its windows cover.
+    # The template words of a diagonal that its windows cover.
     covered = (
-        matched.select(
-            "key", "item", "shift", F.explode(F.expr(f"sequence(at, at + {WINDOW - 1})")).alias("at")
+        matched.where(F.col("kind") != PLAIN)
+        .select(
+            "key",
+            "item",
+            "shift",
+            F.explode(
+                F.expr(f"sequence(at, at + IF(kind = {LONG}, {MIN_WORDS}, {WINDOW}) - 1)")
+            ).alias("at"),
         )
         .distinct()
     )
-    hit = written(matched.select("key").distinct(), "hits")
-    texts = (
-        docs.select(text_key(F.col(text)).alias("key"), F.col(text).alias("_text"))
-        .join(counted_broadcast(hit), "key", "left_semi")
-        .groupBy("key")
-        .agg(F.first("_text").alias("_text"))
-        .select("key", values(F.col("_text")).alias("mine"))
-    )
-    known = items.select(
-        F.col(item).alias("item"),
-        template(F.col(item_text)).alias("t"),
-        values(F.col(item_text)).alias("theirs"),
-    )
-    known = known.groupBy("item").agg(F.max("t").alias("t"), F.max("theirs").alias("theirs"))
     pairs = (
-        covered.join(texts, "key")
-        .join(known, "item")
+        covered.join(texts.select("key", values(F.col("text")).alias("mine")), "key")
+        .join(known.select("item", "t", "theirs", "starts"), "item")
         .select(
             "key",
             "item",
@@ -143,7 +234,7 @@ def findings(
             F.get("t", F.col("at")).isin(*PLACEHOLDERS).alias("slot"),
             F.get("theirs", F.col("at")).alias("a"),
             F.get("mine", F.col("at") + F.col("shift")).alias("b"),
-            F.size("t").alias("size"),
+            F.get("starts", F.col("at")).alias("word"),
         )
     )
     pairs = written(pairs, "slots")
@@ -166,12 +257,28 @@ def findings(
             )
         )
     )
-    return (
+    renaming = (
         pairs.join(renamed, diagonal, "left")
         .where(F.coalesce("agreement", F.lit(1.0)) >= MIN_AGREEMENT)
+        .select("key", "item", "word", F.col("at").alias("slotted"))
+    )
+    verbatim = matched.where(F.col("kind") == PLAIN).select(
+        "key",
+        "item",
+        F.explode(F.expr(f"sequence(at, at + {WINDOW - 1})")).alias("word"),
+        F.lit(None).cast("int").alias("slotted"),
+    )
+    sizes = known.select("item", F.size("p").alias("n_words"), F.size("t").alias("n_template"))
+    most = F.lit(MIN_WORDS)
+    return (
+        renaming.union(verbatim)
         .groupBy("key", "item")
-        .agg(F.count_distinct("at").alias("words"), F.max("size").alias("size"))
-        .where(F.col("words") >= F.least(F.col("size"), F.lit(MIN_WORDS)))
+        .agg(F.count_distinct("word").alias("words"), F.count_distinct("slotted").alias("slotted"))
+        .join(sizes, "item")
+        .where(
+            (F.col("words") >= F.least("n_words", most))
+            | (F.col("slotted") >= F.least("n_template", most))
+        )
         .select("key", "item", "words")
     )
 

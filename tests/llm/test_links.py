@@ -107,6 +107,27 @@ def test_exact_passages_of_the_given_tables_are_found(spark):
     assert len({d for d, _ in found} - {d for d, _ in wanted}) <= 0.02 * docs.count()
 
 
+GERMAN = (
+    "Der Lehrer Hans Meier kaufte 12 Hefte, 3 Stifte und 5 Bücher im Laden Schmidt in Köln."
+    " Dann ging er nach Hause."
+)
+FEW_LITERALS = [
+    GERMAN,
+    "The President Of The United States Lives In The White House In Washington",
+    "What is 17 + 25 - 4 * 3 / 2 + 9 - 8 + 6",
+    "Alice Bob Carol Dave Erin Frank Grace Heidi Ivan Judy met in Paris on Monday",
+]
+
+
+def test_items_of_few_literal_words_are_found(spark):
+    texts = [(i, FILLER + t + " " + FILLER) for i, t in enumerate(FEW_LITERALS)] + [
+        (9, "What is 1 + 2 - 3 * 4 / 5 + 6 - 7 + 8"),
+        (10, FILLER + GERMAN.replace("Hans", "Karl").replace("12", "7").replace("Köln", "Bonn")),
+    ]
+    wanted = {(i, (i,)) for i in range(4)} | {(9, ()), (10, (0,))}
+    assert report(spark, texts, list(enumerate(FEW_LITERALS))) == wanted
+
+
 TALK = [
     (1, 0, "user", "Which tree grows fastest?\nAnd how tall is it?"),
     (1, 1, "assistant", "Poplar grows fast."),
