@@ -49,11 +49,33 @@ BROADCAST_ROWS = 1_000_000
 """Benchmark windows and found texts, some tens of bytes each, up to which they are broadcast.  Their
 number is counted first; beyond it both sides are shuffled."""
 
-# Units of measure in the four languages.
-UNITS = """km m cm mm mi ft kg g mg lb lbs oz l ml h min s hours hour minutes minute seconds second
-days day weeks week months month years year dollars dollar cents euros euro pounds percent stunden
-stunde minuten tage tag wochen monate jahre jahr heures heure jours jour semaines mois ans horas
-hora minutos días día semanas meses años año dólares""".split()
+# Units of measure in the four languages, with their symbols, in lower case.
+UNITS = """
+km m cm mm dm nm mi in ft yd kg g mg lb lbs oz t l ml cl dl hl gal pt qt h hr hrs min mins s sec secs ms
+mph kmh kph w kw kwh kj cal kcal hz khz mhz ghz ha kb mb gb tb eur usd gbp chf
+kilometer kilometers kilometre kilometres meter meters metre metres centimeter centimeters centimetre
+centimetres millimeter millimeters millimetre millimetres mile miles yard yards foot feet inch inches
+acre acres hectare hectares gram grams gramme grammes kilogram kilograms kilo kilos milligram milligrams
+ton tons tonne tonnes pound pounds ounce ounces stone stones liter liters litre litres milliliter
+milliliters millilitre millilitres gallon gallons pint pints quart quarts cup cups
+hour hours minute minutes second seconds day days week weeks fortnight fortnights month months year years
+decade decades century centuries degree degrees percent dollar dollars cent cents euro euros penny pence
+pennies watt watts kilowatt kilowatts joule joules calorie calories volt volts
+kilometern metern zentimeter zentimetern millimeter millimetern meile meilen fuß zoll elle ellen hektar
+gramm kilogramm milligramm tonnen pfund unze unzen litern milliliter millilitern gallone gallonen
+stunde stunden minuten sekunde sekunden tag tage tagen woche wochen monat monate monaten jahr jahre jahren
+jahrzehnt jahrzehnte jahrhundert jahrhunderte grad prozent dollars franken pfennig kalorie kalorien
+kilomètre kilomètres mètre mètres centimètre centimètres millimètre millimètres mille milles pied pieds
+pouce pouces verge verges grammes kilogramme kilogrammes milligramme milligrammes livre livres onces
+millilitre heure heures seconde secondes jour jours semaine semaines mois ans année années décennie
+décennies siècle siècles degré degrés pourcent centime centimes
+kilómetro kilómetros metro metros centímetro centímetros milímetro milímetros milla millas pie pies
+pulgada pulgadas yarda yardas hectárea hectáreas gramo gramos kilogramo kilogramos miligramo miligramos
+tonelada toneladas libra libras onza onzas litro litros mililitro mililitros galón galones
+hora horas minuto minutos segundo segundos día días semana mes meses año años década décadas siglo siglos
+grado grados dólar dólares céntimo céntimos centavo centavos peso pesos caloría calorías
+""".split()
+UNIT_WORDS = "|".join(sorted(set(UNITS), key=lambda u: (-len(u), u)))
 
 NAME, NUMBER, UNIT = "\x01", "\x02", "\x03"
 PLACEHOLDERS = (NAME, NUMBER, UNIT)
@@ -61,16 +83,17 @@ LETTER = r"\p{L}\p{M}'’"
 DIGITS = r"\p{Nd}+(?:[.,]\p{Nd}+)*"
 
 
+MEASURE = rf"{NUMBER}[\s-]+(?iu:{UNIT_WORDS})(?![{LETTER}])"
+"""A marked number and its unit, which may be capitalised as a German noun is."""
+
+
 def template(text: Column) -> Column:
     """Template words of a text, one for each of its :func:`values`."""
     plain = F.regexp_replace(F.coalesce(text, F.lit("")), "[\x01-\x03]", " ")
-    named = F.regexp_replace(plain, rf"(?<![{LETTER}])\p{{Lu}}\p{{Ll}}[{LETTER}]*", f" {NAME} ")
-    numbered = F.regexp_replace(named, DIGITS, f" {NUMBER} ")
-    units = "|".join(sorted(UNITS, key=len, reverse=True))
-    measured = F.regexp_replace(
-        numbered, rf"{NUMBER} +(?:{units})(?![{LETTER}])", f"{NUMBER} {UNIT} "
-    )
-    words = F.split(F.lower(measured), rf"[^{LETTER}\x01-\x03]+")
+    numbered = F.regexp_replace(plain, DIGITS, f" {NUMBER} ")
+    measured = F.regexp_replace(numbered, MEASURE, f"{NUMBER} {UNIT} ")
+    named = F.regexp_replace(measured, rf"(?<![{LETTER}])\p{{Lu}}\p{{Ll}}[{LETTER}]*", f" {NAME} ")
+    words = F.split(F.lower(named), rf"[^{LETTER}\x01-\x03]+")
     return F.filter(words, lambda w: w != "")
 
 

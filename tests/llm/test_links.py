@@ -128,6 +128,16 @@ def test_items_of_few_literal_words_are_found(spark):
     assert report(spark, texts, list(enumerate(FEW_LITERALS))) == wanted
 
 
+def test_other_units_are_a_renaming(spark):
+    drive = "A car drives 12 {0} in one hour and then 30 more {1} on 2 {0} of road; how far is it in all?"
+    texts = [(0, OTHER)] + [
+        (i, drive.format(unit, unit).replace("12", "17"))
+        for i, unit in enumerate(["miles", "meters", "Kilometer", "metros", "mètres", "yards"], 1)
+    ]
+    found = report(spark, texts, [(1, ITEM), (2, drive.format("km", "km"))])
+    assert found == {(0, (1,))} | {(i, (2,)) for i in range(1, 7)}
+
+
 TALK = [
     (1, 0, "user", "Which tree grows fastest?\nAnd how tall is it?"),
     (1, 1, "assistant", "Poplar grows fast."),
