@@ -1,11 +1,12 @@
 """Benchmark decontamination by templates, in DataFrame expressions only.
 
-Capitalised words, numbers and units after numbers become typed placeholders, all other words their
-lower case.  Windows of eight template words of the corpus meet those of the benchmark by hash; where
+Runs of capitalised words, numbers and units after numbers become typed placeholders, all other words
+their lower case.  Windows of eight template words of the corpus meet those of the benchmark by hash; where
 too few of the eight are literal words, windows of thirteen do.
 Where they lie on one diagonal (the same shift between item and text), the values behind the
 placeholders are compared: a re-parameterised question renames each value to one other value, both
-ways.  Windows of eight words as they are, in lower case, meet as well, whatever the words are.  A
+ways.  Windows of eight words as they are, in lower case, meet as well, whatever the words are and in
+whatever case they are written.  A
 text is contaminated by an item if its consistent diagonals and its verbatim windows cover enough of
 the item's words.  A template of hardly any literal words fits too many texts to tell anything, so
 what has fewer than four of them in thirteen words is found verbatim only.
@@ -87,27 +88,67 @@ MEASURE = rf"{NUMBER}[\s-]+(?iu:{UNIT_WORDS})(?![{LETTER}])"
 """A marked number and its unit, which may be capitalised as a German noun is."""
 
 
+NAME_WORD = rf"(?<![{LETTER}])\p{{Lu}}\p{{Ll}}[{LETTER}]*+"
+
+
 def template(text: Column) -> Column:
     """Template words of a text, one for each of its :func:`values`."""
     plain = F.regexp_replace(F.coalesce(text, F.lit("")), "[\x01-\x03]", " ")
     numbered = F.regexp_replace(plain, DIGITS, f" {NUMBER} ")
     measured = F.regexp_replace(numbered, MEASURE, f"{NUMBER} {UNIT} ")
-    named = F.regexp_replace(measured, rf"(?<![{LETTER}])\p{{Lu}}\p{{Ll}}[{LETTER}]*", f" {NAME} ")
+    named = F.regexp_replace(
+        measured, rf"{NAME_WORD}(?:[^{LETTER}\x01-\x03]+{NAME_WORD})*+", f" {NAME} "
+    )
     words = F.split(F.lower(named), rf"[^{LETTER}\x01-\x03]+")
     return F.filter(words, lambda w: w != "")
 
 
-def values(text: Column) -> Column:
-    """The words and numbers of a text in lower case."""
+def runs(text: Column) -> Column:
+    """The ``value`` of each template word and the place ``at`` of its first word in the text.
+
+    Words of a run of names are joined by blanks, whatever stands between them.
+    """
     plain = F.regexp_replace(F.coalesce(text, F.lit("")), "[\x01-\x03]", " ")
-    return F.transform(
-        F.regexp_extract_all(plain, F.lit(f"({DIGITS}|[{LETTER}]+)"), 1), lambda w: F.lower(w)
+    numbered = F.regexp_replace(plain, DIGITS, f" $0{NUMBER} ")
+    measured = F.regexp_replace(numbered, MEASURE, f"$0{UNIT} ")
+    marked = F.regexp_replace(measured, rf"{NAME_WORD}(?!{UNIT})", f"$0{NAME}")
+    words = F.regexp_extract_all(marked, F.lit(f"({DIGITS}{NUMBER}|[{LETTER}]+[{NAME}{UNIT}]?)"), 1)
+    name = lambda w, i: F.coalesce(F.endswith(F.get(w, i), F.lit(NAME)), F.lit(False))
+
+    def joined(w: Column, first: Column) -> Column:
+        return F.transform(
+            first,
+            lambda at, k: F.struct(
+                F.translate(
+                    F.lower(
+                        F.array_join(
+                            F.slice(w, at + 1, F.coalesce(F.get(first, k + 1), F.size(w)) - at), " "
+                        )
+                    ),
+                    "".join(PLACEHOLDERS),
+                    "",
+                ).alias("value"),
+                at.alias("at"),
+            ),
+        )
+
+    return let(
+        words,
+        lambda w: let(
+            F.filter(F.transform(w, lambda _, i: i), lambda i: ~(name(w, i) & name(w, i - 1))),
+            lambda first: joined(w, first),
+        ),
     )
 
 
+def values(text: Column) -> Column:
+    """The words, numbers and names behind the template words of a text, in lower case."""
+    return F.transform(runs(text), lambda r: r["value"])
+
+
 def starts(text: Column) -> Column:
     """Place among the :func:`plain_words` of each template word."""
-    return let(values(text), lambda v: F.transform(v, lambda _, i: i))
+    return F.transform(runs(text), lambda r: r["at"])
 
 
 def plain_words(text: Column) -> Column:

@@ -138,6 +138,26 @@ def test_other_units_are_a_renaming(spark):
     assert found == {(0, (1,))} | {(i, (2,)) for i in range(1, 7)}
 
 
+def test_names_of_other_lengths_and_texts_in_another_case_are_found(spark):
+    item = "A shop in Boston sells 12 apples to Mary and 5 pears to Tom; how many are left?"
+    longer = item.replace("Boston", "San Francisco").replace("Mary", "Ann Lee")
+    texts = [(1, item), (2, longer), (3, item.lower()), (4, item.upper()), (5, longer.replace("San ", "San\n"))]
+    assert report(spark, texts, [(1, item)]) == {(i, (1,)) for i in range(1, 6)}
+    assert report(spark, texts[:1], [(1, longer)]) == {(1, (1,))}
+
+
+def test_runs_of_names_are_aligned(spark):
+    texts = ["Ann Lee, Bob. 5 Kilometer Hans-Georg Fuchs sah X Ypsilon 3-inch Tom", "Ab " * 50_000, "É. Été", "", None]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select(
+        dc.template(F.col("t")), dc.values(F.col("t")), dc.starts(F.col("t")), dc.plain_words(F.col("t"))
+    )
+    for t, v, at, words in rows.collect():
+        assert len(t) == len(v) == len(at)
+        assert " ".join(v).split() == words
+        assert [v[i].split()[0] for i in range(len(v))] == [words[i] for i in at]
+        assert all(a == b or a in dc.PLACEHOLDERS for a, b in zip(t, v))
+
+
 TALK = [
     (1, 0, "user", "Which tree grows fastest?\nAnd how tall is it?"),
     (1, 1, "assistant", "Poplar grows fast."),
