@@ -16,7 +16,8 @@ text: each window holds one, so none is missed.
 
 NULL and empty texts are clean.  Items shorter than a window tell too little to be searched for.  The
 verdict depends on the text alone, so repeated rows and equal texts share it; an item that occurs
-twice counts under each id.  An empty table or benchmark gives no finding.  Columns of the documents
+twice counts under each id.  Each text of an id is searched for on its own, and the id is found with
+any of them.  NULL is an id like others.  An empty table or benchmark gives no finding.  Columns of the documents
 pass through; working columns take names that the input does not have.
 """
 
@@ -256,14 +257,18 @@ def findings(
     docs: DataFrame, items: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text"
 ) -> DataFrame:
     """Contaminated texts: ``key`` (see :func:`text_key`), ``item`` and ``words`` covered."""
+    # Items go by the key of their text; their ids come back at the end.
+    given = items.select(F.col(item).alias("id"), text_key(F.col(item_text)).alias("item"))
     known = items.select(
-        F.col(item).alias("item"),
-        plain_words(F.col(item_text)).alias("p"),
-        template(F.col(item_text)).alias("t"),
-        values(F.col(item_text)).alias("theirs"),
-        starts(F.col(item_text)).alias("starts"),
+        text_key(F.col(item_text)).alias("item"), F.col(item_text).alias("_text")
+    ).dropDuplicates(["item"])
+    known = known.select(
+        "item",
+        plain_words(F.col("_text")).alias("p"),
+        template(F.col("_text")).alias("t"),
+        values(F.col("_text")).alias("theirs"),
+        starts(F.col("_text")).alias("starts"),
     )
-    known = known.groupBy("item").agg(*[F.max(c).alias(c) for c in ("p", "t", "theirs", "starts")])
     wanted = written(item_windows(known), "item-windows")
     texts = candidates(docs, known, text)
     split = texts.select("key", plain_words(F.col("text")).alias("p"), template(F.col("text")).alias("t"))
@@ -343,7 +348,9 @@ def findings(
             (F.col("words") >= F.least("n_words", most))
             | (F.col("slotted") >= F.least("n_template", most))
         )
-        .select("key", "item", "words")
+        .join(given, "item")
+        .groupBy("key", F.col("id").alias("item"))
+        .agg(F.max("words").alias("words"))
     )
 
 
@@ -352,7 +359,11 @@ def report(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str
     found = (
         findings(docs, items, text, **names)
         .groupBy("key")
-        .agg(F.sort_array(F.collect_set("item")).alias("item_ids"), F.max("words").alias("n_words"))
+        .agg(
+            F.sort_array(F.collect_set(F.struct("item"))).alias("found"),
+            F.max("words").alias("n_words"),
+        )
+        .select("key", F.col("found.item").alias("item_ids"), "n_words")
     )
     return (
         docs.select(F.col(doc_id).alias("_id"), text_key(F.col(text)).alias("key"))

@@ -158,6 +158,17 @@ def test_runs_of_names_are_aligned(spark):
         assert all(a == b or a in dc.PLACEHOLDERS for a, b in zip(t, v))
 
 
+def test_texts_of_one_item_and_items_without_id(spark):
+    short = "which small bird sings before the first morning light"
+    known = [(1, ITEM), (1, short), (2, FILLER), (None, GERMAN)]
+    texts = [(1, short), (2, OTHER), (3, GERMAN), (4, "other " * 20), (5, short + ". " + GERMAN)]
+    wanted = {(1, (1,)), (2, (1,)), (3, (None,)), (4, ()), (5, (None, 1))}
+    assert report(spark, texts, known) == wanted
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    kept = dc.keep_clean(docs, spark.createDataFrame(known, "item_id long, text string"))
+    assert [r.doc_id for r in kept.collect()] == [4]
+
+
 TALK = [
     (1, 0, "user", "Which tree grows fastest?\nAnd how tall is it?"),
     (1, 1, "assistant", "Poplar grows fast."),
