@@ -238,7 +238,7 @@ def candidates(docs: DataFrame, known: DataFrame, text: str) -> DataFrame:
     mine = F.concat(grams(template(F.col(text)), step), grams(plain_words(F.col(text)), step))
     hit = written(
         docs.select(text_key(F.col(text)).alias("key"), mine.alias("grams"))
-        .select("key", F.explode("grams").alias("hash"))
+        .select("key", F.explode_outer("grams").alias("hash"))
         .join(counted_broadcast(wanted), "hash", "left_semi")
         .select("key")
         .distinct(),
