@@ -178,3 +178,92 @@ SELECT page_id, payload_bytes,
        CASE WHEN page_id IS DISTINCT FROM first THEN first END AS refers_to
 FROM f
 """
+
+
+def _turn_repair() -> str:
+    """The cheapest edits by working back from the last row; a layer has a cheapest way per state."""
+    after = {0: 2, 1: 2, 2: 3, 3: 2}
+    keeps = {0: {"s": 1, "u": 2}, 1: {"u": 2}, 2: {"a": 3}, 3: {"u": 2}}
+    role = {2: "user", 3: "assistant"}
+
+    def way(cost: str, letter: str, rest: str, line: str) -> str:
+        out = f"{line} || CASE WHEN {rest}.o = '' THEN '' ELSE chr(10) || {rest}.o END" if line else f"{rest}.o"
+        return f"{{'c': {rest}.c + {cost}, 'a': '{letter}' || {rest}.a, 'o': {out}}}"
+
+    never = "{'c': 1000000000::BIGINT, 'a': '', 'o': ''}"
+    plain, ways = [], []
+    for s in range(4):
+        kept = " ".join(
+            f"WHEN ok AND initial = '{i}' THEN {way('more', 'K', f'v{t}', '(role || chr(58) || text)')}"
+            for i, t in keeps[s].items()
+        )
+        t = after[s]
+        rerole = way("1 + more", "R", f"v{t}", f"('{role[t]}:' || text)")
+        plain.append(
+            f"list_sort([{way('2', 'D', f'v{s}', '')}, CASE {kept} ELSE {never} END,"
+            f" CASE WHEN ok THEN {rerole} ELSE {never} END])[1] AS b{s}"
+        )
+        one = way("5", "I", f"b{t}", f"'{role[t]}:'")
+        u = after[t]
+        two = (
+            f"{{'c': b{u}.c + 10, 'a': 'II' || b{u}.a, 'o': '{role[t]}:' || chr(10) || '{role[u]}:' ||"
+            f" CASE WHEN b{u}.o = '' THEN '' ELSE chr(10) || b{u}.o END}}"
+        )
+        ways.append(f"list_sort([b{s}, {one}, {two}])[1] AS v{s}")
+    return rf"""
+WITH RECURSIVE conv AS (
+  SELECT conv_id, row_number() OVER () AS k FROM (SELECT DISTINCT conv_id FROM conversations) x),
+given AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         list_transform(string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''),
+                        lambda c: ascii(c)::BIGINT) AS codes
+  FROM conversations),
+hashed AS (
+  SELECT * EXCLUDE (codes), xor(4294967295, list_reduce(codes, lambda a, c:
+           list_reduce(range(8), lambda b, i: CASE WHEN b & 1 = 1 THEN xor(b >> 1, 3988292384) ELSE b >> 1 END,
+                       xor(a, c)), 4294967295::BIGINT)) % 20 AS what
+  FROM given),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN what = 4 THEN 'user' ELSE role END AS role,
+         CASE WHEN what = 1 THEN '' WHEN what = 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+         unnest(range(CASE what WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy
+  FROM hashed),
+placed AS (
+  SELECT k, turn, role, text, role[1] AS initial,
+         row_number() OVER (PARTITION BY k ORDER BY turn NULLS FIRST, role, text, copy) AS i
+  FROM damaged d JOIN conv c ON d.conv_id IS NOT DISTINCT FROM c.conv_id),
+judged AS (
+  SELECT *, count(*) OVER (PARTITION BY k) AS n,
+         CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank'
+              WHEN row_number() OVER (PARTITION BY k, role, text ORDER BY i) > 1 THEN 'duplicate'
+              WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') THEN 'truncated' ELSE '' END AS fault,
+         coalesce(lag(initial) OVER (PARTITION BY k ORDER BY i) || initial NOT IN ('su', 'ua', 'au'), false) AS illegal
+  FROM placed),
+lattice AS (
+  SELECT k, i, n, role, text, initial, fault IN ('', 'truncated') AS ok,
+         CASE fault WHEN 'truncated' THEN 5 ELSE 0 END AS more
+  FROM judged),
+ways AS (
+  SELECT DISTINCT k, n AS i, {{'c': 0::BIGINT, 'a': '', 'o': ''}} AS v0,
+         {{'c': 10::BIGINT, 'a': 'II', 'o': 'user:' || chr(10) || 'assistant:'}} AS v1,
+         {{'c': 5::BIGINT, 'a': 'I', 'o': 'assistant:'}} AS v2, {{'c': 0::BIGINT, 'a': '', 'o': ''}} AS v3
+  FROM lattice
+  UNION ALL
+  SELECT k, i - 1, {", ".join(ways)}
+  FROM (SELECT k, i, {", ".join(plain)} FROM ways JOIN lattice USING (k, i)) x),
+best AS (SELECT k, v0 FROM ways WHERE i = 0),
+counts AS (
+  SELECT k, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+         count(*) FILTER (WHERE fault = 'blank') AS blank,
+         count(*) FILTER (WHERE fault = 'duplicate') AS duplicate,
+         count(*) FILTER (WHERE fault = 'truncated') AS truncated,
+         count(*) FILTER (WHERE illegal) AS illegal
+  FROM judged GROUP BY k)
+SELECT conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank,
+       coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated,
+       coalesce(illegal, 0)::BIGINT AS illegal, coalesce(v0.c, 0)::BIGINT AS cost,
+       coalesce(v0.a, '') AS audit, sha256(coalesce(v0.o, '')) AS repaired_sha256
+FROM conv LEFT JOIN counts USING (k) LEFT JOIN best USING (k)"""
+
+
+ORACLES["op13_turn_repair"] = _turn_repair()

@@ -16,6 +16,7 @@ from spanlake.llm import token_files as tf
 from spanlake.llm import toxicity as tox
 from spanlake.llm import url_rules, warc
 from spanlake.llm.common import load
+from spanlake.llm import turn_repair as tr
 from spanlake.llm.token_counts import token_counts
 from spanlake.session import scratch_path
 
@@ -161,3 +162,10 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_chat")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.conversations(load(spark, sf_dir, "conversations"))
+
+
+@query("op13_turn_repair")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults of every damaged conversation and the cheapest edits that repair it."""
+    found = load(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return tr.summaries(tr.repair(tr.damaged(found), ids=found))
