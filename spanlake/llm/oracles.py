@@ -267,3 +267,27 @@ FROM conv LEFT JOIN counts USING (k) LEFT JOIN best USING (k)"""
 
 
 ORACLES["op13_turn_repair"] = _turn_repair()
+
+ORACLES["op12_vector_duplicates"] = r"""
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS e,
+         row_number() OVER () AS rid FROM embeddings),
+good AS (
+  SELECT * FROM v
+  WHERE label IS NOT NULL AND len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL)) = 0
+    AND len(list_filter(e, lambda x: isnan(x) OR isinf(x))) = 0
+    AND len(list_filter(e, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.rid AS x, b.rid AS y
+  FROM good a JOIN good b ON a.label = b.label AND len(a.e) = len(b.e) AND a.rid < b.rid
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.93),
+both_ways AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach AS (
+  SELECT rid AS x, rid AS y FROM v
+  UNION
+  SELECT r.x, b.y FROM reach r JOIN both_ways b ON r.y = b.x),
+tops AS (SELECT r.x, min(v.vec_id) AS top FROM reach r JOIN v ON r.y = v.rid GROUP BY r.x),
+counts AS (SELECT x, count(*) AS n FROM both_ways GROUP BY x)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, top AS component_id,
+       vec_id IS NOT DISTINCT FROM top AS kept
+FROM v JOIN tops ON v.rid = tops.x LEFT JOIN counts ON v.rid = counts.x"""

@@ -17,6 +17,7 @@ from spanlake.llm import toxicity as tox
 from spanlake.llm import url_rules, warc
 from spanlake.llm.common import load
 from spanlake.llm import turn_repair as tr
+from spanlake.llm import vector_duplicates as vd
 from spanlake.llm.token_counts import token_counts
 from spanlake.session import scratch_path
 
@@ -164,6 +165,13 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.conversations(load(spark, sf_dir, "conversations"))
 
 
+@query("op12_vector_duplicates")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links, component and survivor of every vector at a cosine of 0.93 within its label."""
+    found = vd.near_vectors(load(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
+    return found.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
+
+
 @query("op13_turn_repair")
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Faults of every damaged conversation and the cheapest edits that repair it."""

@@ -19,7 +19,7 @@ def rows(table):
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_sql(spark, name):
     db = duckdb.connect()
-    for table in ("documents", "pages", "benchmark", "labels", "conversations"):
+    for table in ("documents", "pages", "benchmark", "labels", "conversations", "embeddings"):
         db.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF_DIR}/{table}.parquet'")
     made, wanted = QUERIES[name](spark, SF_DIR).toArrow(), db.sql(ORACLES[name]).to_arrow_table()
     assert sorted(made.column_names) == sorted(wanted.column_names)
