@@ -16,6 +16,7 @@ from spanlake.llm import token_files as tf
 from spanlake.llm import toxicity as tox
 from spanlake.llm import url_rules, warc
 from spanlake.llm.common import load
+from spanlake.llm import token_alignment as ta
 from spanlake.llm import turn_repair as tr
 from spanlake.llm import vector_duplicates as vd
 from spanlake.llm.token_counts import token_counts
@@ -165,6 +166,20 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.conversations(load(spark, sf_dir, "conversations"))
 
 
+@query("op11_token_alignment")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links of two tokenisations of every document, and how frequent the linked ids are."""
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    parts = ta.align(
+        docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    )
+    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256))
+    hashed = parts._replace(rows=parts.rows.withColumn("groups_sha256", digest).drop("groups"))
+    return ta.with_pair_counts(hashed).select(
+        "doc_id", *ta.COUNTS, "n_best", "count_sum", "groups_sha256"
+    )
+
+
 @query("op12_vector_duplicates")
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links, component and survivor of every vector at a cosine of 0.93 within its label."""
