@@ -24,7 +24,9 @@ does: blocks are named by partition.
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
@@ -43,8 +45,14 @@ from spanlake.llm.token_counts import SPACE, separable
 BLOCK_CHARS = 6 << 20
 """Characters of a block's texts; a longer text is a block by itself."""
 
-CACHE_BYTES = 48 << 20
-"""Units and their alignments that a worker remembers before it starts anew."""
+CACHE_BYTES = 144 << 20
+"""Units and their alignments that a worker remembers, half of it in each of two tables."""
+
+UNIT_BYTES = 230
+"""What a unit takes besides its texts and pairs."""
+
+LEARNT_UNITS = 20_000
+"""Units that are aligned at once."""
 
 SLICE_CHARS = 1 << 20
 """Characters of the texts that a task hands over at once."""
@@ -142,8 +150,41 @@ def _byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
 
 
+class Known:
+    """Units that were aligned, by place."""
+
+    def __init__(self) -> None:
+        self.place: dict[str, int] = {}
+        self.size = 0
+        self.bad: set[int] = set()
+        self.groups: list[str] = []
+        self.n_a, self.n_b, self.begins = array("q"), array("q"), array("q", [0])
+        self.pairs = array("q")
+
+    def add(self, unit: str, groups: str, n_a: int, n_b: int) -> None:
+        """One more unit, whose pairs have been put behind the others."""
+        self.place[unit] = len(self.place)
+        self.groups.append(groups)
+        self.n_a.append(n_a)
+        self.n_b.append(n_b)
+        self.begins.append(len(self.pairs))
+        self.size += len(unit) + len(groups) + 8 * (self.begins[-1] - self.begins[-2]) + UNIT_BYTES
+
+    def take(self, unit: str, other: Known) -> None:
+        """The unit as another table knows it."""
+        i = other.place[unit]
+        self.pairs.extend(other.pairs[other.begins[i] : other.begins[i + 1]])
+        if i in other.bad:
+            self.bad.add(len(self.place))
+        self.add(unit, other.groups[i], other.n_a[i], other.n_b[i])
+
+
 class Pair:
-    """Both tokenisers, and what a worker has aligned so far."""
+    """Both tokenisers, and what a worker has aligned so far.
+
+    Units are remembered in two tables.  When the younger one is full it becomes the older one, whose units
+    move over when they are met again; so frequent units stay known.
+    """
 
     known: dict[tuple[str, str], Pair] = {}
 
@@ -166,9 +207,14 @@ class Pair:
         self.a_length, self.b_length = (
             np.array([len(x) for x in tokens], np.int64) for tokens in (self.a_bytes, self.b_bytes)
         )
+        # An id as it is shown within and at the end of a group's part.
+        self.a_shown, self.b_shown = (
+            np.array([[f"{i},", f"{i}{end}"] for i in range(len(tokens))], object)
+            for tokens, end in ((self.a_bytes, "|"), (self.b_bytes, ";"))
+        )
         # A piece across a space, or one that the other tokeniser joins to it, forbids cutting.
         self.cuts = separable(self.b) and self.a_cuts()
-        self.reset()
+        self.young, self.old = Known(), Known()
 
     def a_cuts(self) -> bool:
         """A space between two words starts a token, whatever surrounds it."""
@@ -185,14 +231,10 @@ class Pair:
             cls.known[key] = cls(a_path, b_path)
         return cls.known[key]
 
-    def reset(self) -> None:
-        self.place: dict[str, int] = {}
-        self.size = 0
-        self.good: list[bool] = []
-        self.groups: list[str] = []
-        self.n_a: list[int] = []
-        self.n_b: list[int] = []
-        self.pairs: list[np.ndarray] = []
+    def turn(self) -> None:
+        """Make room if there is none; places found before are no longer valid then."""
+        if self.young.size > CACHE_BYTES // 2:
+            self.young, self.old = Known(), self.young
 
     def units(self, text: str) -> list[str]:
         return _CUT.split(text) if self.cuts else [text]
@@ -204,56 +246,65 @@ class Pair:
     def learn(self, units: list[str]) -> None:
         """Align units that are not known yet: one product for all of them, a block for each."""
         a_ids, b_ids = self._encode_a(units), self.b.encode(units, num_threads=1)
-        good, a_flat, b_flat = [], [], []
-        for unit, a, b in zip(units, a_ids, b_ids):
-            whole = b" " + unit.encode()
-            ok = (
-                b"".join([self.a_bytes[i] for i in a]) == whole
-                and b"".join([self.b_bytes[i] for i in b]) == whole
-                and all(self.a_bytes[i] for i in a)
-                and all(self.b_bytes[i] for i in b)
-            )
-            good.append(ok)
-            if ok:
-                a_flat += a
-                b_flat += b
-        a_flat, b_flat = (np.array(x, np.int64) for x in (a_flat, b_flat))
+        raw = [b" " + u.encode() for u in units]
+        # Seldom does a unit fail, so they are checked together first.
+        if not self._covers(a_ids, b_ids, raw):
+            good = [self._covers([a], [b], [r]) for a, b, r in zip(a_ids, b_ids, raw)]
+            a_ids, b_ids = ([x if ok else [] for x, ok in zip(ids, good)] for ids in (a_ids, b_ids))
+        a_counts, b_counts = ([len(x) for x in ids] for ids in (a_ids, b_ids))
+        a_flat, b_flat = (np.array(list(chain.from_iterable(x)), np.int64) for x in (a_ids, b_ids))
         found = aligned(self.a_length[a_flat], self.b_length[b_flat])
         codes = (a_flat[found.links[:, 0]] << 32) | b_flat[found.links[:, 1]]
         a_ends, b_ends = found.groups_a.begins, found.groups_b.begins
-        a_text, b_text = list(map(str, a_flat.tolist())), list(map(str, b_flat.tolist()))
-        shown = [
-            f"{','.join(a_text[i:j])}|{','.join(b_text[k:m])}"
-            for i, j, k, m in zip(
-                a_ends.tolist(), a_ends[1:].tolist(), b_ends.tolist(), b_ends[1:].tolist()
-            )
-        ]
+        # A group's ids of A stand behind all ids of earlier groups, those of B behind them.
+        shown = np.empty(len(a_flat) + len(b_flat), object)
+        for ids, ends, others, table in (
+            (a_flat, a_ends, b_ends[:-1], self.a_shown),
+            (b_flat, b_ends, a_ends[1:], self.b_shown),
+        ):
+            closes = np.zeros(len(ids), np.int64)
+            closes[ends[1:] - 1] = 1
+            shown[np.arange(len(ids)) + np.repeat(others, np.diff(ends))] = table[ids, closes]
+        shown = shown.tolist()
         # A unit's groups are those up to the one that its last token closes.
-        a_counts = np.cumsum([len(a) for a, ok in zip(a_ids, good) if ok], dtype=np.int64)
-        last = np.searchsorted(a_ends, a_counts).tolist()
-        begin, ends = 0, iter(last)
-        for unit, a, b, ok in zip(units, a_ids, b_ids, good):
-            end = next(ends) if ok else begin
-            self.place[unit] = len(self.place)
-            self.good.append(ok)
-            self.groups.append(";".join(shown[begin:end]))
-            self.n_a.append(len(a) if ok else 0)
-            self.n_b.append(len(b) if ok else 0)
-            self.pairs.append(codes[begin:end])
-            self.size += 2 * len(unit) + len(self.groups[-1]) + 8 * (end - begin) + 320
-            begin = end
-
-    def places(self, text: str) -> list[int] | None:
-        """Places of the units of a text; None where it has no tokens."""
-        if not text:
-            return None
-        units = self.units(text)
-        found = list(map(self.place.get, units))
-        if None in found:
-            self.learn(list(dict.fromkeys(u for u, i in zip(units, found) if i is None)))
-            found = [self.place[u] for u in units]
-        good = self.good
-        return found if all([good[i] for i in found]) else None
+        last = np.searchsorted(a_ends, np.cumsum(a_counts)).tolist()
+        young, begin, from_ = self.young, 0, 0
+        to = (a_ends + b_ends)[last].tolist()
+        codes = array("q", codes.tobytes())
+        for unit, n_a, n_b, end, until in zip(units, a_counts, b_counts, last, to):
+            if not n_a:
+                young.bad.add(len(young.place))
+            young.pairs.extend(codes[begin:end])
+            young.add(unit, "".join(shown[from_:until]), n_a, n_b)
+            begin, from_ = end, until
+
+    def _covers(self, a_ids: list[list[int]], b_ids: list[list[int]], raw: list[bytes]) -> bool:
+        """Both lists of ids stand for the units' bytes, no token is empty and none reaches across."""
+        whole, ends = b"".join(raw), np.cumsum([len(r) for r in raw])
+        for ids, tokens, length in ((a_ids, self.a_bytes, self.a_length), (b_ids, self.b_bytes, self.b_length)):
+            flat = list(chain.from_iterable(ids))
+            if b"".join([tokens[i] for i in flat]) != whole:
+                return False
+            lengths = length[flat]
+            counts = np.cumsum([len(x) for x in ids])
+            if not lengths.all() or not np.array_equal(np.cumsum(lengths)[counts - 1], ends):
+                return False
+        return True
+
+    def places(self, texts: list[str | None]) -> list[list[int] | None]:
+        """For each text the places of its units; None where it has no tokens."""
+        split = [self.units(t) if t else [] for t in texts]
+        place, old = self.young.place, self.old.place
+        missing = dict.fromkeys(u for units in split for u in units if u not in place)
+        new = [u for u in missing if u not in old]
+        for unit in missing:
+            if unit in old:
+                self.young.take(unit, self.old)
+        for begin in range(0, len(new), LEARNT_UNITS):
+            self.learn(new[begin : begin + LEARNT_UNITS])
+        found = [[place[u] for u in units] for units in split]
+        bad = self.young.bad
+        return [p if p and (not bad or bad.isdisjoint(p)) else None for p in found]
 
 
 def _fresh(name: str, taken: list[str]) -> str:
@@ -303,27 +354,30 @@ def align(docs: DataFrame, a_path: str, b_path: str, text: str = "text") -> Part
         number = TaskContext.get().partitionId() << 32
         for batch in batches:
             texts = batch.column(text).to_pylist()
-            begin = size = 0
+            begin = done = size = part = 0
             places: list[list[int] | None] = []
             for i, t in enumerate(texts):
-                places.append(pair.places(t or ""))
                 size += len(t or "")
-                if size >= BLOCK_CHARS or pair.size > CACHE_BYTES or i + 1 == len(texts):
+                part += len(t or "")
+                last = size >= BLOCK_CHARS or i + 1 == len(texts)
+                if part >= SLICE_CHARS or last:
+                    places += pair.places(texts[done : i + 1])
+                    done, part = i + 1, 0
+                if last:
                     rows = batch.slice(begin, i + 1 - begin)
-                    yield from block(pair, packer, rows, texts[begin : i + 1], places, number)
+                    yield from block(pair.young, packer, rows, texts[begin : i + 1], places, number)
                     number, begin, size, places = number + 1, i + 1, 0, []
-                    if pair.size > CACHE_BYTES:
-                        pair.reset()
+                    pair.turn()
 
-    def block(pair, packer, rows, texts, places, number) -> Iterator[pa.RecordBatch]:
+    def block(known, packer, rows, texts, places, number) -> Iterator[pa.RecordBatch]:
         """Rows of the texts in slices, then one of the block's units and pairs."""
         flat = [np.array(p or [], np.int64) for p in places]
         used, inverse = np.unique(np.concatenate(flat), return_inverse=True)
         ends = np.cumsum([len(f) for f in flat])
-        n_a, n_b, n_links = (
-            np.array([x(i) for i in used.tolist()], np.int64)
-            for x in (pair.n_a.__getitem__, pair.n_b.__getitem__, lambda i: len(pair.pairs[i]))
+        n_a, n_b, begins, codes = (
+            np.array(x, np.int64) for x in (known.n_a, known.n_b, known.begins, known.pairs)
         )
+        n_a, n_b, n_links = n_a[used], n_b[used], np.diff(begins)[used]
         begin = size = 0
         for i in range(len(texts)):
             size += len(texts[i] or "")
@@ -333,7 +387,7 @@ def align(docs: DataFrame, a_path: str, b_path: str, text: str = "text") -> Part
             for k in range(begin, i + 1):
                 mine = inverse[ends[k] - len(flat[k]) : ends[k]]
                 links = int(n_links[mine].sum())
-                groups = ";".join([pair.groups[p] for p in places[k] or ()])
+                groups = "".join([known.groups[p] for p in places[k] or ()])[:-1]
                 packed = _pack(mine.astype(np.uint32), packer)
                 values = [int(n_a[mine].sum()), int(n_b[mine].sum()), links, links, groups, number, packed]
                 for column, value in zip(columns, [*values, None, None, None, None]):
@@ -341,12 +395,12 @@ def align(docs: DataFrame, a_path: str, b_path: str, text: str = "text") -> Part
             yield batch_of([rows.column(n).slice(begin, i + 1 - begin) for n in names], columns)
             begin, size = i + 1, 0
         if len(used):
-            codes = np.concatenate([pair.pairs[i] for i in used.tolist()])
-            pairs, at = np.unique(codes, return_inverse=True)
+            shift = np.repeat(begins[used] - (np.cumsum(n_links) - n_links), n_links)
+            pairs, at = np.unique(codes[shift + np.arange(len(shift))], return_inverse=True)
             weight = np.repeat(np.bincount(inverse, minlength=len(used)), n_links)
             occurs = np.bincount(at, weight, minlength=len(pairs)).astype(np.int64)
-            begins = np.concatenate([[0], np.cumsum(n_links)])
-            packed = [begins.astype(np.uint32), at.astype(np.uint32), pairs, occurs]
+            rows_begin = np.concatenate([[0], np.cumsum(n_links)])
+            packed = [rows_begin.astype(np.uint32), at.astype(np.uint32), pairs, occurs]
             values = [None] * 5 + [number, None] + [_pack(p, packer) for p in packed]
             nothing = [pa.nulls(1, rows.column(n).type) for n in names]
             yield batch_of(nothing, [[v] for v in values])

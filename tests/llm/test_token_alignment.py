@@ -131,15 +131,16 @@ def test_no_rows(spark):
     assert run(spark, []) == []
 
 
-def test_many_blocks_and_a_cache_that_starts_anew(spark, models, monkeypatch):
-    """Small blocks, in this process: the lists of blocks add up to the counts of all texts."""
-    pair = ta.Pair(A, B)
-    texts = ["the cat sat", "the dog", "a cat", "the cat"] * 3
-    seen = []
+def test_units_move_between_tables_and_are_forgotten(monkeypatch):
+    """A full table makes room; what is known again or learnt anew is the same."""
+    monkeypatch.setattr(ta, "CACHE_BYTES", 4 * ta.UNIT_BYTES)
+    pair, fresh = ta.Pair(A, B), ta.Pair(A, B)
+    texts = ["the cat sat", "the dog", "a▁b cat", "the cat"] * 3
     for t in texts:
-        seen.append([pair.groups[i] for i in pair.places(t)])
-        pair.reset()
-    assert seen[:4] * 2 == seen[4:]
+        made = [[p and [k.groups[i] for i in p] for p in x.places([t])] for x, k in ((pair, pair.young), (fresh, fresh.young))]
+        assert made[0] == made[1]
+        pair.turn()
+    assert len(pair.young.place) < 4 and len(fresh.young.place) == 5
 
 
 def dense(m, width):
