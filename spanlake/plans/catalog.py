@@ -3,12 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spanlake import names as n
 from spanlake.operators import quality as q
+from spanlake.operators.incremental import (
+    ReportState,
+    latest_changes,
+    latest_merge,
+    report_load,
+    report_of,
+)
 from spanlake.operators.intervals import expand, month_bounds, month_dim, range_join
 from spanlake.operators.latest import latest_per_key, latest_per_key_by_max, with_soft_delete
 from spanlake.operators.report import (
@@ -187,6 +195,34 @@ def latest_per_key_max(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latest_per_key_by_max(rows, ["person"], ["created", "id"])
 
 
+def _loads(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """Snapshots with ties and missing values in three loads, none of which is older than another."""
+    rows = _with_ties_and_nulls(spark, sf_dir)
+    return [rows.where(F.col("id") % 3 == i) for i in range(3)]
+
+
+def _merged(spark: SparkSession, sf_dir: str, loads: int) -> DataFrame:
+    """The snapshot table after so many loads; load ``i`` comes on day ``i``."""
+    table = None
+    for i, load in enumerate(_loads(spark, sf_dir)[:loads]):
+        at = F.make_date(F.lit(2020), F.lit(1), F.lit(i + 1)).cast("timestamp")
+        table = staged(latest_merge(table, load, at, ["person"], ["created", "id"]))
+    return table
+
+
+@query("latest_merge")
+def latest_after_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _merged(spark, sf_dir, 3)
+
+
+@query("latest_changes")
+def changes_of_a_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many keys the third load is new for, replaces, comes late for, or leaves untouched."""
+    load = _loads(spark, sf_dir)[2]
+    found = latest_changes(_merged(spark, sf_dir, 2), load, ["person"], ["created", "id"])
+    return found.groupBy("change").agg(F.count(F.lit(1)).alias("rows"))
+
+
 # Linking
 
 
@@ -388,6 +424,24 @@ def monthly_report_every_period(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(monthly_report(every_period(spark, sf_dir), None, ROLES))
 
 
+@query("monthly_report_incremental")
+def monthly_report_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Report after three loads: some periods, more of the same people, and some taken away again."""
+    rows = every_period(spark, sf_dir)
+    line = F.col("line")
+    loads = [
+        (rows.where(line <= 3), None),
+        (rows.where(line > 3), rows.where(line == 1)),
+        (None, rows.where(line == 7)),
+    ]
+    state, edges = None, []
+    for added, removed in loads:
+        new, changes = report_load(state, added, removed, ROLES)
+        edges.append(staged(new))
+        state = ReportState(reduce(DataFrame.unionByName, edges), staged(changes))
+    return rounded(report_of(state.changes))
+
+
 def _scaled(report: DataFrame, scale: float) -> DataFrame:
     """Amounts over ``scale`` at four decimals, to be compared across engines."""
     return report.withColumns(

@@ -79,6 +79,14 @@ kept AS (
   WHERE rn = 1)
 """
 
+# The winners after each of three loads.
+LOADS = """
+winners AS (
+  SELECT * FROM (SELECT unnest([0, 1, 2]) AS load) n JOIN ties ON id % 3 <= load
+  QUALIFY row_number() OVER (
+    PARTITION BY load, person ORDER BY created DESC NULLS LAST, id DESC NULLS LAST) = 1)
+"""
+
 WORKERS = """
 detail AS (
   SELECT periods.*, s_nationkey AS worker FROM periods JOIN supplier ON employer = s_suppkey),
@@ -183,6 +191,31 @@ ORACLES: dict[str, str] = {
     "latest_per_key": _with(ROLES, select="SELECT * FROM latest"),
     "latest_per_key_with_ties": _with(TIES, select="SELECT * FROM kept"),
     "latest_per_key_max": _with(TIES, select="SELECT * FROM kept"),
+    "latest_merge": _with(
+        TIES,
+        LOADS,
+        select="""
+        SELECT id, person, created,
+               (id NOT IN (SELECT id FROM winners WHERE load = 2))::INTEGER AS "IS_DELETED",
+               CASE WHEN id NOT IN (SELECT id FROM winners WHERE load = 2)
+                    THEN make_date(2020, 1, max(load)::INTEGER + 2)::TIMESTAMP END AS "DELETED_AT"
+        FROM winners GROUP BY id, person, created""",
+    ),
+    "latest_changes": _with(
+        TIES,
+        LOADS,
+        select="""
+        SELECT CASE WHEN l.id IS NULL THEN 'untouched' WHEN o.id IS NULL THEN 'new'
+                    WHEN (coalesce(l.created, TIMESTAMP '0001-01-01'), l.id)
+                       > (coalesce(o.created, TIMESTAMP '0001-01-01'), o.id) THEN 'replaced'
+                    ELSE 'late' END AS change, count(*) AS rows
+        FROM (SELECT * FROM winners WHERE load = 1) o
+        FULL JOIN (
+          SELECT * FROM ties WHERE id % 3 = 2 QUALIFY row_number() OVER (
+            PARTITION BY person ORDER BY created DESC NULLS LAST, id DESC) = 1) l
+        ON o.person IS NOT DISTINCT FROM l.person
+        GROUP BY 1""",
+    ),
     # Linking
     "scope_to_latest": _with(
         ROLES, select="SELECT * FROM periods WHERE master_id IN (SELECT id FROM latest)"
@@ -299,6 +332,13 @@ ORACLES: dict[str, str] = {
     "monthly_report_every_period": _with(
         EVERY, _axis("every_period"), _report("every_period"), select="SELECT * FROM report"
     ),
+    "monthly_report_incremental": _with(
+        EVERY,
+        "left_over AS (SELECT * FROM every_period WHERE line BETWEEN 2 AND 6)",
+        _axis("left_over"),
+        _report("left_over"),
+        select="SELECT * FROM report",
+    ),
     "gap_fill_left_join": _with(
         ROLES,
         EVERY,
