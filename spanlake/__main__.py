@@ -8,7 +8,7 @@ from dataclasses import fields
 
 from spanlake.plans import jobs
 from spanlake.plans.layout import InputFiles, Layout
-from spanlake.session import build_session
+from spanlake.session import build_session, remove_scratch
 
 
 def parse(arguments: list[str]) -> argparse.Namespace:
@@ -74,6 +74,8 @@ def main(arguments: list[str]) -> int:
     except jobs.RuleViolation as violation:
         print(violation, file=sys.stderr)
         return 1
+    finally:
+        remove_scratch(spark)
     return 0
 
 

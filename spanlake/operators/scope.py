@@ -43,9 +43,11 @@ def judge_links(
 ) -> DataFrame:
     """Periods of kept snapshots, with ``_same_worker``: their worker is one of that snapshot's.
 
-    The snapshots are grouped by id, so repeated ids do not repeat periods.
+    The snapshots are grouped by id, so repeated ids do not repeat periods.  Snapshots without id are
+    left out first: no period can be theirs, and they would all be one group.
     """
-    known = latest.groupBy(F.col(snapshot_id).alias("_known")).agg(
+    named = latest.where(F.col(quoted(snapshot_id)).isNotNull())
+    known = named.groupBy(F.col(quoted(snapshot_id)).alias("_known")).agg(
         F.collect_set(snapshot_worker).alias("_workers")
     )
     same = F.coalesce(F.array_contains("_workers", F.col(worker)), F.lit(False))

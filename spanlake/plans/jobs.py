@@ -1,9 +1,9 @@
 """The jobs of the lake: ingest, conform, report, validate, present.
 
-A job first writes its tables to the shared scratch folder, reads them back and runs its rules on
-what was written; no plan is worked out again for a check.  Only if no rule is violated are the
-tables of the lake replaced, so a failed run leaves the last good ones.  A violated rule raises
-:class:`RuleViolation`.
+A job writes its tables, each once, to a new version of its layer, reads them back and runs its rules
+on what was written; no plan is worked out again for a check.  Only if no rule is violated does the
+version become the current one, with all its tables at the same time (see ``sources.versions``); a run that
+fails or is killed leaves the last good version.  A violated rule raises :class:`RuleViolation`.
 """
 
 from __future__ import annotations
@@ -29,15 +29,9 @@ from spanlake.operators.split import (
     unknown_validity,
 )
 from spanlake.plans.layout import InputFiles, Layout, inside
-from spanlake.session import scratch_path
-from spanlake.sources.files import (
-    read_csv,
-    read_table,
-    with_load_columns,
-    write_observed,
-    write_table,
-)
+from spanlake.sources.files import read_csv, with_load_columns, write_observed
 from spanlake.sources.schemas import period_schema, snapshot_schema
+from spanlake.sources.versions import TABLE, Draft, current, read_current
 
 VALID, REJECTED, MISMATCHED, UNKNOWN = "valid", "rejected", "mismatched", "unknown"
 
@@ -101,7 +95,26 @@ def ingest(
     ``corrupt_column`` keeps the text of records that do not fit; ``required`` makes a snapshot
     without id a violation.
     """
-    metrics, rules, ready = {}, [], []
+    with Draft(spark, out_dir) as new:
+        result = _ingested(
+            new, in_dir, expected, files, layout, multi_line, check_header, corrupt_column, required
+        )
+        new.publish()
+    return result
+
+
+def _ingested(
+    new: Draft,
+    in_dir: str,
+    expected: dict[str, int] | None,
+    files: InputFiles,
+    layout: Layout,
+    multi_line: bool,
+    check_header: bool,
+    corrupt_column: str | None,
+    required: bool,
+) -> LayerResult:
+    spark, metrics, rules = new.spark, {}, []
     for table, metric, file, folder, schema in (
         ("snapshots", "MASTER_ROWS", files.snapshots, layout.snapshots, snapshot_schema()),
         ("periods", "DETAIL_ROWS", files.periods, layout.periods, period_schema()),
@@ -109,26 +122,22 @@ def ingest(
         raw = read_csv(
             spark, inside(in_dir, file), schema, multi_line, corrupt_column, check_header
         )
-        staged = scratch_path(spark, table)
-        sent, written = write_observed(with_load_columns(raw, file), staged)
+        loaded = with_load_columns(raw, file)
+        sent, written = write_observed(loaded, new.path(folder))
         metrics[metric] = written
         rules.append(q.row_difference(spark, f"{table}: written rows", written, sent))
         if expected is not None and table in expected:
             rules.append(
                 q.row_difference(spark, f"{table}: expected rows", written, expected[table])
             )
-        rows = read_table(spark, staged)
+        rows = new.added(folder, loaded.schema)
         if required and table == "snapshots":
             rules.append(q.null_keys(rows, n.ID))
         if corrupt_column is not None:
             metrics[f"{metric.split('_')[0]}_CORRUPT"] = rows.where(
                 F.col(corrupt_column).isNotNull()
             ).count()
-        ready.append((rows, folder))
-    result = _conclude("BRONZE", metrics, *rules)
-    for rows, folder in ready:
-        write_table(rows, inside(out_dir, folder))
-    return result
+    return _conclude("BRONZE", metrics, *rules)
 
 
 def conform(
@@ -146,54 +155,63 @@ def conform(
     unknown validity because a month is missing; the last two are counted and not published.
     ``parse_time`` orders the snapshots by the parsed creation time instead of its text.
     """
-    raw_snapshots = read_table(spark, inside(in_dir, layout.snapshots))
-    raw_periods = clean_periods(read_table(spark, inside(in_dir, layout.periods)))
-
+    bronze = current(spark, in_dir)
+    raw_snapshots = bronze.read(layout.snapshots)
+    raw_periods = clean_periods(bronze.read(layout.periods))
     newest = (
         latest_per_key(with_time(raw_snapshots), order=("_time", n.ID)).drop("_time")
         if parse_time
         else latest_per_key(raw_snapshots)
     )
-    latest = write_table(with_soft_delete(newest), scratch_path(spark, "snapshots"))
-    read = Observation()
-    linked = judge_links(raw_periods.observe(read, F.count(F.lit(1)).alias("rows")), latest)
-    fate = F.when(~F.col("_same_worker"), MISMATCHED).when(is_valid(), VALID)
-    if not keep_unknown:
-        fate = fate.when(unknown_validity(), UNKNOWN)
-    staged = scratch_path(spark, "periods")
-    linked.withColumns(
-        {"_fate": fate.otherwise(REJECTED), n.REJECT_REASON: reject_reason(unknown=keep_unknown)}
-    ).drop("_same_worker").write.partitionBy("_fate").parquet(staged)
-    # The schema is given as a table without rows has no partition to tell it.
-    columns = raw_periods.schema.add(n.REJECT_REASON, "string").add("_fate", "string")
-    judged = spark.read.schema(columns).parquet(staged)
-    counts = {r["_fate"]: r["count"] for r in judged.groupBy("_fate").count().collect()}
-    valid = judged.where(F.col("_fate") == VALID).drop("_fate", n.REJECT_REASON)
-    rejects = judged.where(F.col("_fate") == REJECTED).drop("_fate")
-    reasons = {
-        f"REJECTED[{r[n.REJECT_REASON]}]": r["rows"]
-        for r in reject_reason_counts(rejects).orderBy(n.REJECT_REASON).collect()
+    # The names of the tables that the fates lead to; rows of the last two are kept beside them.
+    table_of = {
+        VALID: layout.periods, REJECTED: layout.rejects, MISMATCHED: MISMATCHED, UNKNOWN: UNKNOWN,
     }
-    result = _conclude(
-        "SILVER",
-        {
-            "MASTER_READ": raw_snapshots.count(),
-            "DETAIL_READ": _seen(read).get("rows", 0),
-            "MASTER_ROWS": latest.count(),
-            "DETAIL_SCOPED": sum(counts.values()),
-            "DETAIL_ROWS": counts.get(VALID, 0),
-            "DETAIL_REJECTED": counts.get(REJECTED, 0),
-            "DETAIL_MISMATCHED": counts.get(MISMATCHED, 0),
-            **({} if keep_unknown else {"DETAIL_UNKNOWN": counts.get(UNKNOWN, 0)}),
-            **reasons,
-        },
-        q.duplicate_keys("persons with several snapshots", latest, [n.PERSON]),
-        q.latest_parity(raw_snapshots, latest),
-        q.orphan_rows(valid, latest),
-    )
-    write_table(latest, inside(out_dir, layout.snapshots))
-    write_table(valid, inside(out_dir, layout.periods))
-    write_table(rejects, inside(out_dir, layout.rejects))
+    with Draft(spark, out_dir) as new:
+        latest = new.write(with_soft_delete(newest), layout.snapshots)
+        read = Observation()
+        linked = judge_links(raw_periods.observe(read, F.count(F.lit(1)).alias("rows")), latest)
+        fate = F.when(~F.col("_same_worker"), table_of[MISMATCHED]).when(is_valid(), table_of[VALID])
+        if not keep_unknown:
+            fate = fate.when(unknown_validity(), table_of[UNKNOWN])
+        judged = linked.withColumns(
+            {
+                TABLE: fate.otherwise(table_of[REJECTED]),
+                n.REJECT_REASON: reject_reason(unknown=keep_unknown),
+            }
+        ).drop("_same_worker")
+        reasoned = [*raw_periods.columns, n.REJECT_REASON]
+        made = new.write_split(
+            judged,
+            {
+                layout.periods: raw_periods.columns, layout.rejects: reasoned,
+                MISMATCHED: raw_periods.columns, UNKNOWN: raw_periods.columns,
+            },
+        )
+        valid, rejects = made[layout.periods], made[layout.rejects]
+        counts = {f: made[table].count() for f, table in table_of.items()}
+        reasons = {
+            f"REJECTED[{r[n.REJECT_REASON]}]": r["rows"]
+            for r in reject_reason_counts(rejects).orderBy(n.REJECT_REASON).collect()
+        }
+        result = _conclude(
+            "SILVER",
+            {
+                "MASTER_READ": raw_snapshots.count(),
+                "DETAIL_READ": _seen(read).get("rows", 0),
+                "MASTER_ROWS": latest.count(),
+                "DETAIL_SCOPED": sum(counts.values()),
+                "DETAIL_ROWS": counts[VALID],
+                "DETAIL_REJECTED": counts[REJECTED],
+                "DETAIL_MISMATCHED": counts[MISMATCHED],
+                **({} if keep_unknown else {"DETAIL_UNKNOWN": counts[UNKNOWN]}),
+                **reasons,
+            },
+            q.duplicate_keys("persons with several snapshots", latest, [n.PERSON]),
+            q.latest_parity(raw_snapshots, latest),
+            q.orphan_rows(valid, latest),
+        )
+        new.publish()
     return result
 
 
@@ -208,36 +226,36 @@ def report(
 
     The periods are scanned once: their number and bounds are observed while the report is written.
     """
-    latest = read_table(spark, inside(in_dir, layout.snapshots))
+    silver = current(spark, in_dir)
+    latest = silver.read(layout.snapshots)
     seen = Observation()
-    periods = read_table(spark, inside(in_dir, layout.periods)).observe(
+    periods = silver.read(layout.periods).observe(
         seen,
         F.count(F.lit(1)).alias("rows"),
         F.min(roles.start).alias("first"),
         F.max(roles.end).alias("last"),
     )
     rows = with_snapshot_columns(periods, latest, [roles.person])
-    written = write_table(
-        monthly_report(rows, None, roles, checked=True), scratch_path(spark, "report")
-    )
-    summary, found = report_summary(written).first().asDict(), _seen(seen)
-    first, last = found.get("first"), found.get("last")
-    months, expected = written.count(), month_count(first, last)
-    result = _conclude(
-        "GOLD",
-        {
-            "DETAIL_ROWS": found.get("rows", 0),
-            "FIRST_MONTH": first,
-            "LAST_MONTH": last,
-            "MONTHS": months,
-            **summary,
-        },
-        q.empty_axis(written),
-        q.row_difference(spark, q.INCOMPLETE, months, expected),
-        q.duplicate_months(written),
-        q.negative_totals(written),
-    )
-    write_table(written.orderBy(n.MONTH), inside(out_dir, layout.report))
+    with Draft(spark, out_dir) as new:
+        written = new.write(monthly_report(rows, None, roles, checked=True), layout.report)
+        summary, found = report_summary(written).first().asDict(), _seen(seen)
+        first, last = found.get("first"), found.get("last")
+        months, expected = written.count(), month_count(first, last)
+        result = _conclude(
+            "GOLD",
+            {
+                "DETAIL_ROWS": found.get("rows", 0),
+                "FIRST_MONTH": first,
+                "LAST_MONTH": last,
+                "MONTHS": months,
+                **summary,
+            },
+            q.empty_axis(written),
+            q.row_difference(spark, q.INCOMPLETE, months, expected),
+            q.duplicate_months(written),
+            q.negative_totals(written),
+        )
+        new.publish()
     return result
 
 
@@ -249,9 +267,9 @@ def validate(
     layout: Layout = Layout(),
 ) -> LayerResult:
     """Check the written silver and gold tables against each other."""
-    latest = read_table(spark, inside(lake_dir, f"{silver}/{layout.snapshots}"))
-    periods = read_table(spark, inside(lake_dir, f"{silver}/{layout.periods}"))
-    written = read_table(spark, inside(lake_dir, f"{gold}/{layout.report}"))
+    conformed = current(spark, inside(lake_dir, silver))
+    latest, periods = conformed.read(layout.snapshots), conformed.read(layout.periods)
+    written = read_current(spark, inside(lake_dir, gold), layout.report)
     return _conclude(
         "VALIDATE",
         {
@@ -271,7 +289,7 @@ def present(
     spark: SparkSession, gold_dir: str, out_dir: str, layout: Layout = Layout()
 ) -> DataFrame:
     """The written report for readers, as one CSV file: a row per month."""
-    shown = presented(read_table(spark, inside(gold_dir, layout.report)))
+    shown = presented(read_current(spark, gold_dir, layout.report))
     path = inside(out_dir, layout.presented)
     shown.coalesce(1).write.mode("overwrite").option("header", "true").csv(path)
     return spark.read.option("header", "true").csv(path)

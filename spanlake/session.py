@@ -28,12 +28,28 @@ def build_session(app: str, time_zone: str = TIME_ZONE, **conf: str) -> SparkSes
     return session
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """New path for a table written to be read back.
+def scratch_root(spark: SparkSession) -> str:
+    """Folder of this application's scratch tables, in ``spark.checkpoint.dir``.
 
-    It lies in the shared folder of ``spark.checkpoint.dir``, or where that is unset in the
-    warehouse folder, which all executors reach as well.
+    Where that is unset it lies in the warehouse folder.  A warehouse on the driver's own disk serves a local
+    master only: the executors of a cluster would each write to their own.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    shared = shared or f"{spark.conf.get('spark.sql.warehouse.dir')}/.scratch"
-    return f"{shared.rstrip('/')}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    if not shared:
+        shared = spark.conf.get("spark.sql.warehouse.dir")
+        scheme = shared.split(":", 1)[0] if ":" in shared else "file"
+        if scheme == "file" and not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        shared = f"{shared}/.scratch"
+    return f"{shared.rstrip('/')}/{spark.sparkContext.applicationId}"
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """New path for a table written to be read back."""
+    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def remove_scratch(spark: SparkSession) -> None:
+    """Remove the application's scratch tables; results that still read them fail afterwards."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -15,8 +15,8 @@ from spanlake.plans.jobs import (
     run_all,
     validate,
 )
-from spanlake.sources.files import read_table
 from spanlake.sources.schemas import period_schema, snapshot_schema
+from spanlake.sources.versions import read_current
 
 SNAPSHOTS = [
     # id, worker, person, time
@@ -74,6 +74,10 @@ def inputs(tmp_path):
     return str(folder) + "/"
 
 
+def lake_table(spark, path):
+    return read_current(spark, *path.rsplit("/", 1))
+
+
 def test_the_four_jobs_end_to_end(spark, inputs, tmp_path, capsys):
     lake = str(tmp_path / "lake")
     for _ in range(2):  # a second run leaves the same lake
@@ -105,25 +109,25 @@ def test_the_four_jobs_end_to_end(spark, inputs, tmp_path, capsys):
         assert results[3].metrics["ERROR_ROWS"] == 0
     assert "LAYER=SILVER STATUS=SUCCESS MASTER_READ=4" in capsys.readouterr().out
 
-    bronze = read_table(spark, f"{lake}/bronze/periods")
+    bronze = lake_table(spark, f"{lake}/bronze/periods")
     assert len(bronze.columns) == 85 and bronze.columns[-3:] == ["source_file", "load_time", "layer"]
-    silver = read_table(spark, f"{lake}/silver/snapshots")
+    silver = lake_table(spark, f"{lake}/silver/snapshots")
     assert len(silver.columns) == 55
     assert sorted(r["ID"] for r in silver.collect()) == [2, 4]
-    periods = read_table(spark, f"{lake}/silver/periods")
+    periods = lake_table(spark, f"{lake}/silver/periods")
     assert periods.columns == bronze.columns
     assert sorted((r["ID"], r["TU_THANG"]) for r in periods.collect()) == [
         (101, "202001"),
         (102, "202003"),
         (103, "202006"),
     ]
-    rejects = read_table(spark, f"{lake}/silver/period_rejects")
+    rejects = lake_table(spark, f"{lake}/silver/period_rejects")
     assert {r["ID"]: r["REJECT_REASON"] for r in rejects.collect()} == {
         105: "TU_THANG sai format YYYYMM",
         106: "TU_THANG NULL",
         107: "TU_THANG > DEN_THANG",
     }
-    monthly = read_table(spark, f"{lake}/gold/monthly_report")
+    monthly = lake_table(spark, f"{lake}/gold/monthly_report")
     assert sorted(map(tuple, monthly.collect())) == REPORT
     shown = present(spark, f"{lake}/gold", str(tmp_path / "shown"))
     assert shown.count() == 6 and shown.first()["Tháng"] == "2020-01"
@@ -133,7 +137,7 @@ def test_rejects_of_an_earlier_run_do_not_survive(spark, inputs, tmp_path):
     bronze, silver = str(tmp_path / "bronze"), str(tmp_path / "silver")
     ingest(spark, inputs, bronze)
     assert conform(spark, bronze, silver).metrics["DETAIL_REJECTED"] == 3
-    good = read_table(spark, f"{bronze}/periods").where("ID <= 103").toPandas()
+    good = lake_table(spark, f"{bronze}/periods").where("ID <= 103").toPandas()
     _write_csv(
         os.path.join(inputs, "periods.csv"),
         period_schema(),
@@ -142,7 +146,7 @@ def test_rejects_of_an_earlier_run_do_not_survive(spark, inputs, tmp_path):
     )
     ingest(spark, inputs, bronze)
     assert conform(spark, bronze, silver).metrics["DETAIL_REJECTED"] == 0
-    assert read_table(spark, f"{silver}/period_rejects").count() == 0
+    assert lake_table(spark, f"{silver}/period_rejects").count() == 0
 
 
 def test_unknown_validity_can_be_dropped(spark, inputs, tmp_path):
@@ -165,16 +169,16 @@ def test_every_period_of_a_kept_snapshot_is_counted(spark, inputs, tmp_path):
 def test_a_failed_run_leaves_the_last_good_tables(spark, inputs, tmp_path):
     lake = str(tmp_path / "lake")
     run_all(spark, inputs, lake)
-    before = sorted(map(tuple, read_table(spark, f"{lake}/bronze/periods").collect()))
+    before = sorted(map(tuple, lake_table(spark, f"{lake}/bronze/periods").collect()))
     with pytest.raises(RuleViolation):
         ingest(spark, inputs, f"{lake}/bronze", expected={"periods": 9})
-    assert sorted(map(tuple, read_table(spark, f"{lake}/bronze/periods").collect())) == before
-    schema = read_table(spark, f"{lake}/silver/periods").schema
+    assert sorted(map(tuple, lake_table(spark, f"{lake}/bronze/periods").collect())) == before
+    schema = lake_table(spark, f"{lake}/silver/periods").schema
     spark.createDataFrame([], schema).write.parquet(str(tmp_path / "bare/periods"))
-    read_table(spark, f"{lake}/silver/snapshots").write.parquet(str(tmp_path / "bare/snapshots"))
+    lake_table(spark, f"{lake}/silver/snapshots").write.parquet(str(tmp_path / "bare/snapshots"))
     with pytest.raises(RuleViolation, match="empty month axis"):
         report(spark, str(tmp_path / "bare"), f"{lake}/gold")
-    assert read_table(spark, f"{lake}/gold/monthly_report").count() == 6
+    assert lake_table(spark, f"{lake}/gold/monthly_report").count() == 6
 
 
 def test_options_reach_the_scan(spark, inputs, tmp_path):
@@ -199,10 +203,13 @@ def test_no_valid_month_stops_the_report(spark, inputs, tmp_path):
     bronze, silver = str(tmp_path / "bronze"), str(tmp_path / "silver")
     ingest(spark, inputs, bronze)
     conform(spark, bronze, silver)
-    schema = read_table(spark, f"{silver}/periods").schema
-    spark.createDataFrame([], schema).write.mode("overwrite").parquet(f"{silver}/periods")
+    bare = str(tmp_path / "bare")
+    schema = lake_table(spark, f"{silver}/periods").schema
+    spark.createDataFrame([], schema).write.parquet(f"{bare}/periods")
+    lake_table(spark, f"{silver}/snapshots").write.parquet(f"{bare}/snapshots")
     with pytest.raises(RuleViolation, match="empty month axis"):
-        report(spark, silver, str(tmp_path / "gold"))
+        report(spark, bare, str(tmp_path / "gold"))
+    assert not os.listdir(tmp_path / "gold" / "versions")
 
 
 LATEST = "ID bigint, NLD_ID bigint, SO_SO_BHXH string"
@@ -286,8 +293,8 @@ def test_shell_entry_returns_the_exit_code(spark, inputs, tmp_path):
         options = ["--multi-line", "--corrupt-column", "_bad", "--required", "--drop-unknown"]
         folders = ["--rejects-folder", "refused", "--parse-time"]
         assert main([*level, *options, *folders]) == 0
-        assert read_table(spark, f"{lake}/silver/refused").count() == 2
-        assert "_bad" in read_table(spark, f"{lake}/bronze/periods").columns
+        assert lake_table(spark, f"{lake}/silver/refused").count() == 2
+        assert "_bad" in lake_table(spark, f"{lake}/bronze/periods").columns
         assert main(["validate", "--lake-dir", lake]) == 0
         assert main([*level, "--expected-periods", "9"]) == 1
     finally:
