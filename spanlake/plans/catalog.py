@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from spanlake import names as n
 from spanlake.operators import quality as q
+from spanlake.operators.fusion import fused, lake_rules
 from spanlake.operators.incremental import (
     ReportState,
     latest_changes,
@@ -482,7 +483,8 @@ _single_metric("monthly_zero_pay_people", n.ZERO_PAY_PEOPLE)
 
 @query("report_summary")
 def report_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    totals = report_summary(_report(spark, sf_dir))
+    wanted = (n.PEOPLE, n.PAYROLL, n.ZERO_PAY_PEOPLE)
+    totals = report_summary(_report(spark, sf_dir, wanted))
     return totals.withColumn(n.PAYROLL_OF_ALL_MONTHS, F.round(n.PAYROLL_OF_ALL_MONTHS, 2))
 
 
@@ -610,17 +612,14 @@ def dq_negative_total(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept = staged(latest(spark, sf_dir))
-    rows = staged(
-        with_snapshot_columns(
-            periods(spark, sf_dir), kept, ["person", "from_month"], "master_id", "id"
-        )
-    )
-    return q.violations(
-        q.orphan_rows(periods(spark, sf_dir), kept, "master_id", "id"),
-        q.duplicate_keys("persons with several snapshots", kept, ["person"]),
-        q.reversed_periods(rows, START, END),
-        q.duplicate_months(staged(monthly_report(rows, None, ROLES))),
+    """The rules of the validating job on snapshots, periods, scoped periods and report."""
+    kept, rows = latest(spark, sf_dir), scoped(spark, sf_dir).select("person", START, END)
+    report = monthly_report(rows, None, ROLES, (n.PEOPLE,))
+    return fused(
+        {"kept": kept, "periods": periods(spark, sf_dir), "rows": rows, "report": report},
+        lake_rules(
+            "kept", "periods", "report", "id", "master_id", "person", START, END, "rows", malformed=False
+        ),
     )
 
 

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from spanlake import names as n
 from spanlake.functions.months import month_count
 from spanlake.operators import quality as q
+from spanlake.operators.fusion import fused, lake_rules
 from spanlake.operators.intervals import Roles
 from spanlake.operators.latest import latest_per_key, with_soft_delete, with_time
 from spanlake.operators.report import monthly_report, present as presented, report_summary
@@ -277,11 +278,7 @@ def validate(
             "DETAIL_ROWS": periods.count(),
             "MONTHS": written.count(),
         },
-        q.orphan_rows(periods, latest),
-        q.duplicate_keys("persons with several snapshots", latest, [n.PERSON]),
-        q.reversed_periods(periods),
-        q.malformed_periods(periods),
-        q.duplicate_months(written),
+        fused({"snapshots": latest, "periods": periods, "report": written}, lake_rules()),
     )
 
 

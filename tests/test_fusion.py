@@ -1,0 +1,72 @@
+"""Fused rules against the rules one by one."""
+
+import random
+
+import pytest
+
+from spanlake.operators import quality as q
+from spanlake.operators.fusion import LinkRule, RowRule, UniqueRule, fused, lake_rules
+from pyspark.sql import functions as F
+
+SNAPSHOT = "ID bigint, NLD_ID bigint, SO_SO_BHXH string, `a.b` int"
+PERIOD = "MASTER_ID int, NLD_ID bigint, TU_THANG string, DEN_THANG string"
+REPORT = "THANG_ID string, TONG_QUY_LUONG double"
+
+
+def tables(spark, seed, folder=None):
+    rng = random.Random(seed)
+    month = lambda: rng.choice([None, "202001", "202002", "202013", "x"])
+    size = 40 if seed else 0
+    made = {
+        "snapshots": spark.createDataFrame(
+            [(rng.choice([None, *range(20)]), rng.choice([None, 1, 2]), rng.choice([None, "p", "q", str(i)]), i % 3)
+             for i in range(size)], SNAPSHOT),
+        "periods": spark.createDataFrame(
+            [(rng.choice([None, *range(30)]), rng.choice([None, 1, 2]), month(), month()) for _ in range(size)], PERIOD),
+        "report": spark.createDataFrame([(month(), rng.choice([None, -1.0, 1.0])) for _ in range(size)], REPORT),
+    }
+    if folder is None:
+        return made
+    for name, df in made.items():
+        df.write.parquet(f"{folder}/{name}")
+    return {name: spark.read.parquet(f"{folder}/{name}") for name in made}
+
+
+def counts(df):
+    return {r.rule: r.violations for r in df.collect()}
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_equal_to_single_rules(spark, seed):
+    t = tables(spark, seed)
+    latest, periods, report = t["snapshots"], t["periods"], t["report"]
+    both = (("MASTER_ID", "ID"), ("NLD_ID", "NLD_ID"))
+    more = [
+        LinkRule("pairs", "periods", "snapshots", both),
+        RowRule("negative payrolls", "report", F.col("TONG_QUY_LUONG") < 0),
+        UniqueRule("pairs twice", "snapshots", ("NLD_ID", "a.b")),
+    ]
+    found = fused(t, [*lake_rules(), *more])
+    singles = q.violations(
+        q.orphan_rows(periods, latest),
+        q.duplicate_keys("persons with several snapshots", latest, ["SO_SO_BHXH"]),
+        q.reversed_periods(periods),
+        q.malformed_periods(periods),
+        q.duplicate_months(report),
+        q.unlinked_rows("pairs", periods, latest, dict(both)),
+        q.negative_totals(report),
+        q.duplicate_keys("pairs twice", latest, ["NLD_ID", "`a.b`"]),
+    )
+    assert found.count() == 8 and counts(found) == counts(singles)
+    assert seed == 0 or min(counts(found).values()) > 0
+
+
+def test_each_table_is_scanned_once_and_keys_share_an_exchange(spark, tmp_path):
+    made = fused(tables(spark, 2, str(tmp_path)), lake_rules())
+    made.collect()
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 3
+    physical = made._jdf.queryExecution().sparkPlan().toString()
+    assert physical.count("FileScan parquet") == 3 and "Join" not in physical
+    shuffles = made._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+    assert shuffles.count("Exchange hashpartitioning") == 2
