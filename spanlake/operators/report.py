@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -9,8 +10,9 @@ from pyspark.sql import functions as F
 
 from spanlake import names as n
 from spanlake.functions.amounts import band, is_finite, quoted, total, units
-from spanlake.functions.months import MONTH_TEXT, month_label, whole_number
+from spanlake.functions.months import MONTH_PATTERN, MONTH_TEXT, month_label, whole_number
 from spanlake.operators.intervals import Roles, accumulate, expand, range_join, sweep
+from spanlake.operators.split import is_valid
 
 METRICS = (n.PEOPLE, n.EMPLOYERS, n.PAYROLL, n.MEAN_PAY, n.ZERO_PAY_PEOPLE)
 
@@ -164,6 +166,38 @@ def monthly_report(
     return report_by_sweep(dim, detail, roles, metrics, checked)
 
 
+def report_for_months(
+    detail: DataFrame,
+    first: str,
+    last: str,
+    roles: Roles = Roles(),
+    metrics: Sequence[str] = METRICS,
+) -> DataFrame:
+    """The report's months from ``first`` to ``last``, read from the periods that reach into them.
+
+    Periods are cut off at both ends, so what began before comes in as open at the first month.  The two
+    comparisons reach the scan: of files clustered by their end month (see ``clustered``) those that end
+    before the range are skipped by their statistics.
+    """
+    for month in (first, last):
+        if re.fullmatch(MONTH_PATTERN.removesuffix(r"\z"), month) is None:
+            raise ValueError(f"{month!r} is no month")
+    start, end = F.col(quoted(roles.start)), F.col(quoted(roles.end))
+    near = detail.where((start <= last) & (end >= first)).where(is_valid(roles.start, roles.end))
+    cut = near.withColumns({roles.start: F.greatest(start, F.lit(first)), roles.end: F.least(end, F.lit(last))})
+    low, high = (12 * int(m[:4]) + int(m[4:]) - 1 for m in (first, last))
+    dim = detail.sparkSession.range(low, high + 1).select(
+        F.expr(MONTH_TEXT.format("int(id)")).alias(n.MONTH)
+    )
+    return monthly_report(cut, dim, roles, metrics, checked=True)
+
+
+def clustered(detail: DataFrame, end: str = n.END, start: str = n.START) -> DataFrame:
+    """Periods in ranges of their end month, to be written so that scans of few months skip files."""
+    months = [F.col(quoted(c)) for c in (end, start)]
+    return detail.repartitionByRange(*months).sortWithinPartitions(*months)
+
+
 def report_summary(report: DataFrame) -> DataFrame:
     """Peak participants, payroll over all months, zero-pay head-months.
 

@@ -22,6 +22,7 @@ from spanlake.operators.intervals import expand, month_bounds, month_dim, range_
 from spanlake.operators.latest import latest_per_key, latest_per_key_by_max, with_soft_delete
 from spanlake.operators.report import (
     METRICS,
+    clustered,
     fill_gaps,
     finish,
     monthly_report,
@@ -29,6 +30,7 @@ from spanlake.operators.report import (
     present,
     report_by_expansion,
     report_by_range_join,
+    report_for_months,
     report_summary,
 )
 from spanlake.operators.scope import (
@@ -58,8 +60,11 @@ from spanlake.plans.mapping import (
 )
 from spanlake.session import scratch_path
 from spanlake.sources.files import (
+    BAD_CELLS,
     CSV_DIALECT,
+    quarantine,
     read_csv,
+    read_csv_cells,
     row_count,
     with_load_columns,
     write_observed,
@@ -127,6 +132,36 @@ def csv_ingest_multi_line(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _through_csv(table(spark, sf_dir, "documents"), multi_line=True)
 
 
+@query("csv_quarantine")
+def csv_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items whose CSV has cells that do not fit, with their fields and texts."""
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_shipdate", "l_returnflag"
+    )
+    line = F.col("l_linenumber")
+    broken = lines.withColumns(
+        {
+            "l_quantity": F.when(line % 3 == 0, "n/a").otherwise(F.col("l_quantity").cast("string")),
+            "l_extendedprice": F.when(line == 2, " ").otherwise(F.col("l_extendedprice").cast("string")),
+            "l_shipdate": F.when(line >= 6, 'a "day", or so').otherwise(F.col("l_shipdate").cast("string")),
+        }
+    )
+    path = scratch_path(spark, "cells")
+    dialect = {k: v for k, v in CSV_DIALECT.items() if k != "mode"}
+    broken.write.options(
+        **dialect, ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false"
+    ).csv(path)
+    _, refused = quarantine(read_csv_cells(spark, path, lines.schema))
+    shown = F.transform(BAD_CELLS, lambda x: F.concat(x["field"], F.lit("="), x["text"]))
+    return refused.select(
+        "l_orderkey",
+        "l_linenumber",
+        F.array_join(shown, ";").alias("bad_cells"),
+        F.coalesce("l_quantity", F.lit(-1)).cast("double").alias("quantity"),
+        F.col("l_shipdate").isNull().alias("no_date"),
+    )
+
+
 @query("bronze_metadata")
 def bronze_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     loaded = with_load_columns(table(spark, sf_dir, "orders"), "orders.csv")
@@ -425,6 +460,13 @@ def monthly_report_every_period(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(monthly_report(every_period(spark, sf_dir), None, ROLES))
 
 
+@query("monthly_report_range")
+def monthly_report_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three years of the report of every period, from files clustered by end month."""
+    rows = staged(clustered(every_period(spark, sf_dir), END, START))
+    return rounded(report_for_months(rows, "199511", "199810", ROLES))
+
+
 @query("monthly_report_incremental")
 def monthly_report_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Report after three loads: some periods, more of the same people, and some taken away again."""

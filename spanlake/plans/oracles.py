@@ -191,6 +191,13 @@ ORACLES: dict[str, str] = {
     "latest_per_key": _with(ROLES, select="SELECT * FROM latest"),
     "latest_per_key_with_ties": _with(TIES, select="SELECT * FROM kept"),
     "latest_per_key_max": _with(TIES, select="SELECT * FROM kept"),
+    "csv_quarantine": """
+        SELECT l_orderkey, l_linenumber,
+               concat_ws(';', CASE WHEN l_linenumber % 3 = 0 THEN 'l_quantity=n/a' END,
+                         CASE WHEN l_linenumber >= 6 THEN 'l_shipdate=a "day", or so' END) AS bad_cells,
+               CASE WHEN l_linenumber % 3 = 0 THEN -1 ELSE l_quantity END::DOUBLE AS quantity,
+               l_linenumber >= 6 AS no_date
+        FROM lineitem WHERE l_linenumber % 3 = 0 OR l_linenumber >= 6""",
     "latest_merge": _with(
         TIES,
         LOADS,
@@ -332,6 +339,12 @@ ORACLES: dict[str, str] = {
     "monthly_report_every_period": _with(
         EVERY, _axis("every_period"), _report("every_period"), select="SELECT * FROM report"
     ),
+    "monthly_report_range": _with(
+        EVERY,
+        _axis("every_period"),
+        _report("every_period"),
+        select="""SELECT * FROM report WHERE "THANG_ID" BETWEEN '199511' AND '199810'""",
+    ),
     "monthly_report_incremental": _with(
         EVERY,
         "left_over AS (SELECT * FROM every_period WHERE line BETWEEN 2 AND 6)",

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from spanlake import names as n
+from spanlake.functions.amounts import quoted
 
 # Dialect of the input files.
 CSV_DIALECT = {
@@ -44,6 +45,38 @@ def read_csv(
     return spark.read.options(**options).schema(schema).csv(path)
 
 
+BAD_CELLS = "_bad_cells"
+
+
+def read_csv_cells(
+    spark: SparkSession, path: str, schema: StructType, multi_line: bool = False, bad: str = BAD_CELLS
+) -> DataFrame:
+    """CSV files under an explicit schema, with the cells that do not fit it.
+
+    All fields are read as text and cast one by one.  A cell whose text is no value of its type is NULL,
+    and ``bad`` has its ``field`` and ``text``, in the order of the fields; the other cells of the row are kept.  A
+    blank cell is NULL and not bad.  Every row is kept, also one with too few fields.
+    """
+    texts = StructType([StructField(f.name, StringType()) for f in schema.fields])
+    raw = read_csv(spark, path, texts, multi_line)
+    cells, wrong = [], []
+    for f in schema.fields:
+        text = F.col(quoted(f.name))
+        value = text if isinstance(f.dataType, StringType) else text.try_cast(f.dataType)
+        cells.append(value.alias(f.name))
+        if not isinstance(f.dataType, StringType):
+            failed = F.struct(F.lit(f.name).alias("field"), text.alias("text"))
+            wrong.append(F.when((F.trim(text) != "") & value.isNull(), failed))
+    none = F.array().cast("array<struct<field:string,text:string>>")
+    found = F.array_compact(F.array(*wrong)) if wrong else none
+    return raw.select(*cells, found.alias(bad))
+
+
+def quarantine(df: DataFrame, bad: str = BAD_CELLS) -> tuple[DataFrame, DataFrame]:
+    """Rows all of whose cells fit, without the column ``bad``, and the others with it."""
+    return df.where(F.size(bad) == 0).drop(bad), df.where(F.size(bad) > 0)
+
+
 def with_load_columns(df: DataFrame, source_file: str, layer: str = "BRONZE") -> DataFrame:
     """Add file name, load time and layer."""
     return df.withColumns(
