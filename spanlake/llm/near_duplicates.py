@@ -1,9 +1,9 @@
-"""N-gram Jaccard join by an LSH forest of MinHash signatures with exact verification.
+"""N-gram Jaccard join by MinHash signatures of several trees, with exact verification.
 
-Texts are sets of five-word shingles.  Each tree of the forest is a trie of signatures; texts below
-one trie node share a prefix of their signature.  The prefix is shortened from the tree's full depth
-until a pair right at the threshold meets in some tree with the target recall.  Texts that meet are
-compared exactly.  A node's texts go to one task, or if they are many, in blocks to one task for each
+Texts are sets of five-word shingles.  Texts that share a prefix of their signature in one of the trees lie
+below the same node there.  All prefixes have one length, the longest with which a pair right at the
+threshold meets in some tree with the target recall; so the trees are bands, and no prefix is shortened
+for a text on its own.  Texts that meet are compared exactly.  A node's texts go to one task, or if they are many, in blocks to one task for each
 pair of blocks; only counts of links and a spanning star per connected set leave the task, never
 pairs.  A pair that meets in several trees counts in the first; a node whose texts all meet in one
 earlier tree is skipped.
