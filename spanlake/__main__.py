@@ -28,6 +28,8 @@ def parse(arguments: list[str]) -> argparse.Namespace:
             sub.add_argument("--check-header", action="store_true")
             sub.add_argument("--corrupt-column")
             sub.add_argument("--required", action="store_true")
+        if name != "present":
+            sub.add_argument("--resume", action="store_true")
         if name in ("conform", "run-all"):
             sub.add_argument("--drop-unknown", dest="keep_unknown", action="store_false")
             sub.add_argument("--parse-time", action="store_true")
@@ -49,7 +51,8 @@ def main(arguments: list[str]) -> int:
     given = {
         name: getattr(args, name)
         for name in (
-            "multi_line", "check_header", "corrupt_column", "required", "keep_unknown", "parse_time"
+            "multi_line", "check_header", "corrupt_column", "required", "keep_unknown", "parse_time",
+            "resume",
         )
         if hasattr(args, name)
     }

@@ -65,6 +65,7 @@ from spanlake.sources.files import (
     quarantine,
     read_csv,
     read_csv_cells,
+    read_table,
     row_count,
     with_load_columns,
     write_observed,
@@ -574,6 +575,16 @@ def dq_written_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return q.row_difference(spark, "periods: written rows", written, sent)
 
 
+@query("dq_written_rows_lost")
+def dq_written_rows_lost(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The folder has lost the rows of the last line when it is counted."""
+    path = scratch_path(spark, "lost")
+    rows = periods(spark, sf_dir)
+    sent, _ = write_observed(rows, path)
+    found = write_table(read_table(spark, path).where("line < 7"), scratch_path(spark, "found")).count()
+    return q.row_difference(spark, "periods: written rows", found, sent)
+
+
 @query("dq_expected_rows")
 def dq_expected_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Seven periods are expected of every snapshot."""

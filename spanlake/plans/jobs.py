@@ -8,7 +8,7 @@ fails or is killed leaves the last good version.  A violated rule raises :class:
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -32,7 +32,7 @@ from spanlake.operators.split import (
 from spanlake.plans.layout import InputFiles, Layout, inside
 from spanlake.sources.files import read_csv, with_load_columns, write_observed
 from spanlake.sources.schemas import period_schema, snapshot_schema
-from spanlake.sources.versions import TABLE, Draft, current, read_current
+from spanlake.sources.versions import TABLE, Draft, Folder, current, read_current
 
 VALID, REJECTED, MISMATCHED, UNKNOWN = "valid", "rejected", "mismatched", "unknown"
 
@@ -78,6 +78,21 @@ def _seen(observation: Observation) -> dict[str, int | str | None]:
         return {}
 
 
+def _ledger(result: LayerResult, origin: dict) -> dict:
+    """What a published version notes: what it was made from, and what the job counted."""
+    return {"origin": origin, "layer": result.layer, "metrics": result.metrics}
+
+
+def _made_before(spark: SparkSession, out_dir: str, origin: dict, resume: bool) -> LayerResult | None:
+    """The result of the run that published the layer, if it had the same input and options."""
+    note = current(spark, out_dir).note
+    if not resume or origin["input"] in ("", []) or note.get("origin") != origin:
+        return None
+    result = LayerResult(note["layer"], note["metrics"], {})
+    print(f"{result} (unchanged)", flush=True)
+    return result
+
+
 def ingest(
     spark: SparkSession,
     in_dir: str,
@@ -89,18 +104,28 @@ def ingest(
     check_header: bool = False,
     corrupt_column: str | None = None,
     required: bool = False,
+    resume: bool = False,
 ) -> LayerResult:
     """CSV files to Parquet as they are, with load columns.
 
     ``expected`` optionally gives the row counts of ``snapshots`` and ``periods``.
     ``corrupt_column`` keeps the text of records that do not fit; ``required`` makes a snapshot
-    without id a violation.
+    without id a violation.  With ``resume`` files that the published version was made from, by name,
+    length and time, are not read again.
     """
+    folder = Folder(spark, in_dir)
+    origin = {
+        "input": folder.state(files.snapshots) + folder.state(files.periods),
+        "options": [expected, multi_line, check_header, corrupt_column, required, *asdict(layout).values()],
+    }
+    before = _made_before(spark, out_dir, origin, resume)
+    if before is not None:
+        return before
     with Draft(spark, out_dir) as new:
         result = _ingested(
             new, in_dir, expected, files, layout, multi_line, check_header, corrupt_column, required
         )
-        new.publish()
+        new.publish(_ledger(result, origin))
     return result
 
 
@@ -148,6 +173,7 @@ def conform(
     layout: Layout = Layout(),
     keep_unknown: bool = True,
     parse_time: bool = False,
+    resume: bool = False,
 ) -> LayerResult:
     """Latest snapshot per person; its periods, cleaned and split into valid rows and rejects.
 
@@ -157,6 +183,12 @@ def conform(
     ``parse_time`` orders the snapshots by the parsed creation time instead of its text.
     """
     bronze = current(spark, in_dir)
+    origin = {
+        "input": bronze.name, "options": [keep_unknown, parse_time, *asdict(layout).values()]
+    }
+    before = _made_before(spark, out_dir, origin, resume)
+    if before is not None:
+        return before
     raw_snapshots = bronze.read(layout.snapshots)
     raw_periods = clean_periods(bronze.read(layout.periods))
     newest = (
@@ -212,7 +244,7 @@ def conform(
             q.latest_parity(raw_snapshots, latest),
             q.orphan_rows(valid, latest),
         )
-        new.publish()
+        new.publish(_ledger(result, origin))
     return result
 
 
@@ -222,12 +254,19 @@ def report(
     out_dir: str,
     layout: Layout = Layout(),
     roles: Roles = Roles(),
+    resume: bool = False,
 ) -> LayerResult:
     """Monthly report over the gap-free axis of the valid periods.
 
     The periods are scanned once: their number and bounds are observed while the report is written.
     """
     silver = current(spark, in_dir)
+    origin = {
+        "input": silver.name, "options": [*asdict(layout).values(), *asdict(roles).values()]
+    }
+    before = _made_before(spark, out_dir, origin, resume)
+    if before is not None:
+        return before
     latest = silver.read(layout.snapshots)
     seen = Observation()
     periods = silver.read(layout.periods).observe(
@@ -256,7 +295,7 @@ def report(
             q.duplicate_months(written),
             q.negative_totals(written),
         )
-        new.publish()
+        new.publish(_ledger(result, origin))
     return result
 
 
@@ -305,15 +344,20 @@ def run_all(
     required: bool = False,
     keep_unknown: bool = True,
     parse_time: bool = False,
+    resume: bool = False,
 ) -> list[LayerResult]:
-    """The four jobs in order; the first violated rule stops the run."""
+    """The four jobs in order; the first violated rule stops the run.
+
+    With ``resume`` a layer whose published version was made from the current input with the same options is
+    left as it is: a chain that stopped goes on where it did, and unchanged input is only validated.
+    """
     bronze, silver, gold = (inside(lake_dir, name) for name in ("bronze", "silver", "gold"))
     return [
         ingest(
             spark, in_dir, bronze, expected, files, layout,
-            multi_line, check_header, corrupt_column, required,
+            multi_line, check_header, corrupt_column, required, resume,
         ),
-        conform(spark, bronze, silver, layout, keep_unknown, parse_time),
-        report(spark, silver, gold, layout),
+        conform(spark, bronze, silver, layout, keep_unknown, parse_time, resume),
+        report(spark, silver, gold, layout, resume=resume),
         validate(spark, lake_dir, layout=layout),
     ]

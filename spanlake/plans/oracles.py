@@ -424,6 +424,8 @@ ORACLES: dict[str, str] = {
                    - (SELECT count(*) FROM (SELECT DISTINCT person FROM ties) d)) AS violations""",
     ),
     "dq_written_rows": "SELECT 'periods: written rows' AS rule, 0::BIGINT AS violations",
+    "dq_written_rows_lost": """
+        SELECT 'periods: written rows' AS rule, count(*) AS violations FROM lineitem WHERE l_linenumber >= 7""",
     "dq_expected_rows": """
         SELECT 'periods: expected rows' AS rule,
                abs((SELECT count(*) FROM lineitem) - 7 * (SELECT count(*) FROM orders))

@@ -46,6 +46,11 @@ class Folder:
             return []
         return sorted(s.getPath().getName() for s in self.fs.listStatus(self.path(name)))
 
+    def state(self, name: str) -> list[list]:
+        """Name, length and time of change of a file, or of the files of a folder."""
+        found = self.fs.listStatus(self.path(name))
+        return sorted([s.getPath().getName(), s.getLen(), s.getModificationTime()] for s in found)
+
     def read(self, name: str) -> str:
         stream = self.fs.open(self.path(name))
         try:
@@ -79,6 +84,9 @@ class Version:
     root: str
     schemas: dict[str, StructType] | None
     """None for a layer that was not published by versions: its tables lie right below the root."""
+    name: str = ""
+    note: dict = field(default_factory=dict)
+    """What the run that published it noted about itself."""
 
     def path(self, table: str) -> str:
         return inside(self.root, table if self.schemas is None else f"{TABLE}={table}")
@@ -94,11 +102,11 @@ def current(spark: SparkSession, layer: str) -> Version:
     folder = Folder(spark, layer)
     if not folder.exists(POINTER):
         return Version(spark, layer, None)
-    root = f"{VERSIONS}/{folder.read(POINTER)}"
+    name = folder.read(POINTER)
+    root = f"{VERSIONS}/{name}"
     known = json.loads(folder.read(f"{root}/{MANIFEST}"))
-    return Version(
-        spark, inside(layer, root), {t: StructType.fromJson(s) for t, s in known["tables"].items()}
-    )
+    schemas = {t: StructType.fromJson(s) for t, s in known["tables"].items()}
+    return Version(spark, inside(layer, root), schemas, name, known["note"])
 
 
 def read_current(spark: SparkSession, layer: str, table: str) -> DataFrame:
@@ -145,10 +153,10 @@ class Draft:
             for table, columns in tables.items()
         }
 
-    def publish(self, keep: int = KEPT) -> None:
+    def publish(self, note: dict | None = None, keep: int = KEPT) -> None:
         folder = Folder(self.spark, self.layer)
         tables = {t: s.jsonValue() for t, s in self.schemas.items()}
-        folder.write(f"{VERSIONS}/{self.name}/{MANIFEST}", json.dumps({"tables": tables}))
+        folder.write(f"{VERSIONS}/{self.name}/{MANIFEST}", json.dumps({"tables": tables, "note": note or {}}))
         folder.write(POINTER, self.name)
         self.published = True
         older = [v for v in folder.names(VERSIONS) if v < self.name]
