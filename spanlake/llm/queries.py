@@ -143,7 +143,7 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     archives = warc.write_archives(pages, folder)
     return (
         warc.read_archives(archives, folder)
-        .where("gap IS NULL")
+        .where("CASE WHEN gap IS NULL THEN true ELSE raise_error(concat('gap in ', file, ': ', gap)) END")
         .select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
     )
 

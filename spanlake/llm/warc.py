@@ -1,10 +1,13 @@
 """WARC archives: a writer that stores equal payloads once, and a reader that salvages.
 
 Each record is a gzip member of its own.  Of the pages with equal payloads those with the smallest
-id are stored as responses, the others as revisits that refer to it.  The reader checks every
-member and record: gzip checksum, version line, lengths and block digest.  After a failed check it
-searches for the next member or version line at which a sound record begins, goes on there, and logs
-the gap in between with its first reason.  Nothing sound after a gap is lost.
+id are stored as responses, the others as revisits that refer to it.  The reader goes forward through
+one buffer and checks every member and record: gzip checksum, version line, lengths and block digest.
+After a failed check it searches for the next member or version line at which a sound record begins,
+goes on there, and logs the gap in between with its first reason.  Within a member it does the same in the
+inflated bytes, up to where they can be inflated.  Of a member that fails its own checks those records
+are kept whose block digest proves them, but none where only the gzip checksum tells of damage: it may
+lie in any head.  Names of headers count in any case.
 
 A NULL payload is the empty one and a NULL url the empty text.  A page without id is a response only
 if no page with an equal payload has one.  Repeated rows are all written; rows that share the
@@ -29,9 +32,17 @@ from spanlake.llm.common import store, written
 ARCHIVE_BYTES = 64 << 20
 """Size from which the writer of a task goes on in a new archive: one task reads one archive."""
 
-READ_BYTES = 1 << 18
+READ_BYTES = 1 << 20
+"""Size of a request to the store."""
+
+FIRST_BYTES = 1 << 12
+"""First step into a member or record; the steps double."""
+
 LEVEL = 4
 
+# Fixed value: how the library's errors end where all could be inflated but differs from its checksum.
+CHECKSUM_ONLY = (" data check", " length check")
+
 # Fixed values of the format.
 VERSION = b"WARC/1.1"
 VERSION_START = b"WARC/1."
@@ -137,11 +148,24 @@ def write_archives(
     return written(linked.mapInArrow(write, "file string, records long, bytes long"), "archives")
 
 
+class Headers(dict):
+    """Values by name in any case; of a repeated name the last one."""
+
+    def __setitem__(self, name: str, value: str) -> None:
+        super().__setitem__(name.lower(), value)
+
+    def __getitem__(self, name: str) -> str:
+        return super().__getitem__(name.lower())
+
+    def get(self, name: str, default: str | None = None) -> str | None:
+        return super().get(name.lower(), default)
+
+
 @dataclass
 class Record:
     begin: int
     end: int
-    headers: dict[str, str]
+    headers: Headers
     block: bytes
 
 
@@ -150,46 +174,54 @@ class Broken(Exception):
 
 
 class Reader:
-    """Records of one archive, packed in gzip members or plain, and the gaps between them."""
+    """Records of one archive, packed in gzip members or plain, and the gaps between them.
+
+    A gap is a range of the file and a reason.  A gap inside of a sound member has the member's range, and
+    the reason names the inflated bytes.
+    """
 
     def __init__(self, file, size: int):
         self.file, self.size = file, size
+        self.start, self.held = 0, b""
         self.gaps: list[tuple[int, int, str]] = []
 
     def read(self, begin: int, count: int) -> bytes:
-        return self.file.read_at(min(count, self.size - begin), begin)
+        """Bytes of the file; going forward, each byte is fetched once."""
+        end, stop = min(begin + count, self.size), self.start + len(self.held)
+        if begin < self.start or end > stop:
+            kept = self.held[begin - self.start :] if self.start <= begin <= stop else b""
+            at = begin + len(kept)
+            wanted = min(max(end - at, READ_BYTES), self.size - at)
+            self.start, self.held = begin, kept + self.file.read_at(wanted, at)
+        return self.held[begin - self.start : end - self.start]
 
     def records(self) -> Iterator[Record]:
         at, lost, reason = 0, None, ""
         while at < self.size:
             try:
-                found = self._at(at)
+                found, end, why = self._at(at)
             except Broken as e:
-                if lost is None:
-                    lost, reason = at, str(e)
-                at = self._next(at + 1)
-                continue
-            if lost is not None:
+                found, end, why = [], None, str(e)
+            if lost is not None and (found or end is not None):
                 self.gaps.append((lost, at, reason))
                 lost = None
             yield from found
-            at = found[-1].end
+            if end is None:
+                if lost is None:
+                    lost, reason = at, why
+                at = self._next(at + 1)
+            else:
+                at = end
         if lost is not None:
             self.gaps.append((lost, self.size, reason))
 
-    def _at(self, begin: int) -> list[Record]:
+    def _at(self, begin: int) -> tuple[list[Record], int | None, str]:
+        """Records at an offset, the offset after them or None where it is lost, and the reason."""
         start = self.read(begin, len(VERSION_START))
         if start.startswith(GZIP_START):
-            data, end = self._member(begin)
-            found, at = [], 0
-            while at < len(data):
-                headers, block, at = parsed(data, at)
-                found.append(Record(begin, end, headers, block))
-            if not found:
-                raise Broken("empty member")
-            return found
+            return self._packed(begin)
         if start == VERSION_START:
-            data, size = b"", READ_BYTES
+            size = FIRST_BYTES
             while True:  # the record is read in steps that double until it is whole
                 data = self.read(begin, size)
                 try:
@@ -199,28 +231,56 @@ class Reader:
                         raise
                     size *= 2
                     continue
-                return [Record(begin, begin + at, headers, block)]
+                return [Record(begin, begin + at, headers, block)], begin + at, ""
         raise Broken("no member or version line")
 
-    def _member(self, begin: int) -> tuple[bytes, int]:
-        unpack, parts, at = zlib.decompressobj(31), [], begin
+    def _packed(self, begin: int) -> tuple[list[Record], int | None, str]:
+        data, end, why = self._member(begin)
+        found, gaps = [], []
+        for a, b, record in inner(data):
+            if isinstance(record, str):
+                gaps.append((a, b, record))
+            elif end is not None or proven(record[0]):
+                found.append(Record(begin, end or begin, *record))
+        if not found or (why.endswith(CHECKSUM_ONLY) and not gaps):
+            raise Broken(why or (gaps[0][2] if gaps else "empty member"))
+        if end is not None:
+            self.gaps += [(begin, end, f"{r} (inflated bytes {a} to {b})") for a, b, r in gaps]
+        return found, end, why
+
+    def _member(self, begin: int) -> tuple[bytes, int | None, str]:
+        """Inflated bytes, the offset after the member or None if it is not sound, and the reason."""
+        unpack, parts, at, step = zlib.decompressobj(31), [], begin, FIRST_BYTES
         try:
             while not unpack.eof:
-                chunk = self.read(at, READ_BYTES)
+                chunk = self.read(at, step)
                 if not chunk:
-                    raise Broken("member cut short")
+                    return b"".join(parts), None, "member cut short"
                 parts.append(unpack.decompress(chunk))
-                at += len(chunk)
-                if at == begin + len(chunk) and not parts[0].startswith(VERSION_START[: len(parts[0])]):
-                    raise Broken("no version line in member")
+                at, step = at + len(chunk), min(2 * step, READ_BYTES)
         except zlib.error as e:
-            raise Broken(f"gzip: {e}") from None
-        return b"".join(parts), at - len(unpack.unused_data)
+            return self._inflated(begin, at + step), None, f"gzip: {e}"
+        return b"".join(parts), at - len(unpack.unused_data), ""
+
+    def _inflated(self, begin: int, end: int) -> bytes:
+        """What can be inflated of a member before it fails."""
+        unpack, parts = zlib.decompressobj(31), []
+        try:
+            for at in range(begin, min(end, self.size), 64):
+                before, chunk = unpack.copy(), self.read(at, 64)
+                parts.append(unpack.decompress(chunk))
+        except zlib.error:
+            try:
+                for byte in chunk:
+                    parts.append(before.decompress(bytes([byte])))
+            except zlib.error:
+                pass
+        return b"".join(parts)
 
     def _next(self, begin: int) -> int:
         """Next offset at which a member or a version line may begin."""
         while begin < self.size:
-            data = self.read(begin, READ_BYTES)
+            data = self.read(begin, FIRST_BYTES)
             hits = [i for s in (GZIP_START, VERSION_START) if (i := data.find(s)) >= 0]
             if hits:
                 return begin + min(hits)
@@ -230,11 +290,38 @@ class Reader:
         return self.size
 
 
+def inner(data: bytes) -> Iterator[tuple[int, int, tuple[Headers, bytes] | str]]:
+    """Records in inflated bytes, and between them the reasons of gaps, each with its range."""
+    at, lost, reason = 0, None, ""
+    while at < len(data):
+        try:
+            headers, block, end = parsed(data, at)
+        except Broken as e:
+            if lost is None:
+                lost, reason = at, str(e)
+            at = data.find(VERSION_START, at + 1)
+            if at < 0:
+                break
+            continue
+        if lost is not None:
+            yield lost, at, reason
+            lost = None
+        yield at, end, (headers, block)
+        at = end
+    if lost is not None:
+        yield lost, len(data), reason
+
+
+def proven(headers: Headers) -> bool:
+    """Whether the record has a digest of its block; ``parsed`` has compared it."""
+    return headers.get("WARC-Block-Digest", "").startswith("sha1:")
+
+
 def may_go_on(data: bytes, left: int) -> bool:
     """Whether more bytes can complete the record that ``data`` begins."""
     head = data.find(b"\r\n\r\n")
     if head < 0:
-        return len(data) < 1 << 20
+        return all(b":" in line for line in data.split(b"\r\n")[1:-1])
     for line in data[:head].split(b"\r\n"):
         name, _, value = line.partition(b":")
         if name.strip().lower() == b"content-length" and value.strip().isdigit():
@@ -242,13 +329,13 @@ def may_go_on(data: bytes, left: int) -> bool:
     return False
 
 
-def parsed(data: bytes, at: int) -> tuple[dict[str, str], bytes, int]:
+def parsed(data: bytes, at: int) -> tuple[Headers, bytes, int]:
     """Headers and block of the record at an offset, and the offset after it."""
     head = data.find(b"\r\n\r\n", at)
     version, *lines = data[at:head].split(b"\r\n") if head >= 0 else [b""]
     if not (version.startswith(VERSION_START) and version[len(VERSION_START) :].isdigit()):
         raise Broken("no record head")
-    headers = {}
+    headers = Headers()
     for line in lines:
         name, colon, value = line.partition(b":")
         if not colon:

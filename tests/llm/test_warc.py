@@ -51,10 +51,12 @@ def test_no_pages(spark):
 
 class Bytes:
     def __init__(self, data):
-        self.data = data
+        self.data, self.fetched, self.requests = data, 0, 0
 
     def read_at(self, count, at):
-        return self.data[at : at + count]
+        found = self.data[at : at + count]
+        self.fetched, self.requests = self.fetched + len(found), self.requests + 1
+        return found
 
 
 def salvaged(data):
@@ -98,6 +100,59 @@ def test_several_records_in_one_member():
     assert salvaged(data) == ([0, 1, 2, 3], [])
 
 
+@pytest.mark.parametrize("hurt", range(5))
+def test_the_other_records_of_a_damaged_member_are_kept(hurt):
+    parts = records(False, 5)
+    at = len(parts[hurt]) // 2
+    parts[hurt] = parts[hurt][:at] + b"\x00" + parts[hurt][at + 1 :]
+    after = records(True, 7)[6]
+    member = warc.gzip_member(b"".join(parts))
+    found, ((begin, end, why),) = salvaged(member + after)
+    assert found == [i for i in range(5) if i != hurt] + [6]
+    assert (begin, end) == (0, len(member)) and "inflated bytes" in why
+
+
+def test_what_was_inflated_before_an_error_is_kept():
+    member = warc.gzip_member(b"".join(records(False, 40)))
+    after = records(True, 41)[40]
+    for broken, whole in (
+        (member[: len(member) * 3 // 4], range(1, 40)),
+        (member[: len(member) // 2] + b"\xff" * 99 + member[len(member) // 2 + 99 :], range(1, 40)),
+    ):
+        found, gaps = salvaged(broken + after)
+        kept = found[:-1]
+        assert found[-1] == 40 and kept == list(range(len(kept))) and len(kept) in whole
+        assert [g[:2] for g in gaps] == [(0, len(broken))]
+
+
+def test_a_wrong_checksum_alone_leaves_every_head_in_doubt():
+    member = warc.gzip_member(b"".join(records(False, 4)))
+    found, gaps = salvaged(member[:-8] + b"\x00" * 8 + records(True, 5)[4])
+    assert found == [4] and [g[:2] for g in gaps] == [(0, len(member))]
+
+
+def test_records_without_digest_are_not_taken_from_a_damaged_member():
+    plain = warc.record_bytes({warc.PAGE: "1", "Content-Length": "3"}, b"abc")
+    member = warc.gzip_member(plain)
+    assert salvaged(member)[0] == [1]
+    assert salvaged(member[:-4])[0] == []
+
+
+@pytest.mark.parametrize("packed", [True, False])
+def test_header_names_in_any_case(packed):
+    head = f"WARC/1.0\r\nx-page-id: 4\r\nCONTENT-length: 2\r\nx: {'y' * (3 << 20)}\r\n\r\nhi\r\n\r\n".encode()
+    assert salvaged(warc.gzip_member(head) if packed else head) == ([4], [])
+
+
+@pytest.mark.parametrize("packed", [True, False])
+def test_each_byte_is_fetched_once(packed):
+    made = [warc.page_record(i, f"http://x/{i}", f"page {i}".encode(), i) for i in range(5000)]
+    data = b"".join(map(warc.gzip_member, made) if packed else made)
+    file = Bytes(data)
+    assert sum(1 for _ in warc.Reader(file, len(data)).records()) == 5000
+    assert file.fetched == len(data) and file.requests <= len(data) // warc.READ_BYTES + 1
+
+
 def test_gaps_are_logged_as_rows(spark):
     folder = scratch_path(spark, "warc")
     files, root = warc.store(folder)
@@ -106,6 +161,7 @@ def test_gaps_are_logged_as_rows(spark):
     with files.open_output_stream(f"{root}/a.warc.gz", compression=None) as out:
         out.write(parts[0] + parts[1][:-9] + parts[2])
     rows = warc.read_archives(spark.createDataFrame([("a.warc.gz",)], "file string"), folder).collect()
-    assert sorted(r.page_id for r in rows if r.gap is None) == [0, 2]
+    # The cut took the checksum only: the record is whole by its digest, and the gap tells of it.
+    assert sorted(r.page_id for r in rows if r.gap is None) == [0, 1, 2]
     (gap,) = [r for r in rows if r.gap]
     assert (gap.begin, gap.end) == (len(parts[0]), len(parts[0]) + len(parts[1]) - 9)
