@@ -12,7 +12,9 @@ the item's words.  A template of hardly any literal words fits too many texts to
 what has fewer than four of them in thirteen words is found verbatim only.
 
 Texts are looked at closely if they share a run of six words with an item, at any third place of the
-text: each window holds one, so none is missed.
+text: each window holds one, so none is missed.  Of an item's windows, those that most texts have are left out
+as long as they alone cover too little of it; whatever contains the item has one of its others.  So only
+these rare windows make pairs of texts and items, and a phrase that many items share makes none.
 
 NULL and empty texts are clean.  Items shorter than a window tell too little to be searched for.  The
 verdict depends on the text alone, so repeated rows and equal texts share it; an item that occurs
@@ -253,6 +255,62 @@ def candidates(docs: DataFrame, known: DataFrame, text: str) -> DataFrame:
     return written(texts, "candidates")
 
 
+def rare_windows(wanted: DataFrame, hits: DataFrame, known: DataFrame) -> DataFrame:
+    """``kind``, ``hash`` and ``item`` of windows one of which is in every text that contains the item.
+
+    The windows of an item that most texts have are left out one by one, until those left out cover
+    enough words for the item to be found by them alone.
+    """
+    often = hits.groupBy("kind", "hash").agg(F.count("*").alias("n"))
+    windows_of = (
+        wanted.join(often, ["kind", "hash"])
+        .groupBy("item")
+        .agg(F.sort_array(F.collect_list(F.expr("struct(-n AS rank, kind, at, hash)"))).alias("found"))
+    )
+    long = f"IF(w.kind = {LONG}, {MIN_WORDS}, {WINDOW})"
+    more = f"""named_struct(
+        'words', array_union(s.words, IF(w.kind = {PLAIN},
+            sequence(w.at, w.at + {WINDOW - 1}), slice(starts, w.at + 1, {long}))),
+        'slots', array_union(s.slots, IF(w.kind = {PLAIN},
+            CAST(array() AS array<int>), sequence(w.at, w.at + {long} - 1))),
+        'n', s.n + 1, 'open', true)"""
+    enough = f"""size(m.words) >= least(size(p), {MIN_WORDS})
+        OR size(m.slots) >= least(size(t), {MIN_WORDS})"""
+    shut = "named_struct('words', s.words, 'slots', s.slots, 'n', s.n, 'open', false)"
+    left_out = f"""aggregate(found,
+        named_struct('words', CAST(array() AS array<int>), 'slots', CAST(array() AS array<int>),
+            'n', 0, 'open', true),
+        (s, w) -> IF(s.open, get(transform(array({more}), m -> IF({enough}, {shut}, m)), 0), s),
+        s -> s.n)"""
+    return (
+        windows_of.join(known.select("item", "p", "t", "starts"), "item")
+        .select("item", "found", F.expr(left_out).alias("n"))
+        .select("item", F.expr("explode(slice(found, n + 1, size(found)))").alias("w"))
+        .select("w.kind", "w.hash", "item")
+        .distinct()
+    )
+
+
+def matches(texts: DataFrame, wanted: DataFrame, known: DataFrame) -> DataFrame:
+    """Common windows of the texts and items that can reach the threshold, as a written table."""
+    hashes = written(wanted.select("kind", "hash").distinct(), "window-hashes")
+    split = texts.select("key", plain_words(F.col("text")).alias("p"), template(F.col("text")).alias("t"))
+    hits = written(
+        probes(split, "key").join(counted_broadcast(hashes), ["kind", "hash"], "left_semi"), "hits"
+    )
+    rare = written(rare_windows(wanted, hits, known), "rare-windows")
+    pairs = written(
+        hits.join(counted_broadcast(rare), ["kind", "hash"]).select("key", "item").distinct(), "pairs"
+    )
+    return written(
+        pairs.join(counted_broadcast(wanted), "item")
+        .join(hits, ["key", "kind", "hash"])
+        .selectExpr("key", "item", "kind", "place - at AS shift", "at")
+        .distinct(),
+        "matches",
+    )
+
+
 def findings(
     docs: DataFrame, items: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text"
 ) -> DataFrame:
@@ -271,14 +329,7 @@ def findings(
     )
     wanted = written(item_windows(known), "item-windows")
     texts = candidates(docs, known, text)
-    split = texts.select("key", plain_words(F.col("text")).alias("p"), template(F.col("text")).alias("t"))
-    matched = written(
-        probes(split, "key")
-        .join(counted_broadcast(wanted), ["kind", "hash"])
-        .selectExpr("key", "item", "kind", "place - at AS shift", "at")
-        .distinct(),
-        "matches",
-    )
+    matched = matches(texts, wanted, known)
     # The template words of a diagonal that its windows cover.
     covered = (
         matched.where(F.col("kind") != PLAIN)

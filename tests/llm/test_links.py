@@ -1,6 +1,8 @@
 """Decontamination and chat formatting on fixtures with known answers and against plain Python."""
 
+import collections
 import os
+import random
 import re
 
 import duckdb
@@ -119,6 +121,90 @@ FEW_LITERALS = [
 ]
 
 
+def by_scan(spark, texts, items):
+    """Found pairs of places by comparing every window of every item with every one of every text."""
+
+    def split(rows):
+        made = spark.createDataFrame([(i, t) for i, t in enumerate(rows)], "n int, x string").select(
+            "n", dc.plain_words(F.col("x")), dc.template(F.col("x")), dc.values(F.col("x")), dc.starts(F.col("x"))
+        )
+        return [tuple(r)[1:] for r in sorted(made.collect())]
+
+    def places(words, size):
+        return [(i, tuple(words[i : i + size])) for i in range(len(words) - size + 1)]
+
+    def common(mine, theirs, size, fits=lambda w: True):
+        return {(at, i - at) for at, w in places(theirs, size) if fits(w) for i, x in places(mine, size) if w == x}
+
+    def agreement(slots):
+        renamed = collections.Counter(slots)
+        one, other = {}, {}
+        for (a, b), n in renamed.items():
+            one[a], other[b] = max(one.get(a, 0), n), max(other.get(b, 0), n)
+        return min(sum(one.values()), sum(other.values())) / len(slots) if slots else 1
+
+    tells = lambda w: sum(x not in dc.PLACEHOLDERS for x in w) >= dc.MIN_LITERALS
+    found = set()
+    given = split(items)
+    for d, (p, t, mine, _) in enumerate(split(texts)):
+        for k, (q, u, theirs, starts) in enumerate(given):
+            covered = {at + j for at, _ in common(p, q, dc.WINDOW) for j in range(dc.WINDOW)}
+            diagonals, slotted = {}, set()
+            for size in (dc.WINDOW, dc.MIN_WORDS):
+                for at, shift in common(t, u, size, tells):
+                    diagonals.setdefault(shift, set()).update(range(at, at + size))
+            for shift, ats in diagonals.items():
+                slots = [(theirs[a], mine[a + shift]) for a in ats if u[a] in dc.PLACEHOLDERS]
+                if agreement(slots) >= dc.MIN_AGREEMENT:
+                    slotted |= ats
+            covered |= {starts[a] for a in slotted}
+            for enough, size in ((len(covered), len(q)), (len(slotted), len(u))):
+                if size >= dc.WINDOW and enough >= min(size, dc.MIN_WORDS):
+                    found.add((d, k))
+    return found
+
+
+def in_spark(spark, texts, items):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string").repartition(3)
+    known = spark.createDataFrame(list(enumerate(items)), "item_id int, text string")
+    return {(r.doc_id, i) for r in dc.report(docs, known).collect() for i in r.item_ids or ()}
+
+
+def test_findings_equal_a_scan_of_all_windows(spark):
+    draw = random.Random(3)
+    items = [r.text for r in load(spark, SF_DIR, "benchmark").collect()][:40]
+    items += [ITEM, MIXED, "what is the value of the sum of three numbers", "seven words are not a whole window"]
+    stems = ["What is the value of the following sum if every", "Read the passage and say which of the answers"]
+    items += [f"{draw.choice(stems)} {' '.join(draw.choices('a b c d Tom Anna 3 17 km'.split(), k=12))}" for _ in range(20)]
+    texts = [OTHER, None, "", FILLER] + [r.text for r in load(spark, SF_DIR, "documents").collect()][:60]
+    for item in items:
+        words = item.split()
+        cut = draw.randrange(len(words))
+        texts.append(FILLER + " ".join(words[cut:] + words[:cut]))
+        texts.append(" ".join(words[: draw.randrange(6, 20)]) + " " + FILLER + draw.choice(stems))
+        texts.append(re.sub(r"\d+", lambda m: str(int(m[0]) + draw.choice((1, 1, 5))), item).replace("Tom", "Kate"))
+    wanted = by_scan(spark, texts, items)
+    assert in_spark(spark, texts, items) == wanted and 60 < len(wanted) < len(texts) * len(items) / 4
+
+
+def test_a_phrase_of_all_items_makes_no_pairs(spark):
+    draw = random.Random(4)
+    word = lambda: "".join(draw.choices("abcdefghij", k=5))
+    phrase = "what is the value of the sum of all the numbers"
+    items = [f"{phrase} {' '.join(word() for _ in range(12))}" for _ in range(300)]
+    texts = [f"{' '.join(word() for _ in range(20))} {phrase} {word()}" for _ in range(299)] + [FILLER + items[7]]
+    known = spark.createDataFrame(list(enumerate(items)), "id int, x string").select(
+        dc.text_key(F.col("x")).alias("item"),
+        dc.plain_words(F.col("x")).alias("p"),
+        dc.template(F.col("x")).alias("t"),
+        dc.starts(F.col("x")).alias("starts"),
+    )
+    given = spark.createDataFrame([(t,) for t in texts], "text string").withColumn("key", dc.text_key(F.col("text")))
+    found = dc.matches(given, dc.item_windows(known), known)
+    assert found.select("key", "item").distinct().count() == 1 and found.count() < 100
+    assert in_spark(spark, texts, items) == {(299, 7)}
+
+
 def test_items_of_few_literal_words_are_found(spark):
     texts = [(i, FILLER + t + " " + FILLER) for i, t in enumerate(FEW_LITERALS)] + [
         (9, "What is 1 + 2 - 3 * 4 / 5 + 6 - 7 + 8"),
