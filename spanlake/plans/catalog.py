@@ -71,6 +71,7 @@ from spanlake.sources.files import (
     write_observed,
     write_table,
 )
+from spanlake.sources.records import read_csv_records
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -110,15 +111,19 @@ def scan_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders")
 
 
-def _through_csv(df: DataFrame, multi_line: bool) -> DataFrame:
-    """Write the table as CSV files of the input dialect and read them under its schema."""
-    spark = df.sparkSession
-    path = scratch_path(spark, "csv")
+def _as_csv(df: DataFrame) -> str:
+    """Path of the table written as CSV files of the input dialect."""
+    path = scratch_path(df.sparkSession, "csv")
     dialect = {k: v for k, v in CSV_DIALECT.items() if k != "mode"}
     df.write.options(
         **dialect, ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false"
     ).csv(path)
-    return read_csv(spark, path, df.schema, multi_line)
+    return path
+
+
+def _through_csv(df: DataFrame, multi_line: bool) -> DataFrame:
+    """The table written as CSV files of the input dialect and read under its schema."""
+    return read_csv(df.sparkSession, _as_csv(df), df.schema, multi_line)
 
 
 @query("csv_ingest")
@@ -133,6 +138,15 @@ def csv_ingest_multi_line(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _through_csv(table(spark, sf_dir, "documents"), multi_line=True)
 
 
+@query("csv_records")
+def csv_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents whose texts got line breaks and quotes, from files that many tasks read each."""
+    docs = table(spark, sf_dir, "documents")
+    text = F.concat(F.regexp_replace("text", "([.,]) ", '$1\n"'), F.lit('"\n\n'))
+    broken = docs.withColumn("text", text)
+    return read_csv_records(spark, _as_csv(broken), broken.schema)
+
+
 @query("csv_quarantine")
 def csv_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items whose CSV has cells that do not fit, with their fields and texts."""
@@ -147,11 +161,7 @@ def csv_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
             "l_shipdate": F.when(line >= 6, 'a "day", or so').otherwise(F.col("l_shipdate").cast("string")),
         }
     )
-    path = scratch_path(spark, "cells")
-    dialect = {k: v for k, v in CSV_DIALECT.items() if k != "mode"}
-    broken.write.options(
-        **dialect, ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false"
-    ).csv(path)
+    path = _as_csv(broken)
     _, refused = quarantine(read_csv_cells(spark, path, lines.schema))
     shown = F.transform(BAD_CELLS, lambda x: F.concat(x["field"], F.lit("="), x["text"]))
     return refused.select(

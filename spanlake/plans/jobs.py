@@ -31,6 +31,7 @@ from spanlake.operators.split import (
 )
 from spanlake.plans.layout import InputFiles, Layout, inside
 from spanlake.sources.files import read_csv, with_load_columns, write_observed
+from spanlake.sources.records import read_csv_records
 from spanlake.sources.schemas import period_schema, snapshot_schema
 from spanlake.sources.versions import TABLE, Draft, Folder, current, read_current
 
@@ -145,9 +146,12 @@ def _ingested(
         ("snapshots", "MASTER_ROWS", files.snapshots, layout.snapshots, snapshot_schema()),
         ("periods", "DETAIL_ROWS", files.periods, layout.periods, period_schema()),
     ):
-        raw = read_csv(
-            spark, inside(in_dir, file), schema, multi_line, corrupt_column, check_header
-        )
+        if multi_line and not check_header:
+            raw = read_csv_records(spark, inside(in_dir, file), schema, corrupt_column)
+        else:  # A header is checked by the reader that takes whole files.
+            raw = read_csv(
+                spark, inside(in_dir, file), schema, multi_line, corrupt_column, check_header
+            )
         loaded = with_load_columns(raw, file)
         sent, written = write_observed(loaded, new.path(folder))
         metrics[metric] = written

@@ -171,6 +171,10 @@ ORACLES: dict[str, str] = {
         SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts, user_id, event_type, value, props
         FROM events""",
     "csv_ingest_multi_line": "SELECT * FROM documents",
+    "csv_records": r"""
+        SELECT * REPLACE (regexp_replace(text, '([.,]) ', '\1' || chr(10) || '"', 'g')
+                          || '"' || chr(10) || chr(10) AS text)
+        FROM documents""",
     "bronze_metadata": """
         SELECT *, 'orders.csv' AS source_file, TRUE AS load_time, 'BRONZE' AS layer FROM orders""",
     "write_recount": "SELECT count(*) AS sent, count(*) AS written FROM lineitem",
