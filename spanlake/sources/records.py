@@ -111,13 +111,15 @@ def read_csv_records(
     The lines of a file are dealt out by its pieces.  A line's quotes are counted; the sums over the pieces
     before tell whether it begins within quotes, and so which lines make one record.  Files
     whose quotes do not tell (a quote inside an unquoted field, text after a closing one, none that closes, a
-    carriage return) are found first, and read by one task each.  Lines are written once to scratch.
+    carriage return) are found first, and read by one task each.  Lines are scanned
+    once, and written to scratch as numbered and as judged.
     A column named ``corrupt_column`` gets the text of records that do not fit.
     """
-    lines = numbered_lines(spark, path)
+    # Spark cuts files by the cores it has at the time: only one scan may number the lines.
+    lines = write_table(numbered_lines(spark, path), scratch_path(spark, "numbered"))
     pieces = write_table(file_pieces(lines), scratch_path(spark, "pieces"))
     judged = write_table(judged_lines(lines, pieces), scratch_path(spark, "lines"))
-    # One path per file at most, as many as the scan itself lists on the driver.
+    # One path per file at most, as many as the scan itself lists on the driver: fit to be broadcast.
     other = judged.where("astray").select("file").distinct()
     others = [unquote(r["file"]) for r in other.collect()]
     split = judged.join(F.broadcast(other), "file", "left_anti") if others else judged
