@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -74,17 +75,26 @@ def store(path: str) -> tuple[fs.FileSystem, str]:
 def text_chunks(
     batches: Iterator[pa.RecordBatch], column: str, most: int = 1 << 20
 ) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
-    """Slices of the batches of about ``most`` characters of text; NULL texts as empty ones."""
+    """Slices of the batches of about ``most`` characters of text; NULL texts as empty ones.
+
+    Only the texts of one slice are Python strings at a time.
+    """
     for batch in batches:
-        texts = [t or "" for t in batch.column(column).to_pylist()]
+        lengths = text_lengths(batch, column)
         begin = size = 0
-        for i, text in enumerate(texts):
-            size += len(text)
-            if size >= most or i + 1 == len(texts):
-                yield batch.slice(begin, i + 1 - begin), texts[begin : i + 1]
+        for i, length in enumerate(lengths):
+            size += length
+            if size >= most or i + 1 == len(lengths):
+                part = batch.slice(begin, i + 1 - begin)
+                yield part, [t or "" for t in part.column(column).to_pylist()]
                 begin, size = i + 1, 0
 
 
+def text_lengths(batch: pa.RecordBatch, column: str) -> list[int]:
+    """Characters of the texts of a batch; none where they are NULL."""
+    return [n or 0 for n in pc.utf8_length(batch.column(column)).to_pylist()]
+
+
 def sorted_groups(
     batches: Iterator[pa.RecordBatch], key: str
 ) -> Iterator[tuple[object, pa.Table]]:

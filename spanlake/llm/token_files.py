@@ -40,8 +40,12 @@ SAMPLE_ROWS = 1_000
 SAMPLE_CHARS = 8_000
 """The dictionary is trained on at most this many documents, none longer than this."""
 
-CACHE_WORDS = 1_700_000
-CHUNK_CHARS = 6 << 20
+CACHE_WORDS = 1_000_000
+"""Stretches that a worker remembers, half of them in each of two tables."""
+
+CHUNK_CHARS = 4 << 20
+"""Characters of the texts that are encoded at once."""
+
 BATCH_WORDS = 1_000
 """New words that the library gets at once; more take longer each."""
 
@@ -57,6 +61,9 @@ class Encoder:
     The pre-tokeniser always starts a token at a space that follows other text, so a text is the
     sequence of its stretches; those not seen yet are encoded together.  Texts with double or
     closing spaces or special strings are encoded whole.
+
+    Stretches are remembered in two tables.  When the younger one is full it becomes the older one, whose
+    stretches move over when they are met again; so frequent ones stay known.
     """
 
     known: dict[str, Encoder] = {}
@@ -70,6 +77,7 @@ class Encoder:
         self.leads = np.zeros(max(tokens.values()) + 1, bool)
         self.leads[[i for t, i in tokens.items() if t.startswith("Ġ")]] = True
         self.cache: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
         self.most = cache
 
     @classmethod
@@ -123,9 +131,16 @@ class Encoder:
         split = pc.split_pattern(marked, " ")
         places = split.flatten().dictionary_encode()
         parts = places.dictionary.to_pylist()
-        if len(self.cache) > self.most:
-            self.cache.clear()
-        missing = [p for p in parts if p not in self.cache]
+        if len(self.cache) > self.most // 2:
+            self.cache, self.old = {}, self.cache
+        missing = []
+        for part in parts:
+            if part not in self.cache:
+                known = self.old.pop(part, None)
+                if known is None:
+                    missing.append(part)
+                else:
+                    self.cache[part] = known
         if missing:
             self._learn(missing)
         found = list(map(self.cache.__getitem__, parts))

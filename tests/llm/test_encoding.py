@@ -1,6 +1,7 @@
 """Token files, byte-level BPE and token counts against the libraries on whole texts."""
 
 import base64
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -121,3 +122,32 @@ def test_a_small_cache_gives_the_same_counts():
     counts = token_counts.Counts(PIECES, {"text.": 99}, cache=2)
     counts.table = {}
     assert [counts(t or "") for t in TEXTS] == [len(model.encode(t or "")) for t in TEXTS]
+
+
+def test_frequent_stretches_stay_known_in_a_small_cache(monkeypatch):
+    encoder, learnt = tf.Encoder(JSON, cache=8), []
+    learn = encoder._learn
+    monkeypatch.setattr(encoder, "_learn", lambda parts: (learnt.extend(parts), learn(parts)))
+    texts = [f"begin often {' '.join(f'w{i}x{j}' for j in range(5))}" for i in range(6)]
+    wanted = [encoder.whole([t])[0] for t in texts]
+    assert [encoder([t])[0] for t in texts] == wanted
+    assert learnt.count("often") == 1 and len(encoder.cache) + len(encoder.old) <= 8 + 2 * 7
+
+
+def test_text_chunks_hold_one_slice_of_texts():
+    texts = ["é" * 30, None, "b" * 5, "", "c" * 40, "d"]
+    batch = tf.pa.RecordBatch.from_pydict({"n": list(range(6)), "text": texts})
+    parts = list(tf.text_chunks([batch], "text", 35))
+    assert [t for _, some in parts for t in some] == [t or "" for t in texts]
+    assert [part.column("n").to_pylist() for part, _ in parts] == [[0, 1, 2], [3, 4], [5]]
+
+
+def test_a_chunk_of_texts_takes_memory_for_its_own_only():
+    batch = tf.pa.RecordBatch.from_pydict({"text": ["x" * 100_000] * 200})
+    tracemalloc.start()
+    try:
+        for _, some in tf.text_chunks([batch], "text", 1 << 20):
+            del some
+        assert tracemalloc.get_traced_memory()[1] < 5 << 20
+    finally:
+        tracemalloc.stop()
