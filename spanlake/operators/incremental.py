@@ -7,7 +7,7 @@ those of its removed ones, so it never reads the periods of earlier loads again.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -150,25 +150,38 @@ def _edges(rows: DataFrame, roles: Roles, heads: Sequence[str], sign: int) -> Da
         if h in heads
     )
     lane = rows.select("_from", "_to", F.expr(f"explode(array({made})) AS l")).where("l IS NOT NULL")
-    # One row per entity and period bounds before both ends of it are made.
-    spans = lane.groupBy("l", "_from", "_to").agg((F.count("*") * sign).alias("delta"))
-    ends = spans.selectExpr(
+    # Both ends of a period; they are added up before the exchange.
+    ends = lane.selectExpr(
         "l.lane AS _lane", "l.person AS _person", "l.employer AS _employer",
-        "explode(array(struct(_from AS m, delta AS d), struct(_to + 1 AS m, -delta AS d))) AS e",
+        f"explode(array(struct(_from AS m, bigint({sign}) AS d), struct(_to + 1 AS m, bigint({-sign}) AS d))) AS e",
     )
     return ends.groupBy(*ENTITY, F.col("e.m").alias("_month")).agg(F.sum("e.d").alias("delta"))
 
 
-def _presence(edges: DataFrame, heads: Sequence[str]) -> DataFrame:
-    """Per month by how many entities each head changes: they are present while a period is open."""
-    summed = edges.groupBy(*ENTITY, "_month").agg(F.sum("delta").alias("delta")).where("delta <> 0")
+def _presence(edges: DataFrame, before: DataFrame | None, heads: Sequence[str]) -> DataFrame:
+    """Per month by how many entities each head changes: they are present while a period is open.
+
+    What the same entities changed ``before`` is taken away.  Sums and windows share one exchange by
+    entity; the edges are added up by month already.
+    """
+    both = edges.withColumn("was", F.lit(0).cast("bigint"))
+    if before is not None:
+        both = both.unionByName(before.withColumn("was", F.col("delta")))
+    summed = (
+        both.repartition(*ENTITY)
+        .groupBy(*ENTITY, "_month")
+        .agg(F.sum("delta").alias("delta"), F.sum("was").alias("was"))
+    )
+    open_at = """sum({0}) OVER (PARTITION BY _lane, _person, _employer ORDER BY _month
+             ROWS UNBOUNDED PRECEDING) AS {0}_open"""
     turned = summed.selectExpr(
+        "_lane", "_month", "delta", "was", *[open_at.format(c) for c in ("delta", "was")]
+    ).selectExpr(
         "_lane",
         "_month",
-        """sum(delta) OVER (PARTITION BY _lane, _person, _employer ORDER BY _month
-             ROWS UNBOUNDED PRECEDING) AS open""",
-        "delta",
-    ).selectExpr("_lane", "_month", "int(open > 0) - int(open - delta > 0) AS turn")
+        "int(delta_open > 0) - int(delta_open - delta > 0)"
+        " - int(was_open > 0) + int(was_open - was > 0) AS turn",
+    )
     return turned.where("turn <> 0").groupBy("_month").agg(
         *[F.expr(f"coalesce(sum(turn) FILTER (WHERE _lane = '{h}'), 0) AS {h}") for h in heads]
     )
@@ -228,9 +241,12 @@ def report_load(
     removed: DataFrame | None = None,
     roles: Roles = Roles(),
     metrics: Sequence[str] = METRICS,
+    stage: Callable[[DataFrame], DataFrame] = lambda edges: edges,
 ) -> tuple[DataFrame, DataFrame]:
     """Edges to append to the state, and its changes anew, after periods were added and removed.
 
+    ``stage`` may store the edges, so that the changes are made from what was stored.
+
     ``removed`` are periods of earlier loads, with all the columns that ``roles`` name.  Only the edges of
     entities that the load names are read: what they counted for before is taken away from the
     changes, what they count for now is added.  Amounts are exact decimals, so they cancel entirely.
@@ -252,18 +268,17 @@ def report_load(
         DataFrame.unionByName, [_amounts(rows, roles, parts, flags, sign) for rows, sign in sides]
     )
     found = [amounts]
-    edges = reduce(
-        DataFrame.unionByName, [_edges(rows, roles, heads or ["people"], sign) for rows, sign in sides]
+    edges = stage(
+        reduce(
+            DataFrame.unionByName, [_edges(rows, roles, heads or ["people"], sign) for rows, sign in sides]
+        )
     )
     if heads:
-        after = edges
+        before = None
         if state is not None:
             named = edges.select(*ENTITY).distinct()
             before = state.edges.alias("_a").join(named.alias("_b"), _same_key(ENTITY), "left_semi")
-            after = edges.unionByName(before)
-            gone = _presence(before, heads).selectExpr("_month", *[f"-{h} AS {h}" for h in heads])
-            found.append(gone)
-        found.append(_presence(after, heads))
+        found.append(_presence(edges, before, heads))
     if state is not None:
         found.append(state.changes)
     changes = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), found)

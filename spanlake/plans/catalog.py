@@ -481,7 +481,7 @@ def monthly_report_range(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("monthly_report_incremental")
 def monthly_report_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Report after three loads: some periods, more of the same people, and some taken away again."""
-    rows = every_period(spark, sf_dir)
+    rows = staged(every_period(spark, sf_dir))
     line = F.col("line")
     loads = [
         (rows.where(line <= 3), None),
@@ -490,8 +490,8 @@ def monthly_report_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     ]
     state, edges = None, []
     for added, removed in loads:
-        new, changes = report_load(state, added, removed, ROLES)
-        edges.append(staged(new))
+        new, changes = report_load(state, added, removed, ROLES, stage=staged)
+        edges.append(new)
         state = ReportState(reduce(DataFrame.unionByName, edges), staged(changes))
     return rounded(report_of(state.changes))
 

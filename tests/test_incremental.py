@@ -136,3 +136,25 @@ def test_month_text_of_changes(spark):
     _, changes = report_load(None, df, None, ROLES)
     months = changes.selectExpr(f"{MONTH_TEXT.format('_month')} AS m").distinct()
     assert sorted(r.m for r in months.collect()) == ["200001", "200004"]
+
+
+def test_changes_are_made_from_the_stored_edges(spark, tmp_path):
+    scans = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(x):
+        scans.add(1)
+        return x
+
+    made = [(i % 5, str(i % 3), 1.0, "200001", f"20000{1 + i % 9}", i) for i in range(40)]
+    rows = spark.createDataFrame(made, PERIOD).withColumn("s", counted.asNondeterministic()("s"))
+    state, number = None, 0
+    for added, removed in ((rows, None), (None, rows.where("x < 7"))):
+        edges, changes = report_load(
+            state, added, removed, ROLES, stage=lambda df: write_table(df, str(tmp_path / f"e{number}"))
+        )
+        state = ReportState(edges, write_table(changes, str(tmp_path / f"c{number}")))
+        number += 1
+    # Twice for each load: for the edges and for the amounts.
+    assert scans.value <= 2 * 2 * 40
+    assert [tuple(r) for r in report_of(state.changes).collect()] == full_report(spark, made[7:], METRICS)
