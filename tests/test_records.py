@@ -8,9 +8,11 @@ from pyspark.sql.types import DoubleType, LongType, StringType, StructType
 from spanlake.sources.files import read_csv
 from spanlake.sources.records import (
     file_pieces,
+    joined_records,
     judged_lines,
     numbered_lines,
     read_csv_records,
+    record_parts,
 )
 
 SCHEMA = (
@@ -102,3 +104,12 @@ def test_files_whose_quotes_do_not_tell(spark, tmp_path, small_pieces, line):
 def test_files_without_rows(spark, tmp_path, text):
     (tmp_path / "in.csv").write_text(text)
     assert same(spark, tmp_path) == []
+
+
+def test_only_parts_of_records_are_exchanged(spark, tmp_path):
+    write(tmp_path / "in.csv", random.Random(3), 300)
+    lines = numbered_lines(spark, str(tmp_path))
+    judged = judged_lines(lines, file_pieces(lines))
+    parts = record_parts(judged)
+    assert parts.count() > 300 and parts.where("NOT whole").count() == 0
+    assert joined_records(parts).count() == parts.count() - 1
