@@ -39,19 +39,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from spanlake.llm.common import written
+from spanlake.llm.common import text_lengths, written
 from spanlake.llm.token_counts import SPACE, separable
 
-BLOCK_CHARS = 6 << 20
+BLOCK_CHARS = 4 << 20
 """Characters of a block's texts; a longer text is a block by itself."""
 
-CACHE_BYTES = 144 << 20
+CACHE_BYTES = 96 << 20
 """Units and their alignments that a worker remembers, half of it in each of two tables."""
 
 UNIT_BYTES = 230
 """What a unit takes besides its texts and pairs."""
 
-LEARNT_UNITS = 20_000
+LEARNT_UNITS = 5_000
 """Units that are aligned at once."""
 
 SLICE_CHARS = 1 << 20
@@ -353,23 +353,23 @@ def align(docs: DataFrame, a_path: str, b_path: str, text: str = "text") -> Part
         pair, packer = Pair.of(a_path, b_path), zstandard.ZstdCompressor(level=1)
         number = TaskContext.get().partitionId() << 32
         for batch in batches:
-            texts = batch.column(text).to_pylist()
+            lengths = text_lengths(batch, text)
             begin = done = size = part = 0
             places: list[list[int] | None] = []
-            for i, t in enumerate(texts):
-                size += len(t or "")
-                part += len(t or "")
-                last = size >= BLOCK_CHARS or i + 1 == len(texts)
+            for i, length in enumerate(lengths):
+                size += length
+                part += length
+                last = size >= BLOCK_CHARS or i + 1 == len(lengths)
                 if part >= SLICE_CHARS or last:
-                    places += pair.places(texts[done : i + 1])
+                    places += pair.places(batch.column(text).slice(done, i + 1 - done).to_pylist())
                     done, part = i + 1, 0
                 if last:
                     rows = batch.slice(begin, i + 1 - begin)
-                    yield from block(pair.young, packer, rows, texts[begin : i + 1], places, number)
+                    yield from block(pair.young, packer, rows, lengths[begin : i + 1], places, number)
                     number, begin, size, places = number + 1, i + 1, 0, []
                     pair.turn()
 
-    def block(known, packer, rows, texts, places, number) -> Iterator[pa.RecordBatch]:
+    def block(known, packer, rows, lengths, places, number) -> Iterator[pa.RecordBatch]:
         """Rows of the texts in slices, then one of the block's units and pairs."""
         flat = [np.array(p or [], np.int64) for p in places]
         used, inverse = np.unique(np.concatenate(flat), return_inverse=True)
@@ -379,9 +379,9 @@ def align(docs: DataFrame, a_path: str, b_path: str, text: str = "text") -> Part
         )
         n_a, n_b, n_links = n_a[used], n_b[used], np.diff(begins)[used]
         begin = size = 0
-        for i in range(len(texts)):
-            size += len(texts[i] or "")
-            if size < SLICE_CHARS and i + 1 < len(texts):
+        for i, length in enumerate(lengths):
+            size += length
+            if size < SLICE_CHARS and i + 1 < len(lengths):
                 continue
             columns: list[list] = [[] for _ in made]
             for k in range(begin, i + 1):

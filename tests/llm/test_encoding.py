@@ -13,6 +13,7 @@ import tokenizers
 
 from spanlake.llm import bpe, token_counts
 from spanlake.llm import token_files as tf
+from spanlake.llm.common import text_lengths
 
 JSON = public_tokenizers.path("byte_bpe_50k.json")
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -151,3 +152,9 @@ def test_a_chunk_of_texts_takes_memory_for_its_own_only():
         assert tracemalloc.get_traced_memory()[1] < 5 << 20
     finally:
         tracemalloc.stop()
+
+
+def test_text_lengths_count_characters():
+    texts = ["é中😀", None, "", "ab\n"]
+    batch = tf.pa.RecordBatch.from_pydict({"text": texts})
+    assert text_lengths(batch, "text") == [len(t or "") for t in texts]
