@@ -32,6 +32,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from spanlake.llm.common import text_chunks
+
 BLOCK_CHARS = 8 << 20
 """Characters of a block's texts; a longer text is a block by itself."""
 
@@ -140,13 +142,12 @@ def encode(df: DataFrame, path: str, text: str = "text", out: str = "ids") -> Da
         fields: list[pa.Field] = []
         for batch in batches:
             fields = [batch.schema.field(n) for n in names]
-            texts = batch.column(text).to_pylist()
             begin, places = 0, []
-            for i, t in enumerate(texts):
-                places.append(_packed(list(map(known.__getitem__, match(t or ""))), packer))
-                size += len(t or "")
+            for i, t in enumerate(t for _, some in text_chunks([batch], text) for t in some):
+                places.append(_packed(list(map(known.__getitem__, match(t))), packer))
+                size += len(t)
                 full = size >= BLOCK_CHARS or len(known) >= BLOCK_WORDS
-                if full or i + 1 == len(texts):
+                if full or i + 1 == batch.num_rows:
                     rows = batch.slice(begin, i + 1 - begin)
                     yield pa.RecordBatch.from_arrays(
                         [
