@@ -15,13 +15,14 @@ text are not stored.
 from __future__ import annotations
 
 import hashlib
+import re
+import string
 import struct
 import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import tokenizers
 import zstandard
 from pyspark import TaskContext
@@ -43,7 +44,7 @@ SAMPLE_CHARS = 8_000
 CACHE_WORDS = 1_000_000
 """Stretches that a worker remembers, half of them in each of two tables."""
 
-CHUNK_CHARS = 4 << 20
+CHUNK_CHARS = 1 << 20
 """Characters of the texts that are encoded at once."""
 
 BATCH_WORDS = 1_000
@@ -55,12 +56,37 @@ FIRST = "\x00"
 LEVEL = 3
 
 
+BREAK = re.compile(r"(?<=[!-~])\n(?=[!-~])")
+SIGNS = ".,;:!?"
+LETTERS = frozenset(string.ascii_letters + string.digits)
+
+
+def pieces(part: str) -> list[str]:
+    """The stretch cut where a byte-level pre-tokeniser always cuts it, pieces without a space marked as beginnings.
+
+    That is at a single line break between visible ASCII characters, and between an ASCII letter or digit
+    and the signs that end a line.
+    """
+    made = []
+    for line in BREAK.split(part) if "\n" in part else [part]:
+        if made:
+            made.append(FIRST + "\n")
+            line = FIRST + line
+        word = line.rstrip(SIGNS)
+        if len(word) < len(line) and word and word[-1] in LETTERS:
+            made += [word, FIRST + line[len(word) :]]
+        else:
+            made.append(line)
+    return made
+
+
 class Encoder:
     """Ids of whole texts by the library, remembering the stretches between spaces.
 
     The pre-tokeniser always starts a token at a space that follows other text, so a text is the
     sequence of its stretches; those not seen yet are encoded together.  Texts with double or
-    closing spaces or special strings are encoded whole.
+    closing spaces or special strings are encoded whole.  A stretch with punctuation at its end or a line
+    break is put together from its pieces, so the library gets a word once and not with each sign after it.
 
     Stretches are remembered in two tables.  When the younger one is full it becomes the older one, whose
     stretches move over when they are met again; so frequent ones stay known.
@@ -76,6 +102,8 @@ class Encoder:
         tokens = self.model.get_vocab()
         self.leads = np.zeros(max(tokens.values()) + 1, bool)
         self.leads[[i for t, i in tokens.items() if t.startswith("Ġ")]] = True
+        cut = self.model.pre_tokenizer and self.model.pre_tokenizer.pre_tokenize_str("a.\nb c")
+        self.pieces = [t for t, _ in cut or ()] == ["a", ".", "Ċ", "b", "Ġc"]
         self.cache: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
         self.most = cache
@@ -101,6 +129,31 @@ class Encoder:
         )
 
     def _learn(self, parts: list[str]) -> None:
+        """Enter stretches that neither table has: from the library, or from their pieces if they have any."""
+        cache, old, new = self.cache, self.old, {}
+        cut, counts, flat = [], [], []  # no list for each stretch, which the garbage collector would visit
+        for part in parts:
+            own = pieces(part) if self.pieces else [part]
+            if len(own) == 1:
+                new[part] = None
+                continue
+            cut.append(part)
+            counts.append(len(own))
+            flat += own
+            for piece in own:
+                if piece not in cache:
+                    ids = old.pop(piece, None)
+                    if ids is None:
+                        new[piece] = None
+                    else:
+                        cache[piece] = ids
+        self._encode([part for part in new if part not in cache])
+        at = 0
+        for part, count in zip(cut, counts):
+            cache[part] = b"".join(map(cache.__getitem__, flat[at : at + count]))
+            at += count
+
+    def _encode(self, parts: list[str]) -> None:
         """Encode stretches; those of text beginnings are marked and have no space before them."""
         first = [p for p in parts if p.startswith(FIRST)]
         rest = [p for p in parts if not p.startswith(FIRST)]
@@ -117,7 +170,7 @@ class Encoder:
         return self.model.encode_batch_fast([text], add_special_tokens=False)[0].ids
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        """Ids of the texts; the distinct stretches of all of them are looked up once."""
+        """Ids of the texts; stretches that are not known are looked up together."""
         made: list[bytes] = [b""] * len(texts)
         apart, others = [], []
         for i, text in enumerate(texts):
@@ -125,35 +178,32 @@ class Encoder:
                 (apart if self.separable(text) else others).append(i)
         for i, ids in zip(others, self.whole([texts[i] for i in others])):
             made[i] = ids
-        if not apart:
-            return made
-        marked = pa.array([FIRST + texts[i] for i in apart], pa.large_string())
-        split = pc.split_pattern(marked, " ")
-        places = split.flatten().dictionary_encode()
-        parts = places.dictionary.to_pylist()
         if len(self.cache) > self.most // 2:
             self.cache, self.old = {}, self.cache
-        missing = []
-        for part in parts:
-            if part not in self.cache:
-                known = self.old.pop(part, None)
-                if known is None:
-                    missing.append(part)
-                else:
-                    self.cache[part] = known
-        if missing:
-            self._learn(missing)
-        found = list(map(self.cache.__getitem__, parts))
-        size = np.fromiter(map(len, found), np.int64, len(found)) // 4
-        begins = np.cumsum(size) - size
-        ids = np.frombuffer(b"".join(found), "<u4")
-        wanted = places.indices.to_numpy()
-        counts = size[wanted]
-        ends = np.cumsum(counts)
-        flat = ids[np.repeat(begins[wanted] - (ends - counts), counts) + np.arange(ends[-1])]
-        bounds = np.append(0, ends)[split.offsets.to_numpy() - split.offsets[0].as_py()]
-        for i, a, b in zip(apart, bounds, bounds[1:]):
-            made[i] = flat[a:b].tobytes()
+        cache, waiting, missing = self.cache, [], {}
+        for i in apart:
+            parts = (FIRST + texts[i]).split(" ")
+            found = list(map(cache.get, parts))
+            gaps = [k for k, ids in enumerate(found) if ids is None]
+            if gaps:
+                waiting.append((i, parts, found, gaps))
+                for k in gaps:
+                    missing[parts[k]] = None
+            else:
+                made[i] = b"".join(found)
+        unknown = []
+        for part in missing:
+            ids = self.old.pop(part, None)
+            if ids is None:
+                unknown.append(part)
+            else:
+                cache[part] = ids
+        if unknown:
+            self._learn(unknown)
+        for i, parts, found, gaps in waiting:
+            for k in gaps:
+                found[k] = cache[parts[k]]
+            made[i] = b"".join(found)
         return made
 
 

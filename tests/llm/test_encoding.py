@@ -135,6 +135,28 @@ def test_frequent_stretches_stay_known_in_a_small_cache(monkeypatch):
     assert learnt.count("often") == 1 and len(encoder.cache) + len(encoder.old) <= 8 + 2 * 7
 
 
+def test_a_known_word_is_not_encoded_again_with_a_sign_or_a_line_break(monkeypatch):
+    encoder, asked = tf.Encoder(JSON), []
+    whole_ids = encoder.whole_ids
+    monkeypatch.setattr(encoder, "whole_ids", lambda text: (asked.append(text), whole_ids(text))[1])
+    encoder(["The word and next"])
+    asked.clear()
+    text = "The word, and word. next: word.\nThe next?! and\nThe"
+    assert encoder([text]) == encoder.whole([text])
+    assert not asked
+
+
+def test_stretches_put_together_from_pieces_have_the_librarys_ids():
+    random = np.random.default_rng(11)
+    bits = ["a", "Zq", "it's", "'s", "don't.", "7", "½", "é", "é", "ß,", "中。", "a.b", ".", "?!", "...", "-", "\n", "\n\n"]
+    bits += ["\r\n", "\t", "\x85", "\xa0", "\u2028", "\x1c", "'", "_", "😀", "\x00", "e\u0301", " ", " ", " ", ";", ":", ","]
+    texts = ["".join(random.choice(bits, 12)) for _ in range(4000)]
+    for cache in (50, 100_000):
+        encoder = tf.Encoder(JSON, cache=cache)
+        made = [ids for k in range(0, 4000, 100) for ids in encoder(texts[k : k + 100])]
+        assert made == encoder.whole(texts)
+
+
 def test_text_chunks_hold_one_slice_of_texts():
     texts = ["é" * 30, None, "b" * 5, "", "c" * 40, "d"]
     batch = tf.pa.RecordBatch.from_pydict({"n": list(range(6)), "text": texts})
