@@ -287,7 +287,8 @@ def write_token_files(
         .sortWithinPartitions(*order)
         .mapInArrow(write, "shard long, file string, documents long, tokens long")
     )
-    manifest = written(shards, "manifest")
+    # One file: each that an executor creates on a local disk starts other processes to set its mode.
+    manifest = written(shards.repartition(1), "manifest")
     # One row per shard, so a window over all of them is small.
     return manifest.selectExpr(
         "*",

@@ -63,6 +63,18 @@ def test_token_files_hold_what_the_library_gives(spark, docs):
         start += len(ids)
 
 
+def test_the_manifest_of_many_shards_is_one_file(spark, docs):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        manifest = tf.write_token_files(docs, JSON, tf.new_folder(spark))
+        rows = manifest.orderBy("shard").collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(rows) > 2 and sum(r.documents for r in rows) == len(ROWS)
+    assert [r.start for r in rows] == [sum(r.tokens for r in rows[:k]) for k in range(len(rows))]
+    assert len(manifest.inputFiles()) == 1
+
+
 def test_one_document_is_read_alone(spark, docs):
     folder = tf.new_folder(spark)
     first = tf.write_token_files(docs, JSON, folder).orderBy("shard").first()
